@@ -1 +1,5 @@
-ORACLES = {}
+"""Independent SQL for the registered queries, written in the direct, unoptimised form."""
+
+from oracles import marts, quality, sources, statistics
+
+ORACLES: dict[str, str] = {**marts.SQL, **statistics.SQL, **quality.SQL, **sources.SQL}
