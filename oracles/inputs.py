@@ -39,8 +39,8 @@ def query(body: str, *needs: str) -> str:
 
 def place(number: str) -> tuple[str, str]:
     return (
-        f"round(40.68e0 + cast(({number}) * 13 % 130 as double) / 1000e0, 6)",
-        f"round(-74.03e0 + cast(({number}) * 29 % 200 as double) / 1000e0, 6)",
+        f"(40680 + ({number}) * 13 % 130) / 1000e0",
+        f"(({number}) * 29 % 200 - 74030) / 1000e0",
     )
 
 
@@ -196,9 +196,11 @@ cte(
         coalesce((SELECT arg_min(b.area, b.prio) FROM boxes b
             WHERE c.latitude >= lat0 AND c.latitude <= lat1 AND c.longitude >= lon0 AND c.longitude <= lon1), 'Other') AS area
     FROM (
-        SELECT station_id, min(station_name) AS station_name, count(*) AS name_variations
-        FROM (SELECT start_station_id AS station_id, start_station_name AS station_name FROM trips
-            UNION SELECT end_station_id, end_station_name FROM trips)
+        SELECT station_id, (list(station_name ORDER BY uses DESC, station_name))[1] AS station_name,
+            count(*) AS name_variations
+        FROM (SELECT station_id, station_name, count(*) AS uses
+            FROM (SELECT start_station_id AS station_id, start_station_name AS station_name FROM trips
+                UNION ALL SELECT end_station_id, end_station_name FROM trips) GROUP BY ALL)
         WHERE station_id IS NOT NULL GROUP BY station_id) s
     LEFT JOIN (
         SELECT start_station_id AS station_id, min(start_lat) AS latitude, min(start_lng) AS longitude

@@ -6,12 +6,8 @@ from oracles.inputs import cte, query, r, rs, rules, staged_games, staged_holida
 
 SQL: dict[str, str] = {}
 
-TRIP_COLUMNS = """ride_id, started_at, ended_at, ride_date, {mins}, start_station_id, start_station_name, {a}, {b},
-    end_station_id, end_station_name, {c}, {d}, member_casual""".format(
-    mins=r("ride_mins"), a=r("start_lat"), b=r("start_lng"), c=r("end_lat"), d=r("end_lng")
-)
-SQL["trips_clean"] = query(f"SELECT {TRIP_COLUMNS} FROM trips", "trips")
-SQL["weather_clean"] = query(f"SELECT date, {rs('tmax', 'tmin', 'precip', 'wind_max')} FROM weather", "weather")
+SQL["trips_clean"] = query("SELECT * FROM trips", "trips")
+SQL["weather_clean"] = query("SELECT * FROM weather", "weather")
 SQL["holidays_dedup"] = query(
     f"""SELECT date, holiday_name, country_code, counties, holiday_types, is_major, is_working_day, source_year
     FROM ({staged_holidays('order_holidays')})""",

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from oracles import marts  # noqa: F401
-from oracles.inputs import cte, query, r, rs
+from oracles.inputs import cte, query
 
 SQL: dict[str, str] = {}
 
 SQL["weather_arrays_explode"] = query(
-    f"""SELECT o_orderkey, cast(day + i AS varchar) AS date, {rs('tmax', 'tmin', 'precip', 'wind_max')},
+    """SELECT o_orderkey, cast(day + i AS varchar) AS date, tmax, tmin, precip, wind_max,
     '40.73,-73.94' AS source_location
     FROM (SELECT o_orderkey, cast(o_orderdate AS date) AS day, i,
             CASE WHEN i < 2 THEN h + i END AS tmax,
@@ -74,7 +74,7 @@ SQL["schedule_flatten"] = query(
     FROM (SELECT *, cast(cast(o_orderdate AS date) AS varchar) AS d, if(o_custkey % 2 = 0, 147, 121) AS team FROM orders)"""
 )
 SQL["merge_upsert"] = query(
-    f"""SELECT l_orderkey, l_linenumber, {rs('l_quantity', 'l_extendedprice')}, l_shipdate
+    """SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate
     FROM (SELECT * REPLACE (cast(l_shipdate AS date) AS l_shipdate),
             max(cast(l_shipdate AS date)) OVER k >= DATE '1997-01-01' AS replaced,
             row_number() OVER (k ORDER BY l_shipdate DESC, l_extendedprice DESC, l_quantity DESC) AS place
@@ -82,8 +82,8 @@ SQL["merge_upsert"] = query(
     WHERE NOT replaced OR place = 1"""
 )
 SQL["csv_ingest"] = query(
-    f"""SELECT cast(ride_id AS varchar) AS ride_id, s AS started_at, e AS ended_at, start_station_id, {r('start_lat')},
-    member_casual, {r('datediff(' + "'second'" + ', s, e) / 60e0', 'ride_mins')}, strftime(started_at, '%Y%m') AS source_month
+    """SELECT cast(ride_id AS varchar) AS ride_id, s AS started_at, e AS ended_at, start_station_id, start_lat,
+    member_casual, datediff('second', s, e) / 60e0 AS ride_mins, strftime(started_at, '%Y%m') AS source_month
     FROM (SELECT *, CASE WHEN ride_id % 97 <> 0 THEN date_trunc('second', started_at) END AS s,
         date_trunc('second', ended_at) AS e FROM raw_trips)""",
     "raw_trips",

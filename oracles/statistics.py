@@ -62,7 +62,7 @@ for name, by in (("bin_means_temperature", "temp_category"), ("bin_means_rain",
     )
 FENCES = """SELECT quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.5) AS median, quantile_cont({x}, 0.75) AS q3 FROM {t}"""
 SQL["iqr_outliers"] = query(
-    f"""SELECT event_id, {r('value')} FROM events, ({FENCES.format(x='value', t='events')})
+    f"""SELECT event_id, value FROM events, ({FENCES.format(x='value', t='events')})
     WHERE value < q1 - 1.5e0 * (q3 - q1) OR value > q3 + 1.5e0 * (q3 - q1)"""
 )
 BOUNDS = f"{r('q1 - 1.5e0 * (q3 - q1)', 'lower_bound')}, {r('q3 + 1.5e0 * (q3 - q1)', 'upper_bound')}"

@@ -1,7 +1,7 @@
 """Date and time columns.
 
-Trip times carry no zone.  Every helper reads wall-clock fields (date, hour, minute,
-second), so results do not depend on the session time zone.
+Trip times carry no zone.  Every helper stays with wall-clock fields and differences of
+zone-free timestamps, so results do not depend on the session time zone.
 """
 
 from __future__ import annotations
@@ -13,16 +13,18 @@ from pyspark.sql import functions as F
 DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 
 
+def _since_epoch(ts: Column) -> Column:
+    return (ts - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).cast("interval second")
+
+
 def whole_seconds(ts: Column) -> Column:
     """Wall-clock seconds since 1970-01-01, fraction dropped (BIGINT)."""
-    day = F.unix_date(F.to_date(ts)).cast("bigint") * 86400
-    return day + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return _since_epoch(ts).cast("bigint")
 
 
 def exact_seconds(ts: Column) -> Column:
     """Wall-clock seconds since 1970-01-01 with their fraction (DOUBLE)."""
-    minutes = F.unix_date(F.to_date(ts)).cast("bigint") * 1440 + F.hour(ts) * 60 + F.minute(ts)
-    return (minutes * 60).cast("double") + F.extract(F.lit("SECOND"), ts).cast("double")
+    return _since_epoch(ts).cast("decimal(18,6)").cast("double")
 
 
 def seconds_between(start: Column, end: Column) -> Column:

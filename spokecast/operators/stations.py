@@ -14,7 +14,8 @@ def dim_stations(trips: DataFrame) -> DataFrame:
     One scan: each trip gives its two ends, and names become grouping keys, so the wide
     aggregate keeps only fixed-width buffers (hash aggregation, combined before the
     shuffle; a busy station costs one row per task).  The coordinates are those of one
-    start inside the city box, picked by the hash of its ride id, so reruns agree.
+    start inside the city box, picked by the hash of its ride id, so reruns agree; the name
+    is the commonest one.
     """
     lat, lng = F.col("start_lat"), F.col("start_lng")
     pick = F.when(geo.in_city(lat, lng), F.xxhash64("ride_id"))
@@ -43,12 +44,14 @@ def dim_stations(trips: DataFrame) -> DataFrame:
             F.min_by("lat", "pick").alias("lat"),
             F.min_by("lng", "pick").alias("lng"),
             F.min("pick").alias("pick"),
+            F.count(F.lit(1)).alias("uses"),
         )
     )
+    by_use = F.when(F.col("station_name").isNotNull(), F.struct(-F.col("uses"), F.col("station_name")))
     return (
         names.groupBy("station_id")
         .agg(
-            F.min("station_name").alias("station_name"),
+            F.min_by("station_name", by_use).alias("station_name"),
             F.count(F.lit(1)).alias("name_variations"),
             F.min_by("lat", "pick").alias("latitude"),
             F.min_by("lng", "pick").alias("longitude"),

@@ -30,8 +30,8 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
         return (
             keep(F.concat(F.lit("S"), number)),
-            keep(F.round(40.68 + (number * 13 % 130).cast("double") / 1000, 6)),
-            keep(F.round(-74.03 + (number * 29 % 200).cast("double") / 1000, 6)),
+            keep((40680 + number * 13 % 130) / 1000),
+            keep((number * 29 % 200 - 74030) / 1000),
         )
 
     event, user = F.col("event_id"), F.col("user_id")
@@ -39,13 +39,13 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     has_end = event % 17 != 0
     start_id, start_lat, start_lng = place(started_no, F.lit(True))
     end_id, end_lat, end_lng = place(ended_no, has_end)
-    length = F.round(F.col("value") * 60).cast("bigint")
+    length = F.floor(F.col("value") * 60 + 0.5)
     suffix = F.when(event % 11 == 0, " (temp)").otherwise("")
     return load(spark, sf_dir, "events").select(
         event.alias("ride_id"),
         F.when(F.col("event_type") == "purchase", "electric_bike").otherwise("classic_bike").alias("rideable_type"),
         F.col("ts").cast("timestamp_ntz").alias("started_at"),
-        (F.col("ts").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), length)).alias("ended_at"),
+        F.timestamp_add("SECOND", length, F.col("ts").cast("timestamp_ntz")).alias("ended_at"),
         start_id.alias("start_station_id"),
         F.concat(F.lit("Station "), started_no, suffix).alias("start_station_name"),
         end_id.alias("end_station_id"),
