@@ -94,14 +94,19 @@ def effect_of(spark: SparkSession, sf: str) -> DataFrame:
     return daily.weather_effect(demand_of(spark, sf), weather_of(spark, sf))
 
 
-def near_of(spark: SparkSession, sf: str) -> DataFrame:
-    return proximity.station_proximity(stations_of(spark, sf), raw.TEST_STADIUMS, walking_km=NEAR_KM)
+def near_of(places: DataFrame) -> DataFrame:
+    return proximity.station_proximity(places, raw.TEST_STADIUMS, walking_km=NEAR_KM)
 
 
 def event_demand_of(spark: SparkSession, sf: str, baseline: str = "same_window") -> DataFrame:
-    return events.game_day_demand(
-        trips_of(spark, sf), games_of(spark, sf), near_of(spark, sf), holidays_of(spark), baseline
-    )
+    trips = trips_of(spark, sf)
+    near = near_of(stations.dim_stations(trips))
+    return events.game_day_demand(trips, games_of(spark, sf), near, holidays_of(spark), baseline)
+
+
+def station_stats_of(spark: SparkSession, sf: str) -> DataFrame:
+    trips = trips_of(spark, sf)
+    return stations.station_stats(stations.dim_stations(trips), trips)
 
 
 def factors_of(spark: SparkSession, sf: str, per_day_weather: bool = False) -> DataFrame:
@@ -183,11 +188,8 @@ def station_proximity(spark, sf):
 def nearby_stations(spark, sf):
     """C12."""
     stadiums = spark.createDataFrame(raw.TEST_STADIUMS, proximity.STADIUM_SCHEMA)
-    return events_nearby(near_of(spark, sf), stations_of(spark, sf), stadiums)
-
-
-def events_nearby(near, places, stadiums):
-    return proximity.nearby_stations(near, places, stadiums)
+    places = stations_of(spark, sf)
+    return proximity.nearby_stations(near_of(places), places, stadiums)
 
 
 @register
@@ -253,13 +255,13 @@ def weather_rainy_days(spark, sf):
 @register
 def station_stats(spark, sf):
     """C3, D3."""
-    return stations.station_stats(stations_of(spark, sf), trips_of(spark, sf))
+    return station_stats_of(spark, sf)
 
 
 @register
 def top_stations(spark, sf):
     """the ten busiest start stations."""
-    return stations.top_stations(stations.station_stats(stations_of(spark, sf), trips_of(spark, sf)))
+    return stations.top_stations(station_stats_of(spark, sf))
 
 
 @register
@@ -281,14 +283,18 @@ def hour_cube(spark, sf):
     return holidays.start_cube(trips_of(spark, sf), "ride_date", "hour_of_day")
 
 
-def station_cube(spark, sf):
-    return holidays.start_cube(trips_of(spark, sf), "ride_date", "station_id")
-
-
 def day_cube(spark, sf):
     return holidays.start_cube(trips_of(spark, sf), "ride_date")
 
 
+def by_station_of(spark, sf):
+    """The station mart and the station dimension it used."""
+    trips = trips_of(spark, sf)
+    places = stations.dim_stations(trips)
+    cube = holidays.start_cube(trips, "ride_date", "station_id")
+    return holidays.impact_by_station(holidays_of(spark), cube, places), places
+
+
 @register
 def holiday_impact_summary(spark, sf):
     """C6, C9, D6, D26, D27."""
@@ -304,21 +310,21 @@ def holiday_impact_by_hour(spark, sf):
 @register
 def holiday_impact_by_station(spark, sf):
     """M16."""
-    return holidays.impact_by_station(holidays_of(spark), station_cube(spark, sf), stations_of(spark, sf))
+    return by_station_of(spark, sf)[0]
 
 
 @register
 def holiday_impact_by_area(spark, sf):
     """M17."""
-    return holidays.impact_by_area(holidays_of(spark), station_cube(spark, sf), stations_of(spark, sf))
+    trips = trips_of(spark, sf)
+    cube = holidays.start_cube(trips, "ride_date", "station_id")
+    return holidays.impact_by_area(holidays_of(spark), cube, stations.dim_stations(trips))
 
 
 @register
 def holiday_station_slice(spark, sf):
     """B18 on M16."""
-    return holidays.for_holiday(
-        holidays.impact_by_station(holidays_of(spark), station_cube(spark, sf), stations_of(spark, sf)), "2024-01-15"
-    )
+    return holidays.for_holiday(by_station_of(spark, sf)[0], "2024-01-15")
 
 
 @register
@@ -330,9 +336,7 @@ def holiday_peak_hours(spark, sf):
 @register
 def holiday_top_bottom(spark, sf):
     """F3, B14."""
-    return holidays.top_and_bottom(
-        holidays.impact_by_station(holidays_of(spark), station_cube(spark, sf), stations_of(spark, sf))
-    )
+    return holidays.top_and_bottom(by_station_of(spark, sf)[0])
 
 
 @register
@@ -351,8 +355,7 @@ def holiday_significance(spark, sf):
 @register
 def cluster_holiday_rollup(spark, sf):
     """D17 over a fixed station assignment."""
-    places = stations_of(spark, sf)
-    by_station = holidays.impact_by_station(holidays_of(spark), station_cube(spark, sf), places)
+    by_station, places = by_station_of(spark, sf)
     return holidays.cluster_rollup(by_station, raw.station_clusters_by_rule(places))
 
 

@@ -17,64 +17,53 @@ TEST_STADIUMS = (
 )
 
 
+# Layouts of the tables read here; stating them saves a job per read.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+}
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trip per event; some ends are unknown, some names vary."""
-
-    def place(number: Column, known: Column) -> tuple[Column, Column, Column]:
-        def keep(c: Column) -> Column:
-            return F.when(known, c)
-
-        return (
-            keep(F.concat(F.lit("S"), number)),
-            keep((40680 + number * 13 % 130) / 1000),
-            keep((number * 29 % 200 - 74030) / 1000),
-        )
-
-    event, user = F.col("event_id"), F.col("user_id")
-    started_no, ended_no = user % 40, (user * 7 + event) % 43
-    has_end = event % 17 != 0
-    start_id, start_lat, start_lng = place(started_no, F.lit(True))
-    end_id, end_lat, end_lng = place(ended_no, has_end)
-    length = F.floor(F.col("value") * 60 + 0.5)
-    suffix = F.when(event % 11 == 0, " (temp)").otherwise("")
-    return load(spark, sf_dir, "events").select(
-        event.alias("ride_id"),
-        F.when(F.col("event_type") == "purchase", "electric_bike").otherwise("classic_bike").alias("rideable_type"),
-        F.col("ts").cast("timestamp_ntz").alias("started_at"),
-        F.timestamp_add("SECOND", length, F.col("ts").cast("timestamp_ntz")).alias("ended_at"),
-        start_id.alias("start_station_id"),
-        F.concat(F.lit("Station "), started_no, suffix).alias("start_station_name"),
-        end_id.alias("end_station_id"),
-        F.when(has_end, F.concat(F.lit("Station "), ended_no)).alias("end_station_name"),
-        start_lat.alias("start_lat"),
-        start_lng.alias("start_lng"),
-        end_lat.alias("end_lat"),
-        end_lng.alias("end_lng"),
-        F.when(F.col("event_type").isin("view", "click"), "member").otherwise("casual").alias("member_casual"),
+    numbered = load(spark, sf_dir, "events").selectExpr(
+        "*", "user_id % 40 as s", "case when event_id % 17 <> 0 then (user_id * 7 + event_id) % 43 end as e"
+    )
+    return numbered.selectExpr(
+        "event_id as ride_id",
+        "if(event_type = 'purchase', 'electric_bike', 'classic_bike') as rideable_type",
+        "ts as started_at",
+        "timestampadd(SECOND, floor(value * 60 + 0.5D), ts) as ended_at",
+        "concat('S', s) as start_station_id",
+        "concat('Station ', s, if(event_id % 11 = 0, ' (temp)', '')) as start_station_name",
+        "concat('S', e) as end_station_id",
+        "concat('Station ', e) as end_station_name",
+        "(40680 + s * 13 % 130) / 1000D as start_lat",
+        "(s * 29 % 200 - 74030) / 1000D as start_lng",
+        "(40680 + e * 13 % 130) / 1000D as end_lat",
+        "(e * 29 % 200 - 74030) / 1000D as end_lng",
+        "if(event_type in ('view', 'click'), 'member', 'casual') as member_casual",
     )
 
 
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per day of the events, with gaps and two contradictions."""
-    d = F.col("d")
-    high = (d * 37 % 350).cast("double") / 10 - 5
-    low = high - (d * 13 % 90).cast("double") / 10 + F.when(d % 17 == 0, 20).otherwise(0)
-    return (
-        load(spark, sf_dir, "events")
-        .select(F.to_date("ts").alias("date"))
-        .distinct()
-        .withColumn("d", F.dayofmonth("date"))
-        .select(
-            "date",
-            F.when(d % 13 != 0, high).alias("tmax"),
-            F.when(d % 11 != 0, low).alias("tmin"),
-            F.when(d % 3 == 0, (d * 7 % 200).cast("double") / 10).otherwise(F.lit(0.0)).alias("precip"),
-            ((d * 11 % 300).cast("double") / 10).alias("wind_max"),
-        )
+    """One row per day of the events, with gaps and a contradiction."""
+    days = load(spark, sf_dir, "events").selectExpr("to_date(ts) as date").distinct()
+    return days.selectExpr("date", "day(date) as d").selectExpr(
+        "date",
+        "case when d % 13 <> 0 then (d * 37 % 350) / 10D - 5 end as tmax",
+        "case when d % 11 <> 0 then (d * 37 % 350) / 10D - 5 - (d * 13 % 90) / 10D + if(d % 17 = 0, 20, 0) end as tmin",
+        "if(d % 3 = 0, (d * 7 % 200) / 10D, 0D) as precip",
+        "(d * 11 % 300) / 10D as wind_max",
     )
 
 
