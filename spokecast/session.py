@@ -8,9 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "spokecast") -> SparkSession:
+def local_session(
+    cores: str = "8", shuffle_partitions: int = 8, app: str = "spokecast", shared: str | None = None
+) -> SparkSession:
     """A single-node session for tests and the bench; on a cluster bring your own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -20,8 +22,10 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "spo
         # Building plans from Python is faster without a call site kept for every column.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .getOrCreate()
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local-mode session may fall back on a temporary folder; on a cluster a
     machine-local path would lose data with its executor, so that case is an error.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
