@@ -13,18 +13,12 @@ from pyspark.sql import functions as F
 DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 
 
-def _since_epoch(ts: Column) -> Column:
-    return (ts - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).cast("interval second")
-
-
 def whole_seconds(ts: Column) -> Column:
-    """Wall-clock seconds since 1970-01-01, fraction dropped (BIGINT)."""
-    return _since_epoch(ts).cast("bigint")
-
+    """Wall-clock seconds since 1970-01-01, fraction dropped (BIGINT).
 
-def exact_seconds(ts: Column) -> Column:
-    """Wall-clock seconds since 1970-01-01 with their fraction (DOUBLE)."""
-    return _since_epoch(ts).cast("decimal(18,6)").cast("double")
+    On a zone-free timestamp this is a plain division of the stored number.
+    """
+    return F.unix_timestamp(ts)
 
 
 def seconds_between(start: Column, end: Column) -> Column:
@@ -32,6 +26,21 @@ def seconds_between(start: Column, end: Column) -> Column:
     return whole_seconds(end) - whole_seconds(start)
 
 
+def interval_offset(at: Column, anchor: Column, seconds: int) -> Column:
+    """Signed number of intervals from ``anchor`` to ``at``, nearest, halves away from zero.
+
+    ``anchor`` has no fraction of a second.  Whole numbers only: halves go up by the floor,
+    and an exact half before the anchor is then moved down.
+    """
+    shifted = whole_seconds(at) - whole_seconds(anchor) + seconds // 2
+    exact_half_before = (
+        (shifted < seconds // 2)
+        & (F.pmod(shifted, F.lit(seconds)) == 0)
+        & (F.extract(F.lit("SECOND"), at) == F.second(at))
+    )
+    return F.floor(shifted / seconds) - F.when(exact_half_before, 1).otherwise(0)
+
+
 def hours(n: int) -> Column:
     return F.make_dt_interval(F.lit(0), F.lit(n))
 

@@ -13,18 +13,36 @@ TEMPERATURE_BINS = ((5, "Very Cold"), (15, "Cold"), (25, "Moderate"))
 
 
 def trips_daily(trips: DataFrame) -> DataFrame:
-    """Trips per day and rider type.
+    """Trips per day and rider type, with distinct stations at either end.
 
-    The two distinct counts are expanded by Catalyst and combined per (day, rider, station)
-    before the shuffle, so shuffled rows grow with days x stations, not with trips.
+    One scan: both ends of a trip are counted per (day, rider, side, station), combined
+    before the shuffle, so shuffled rows grow with days x stations and not with trips; the
+    stations of a day are then its groups.
     """
-    return trips.groupBy("ride_date", "member_casual").agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.avg("ride_mins").alias("avg_duration_mins"),
-        F.min("ride_mins").alias("min_duration_mins"),
-        F.max("ride_mins").alias("max_duration_mins"),
-        F.countDistinct("start_station_id").alias("unique_start_stations"),
-        F.countDistinct("end_station_id").alias("unique_end_stations"),
+    keys = ["ride_date", "member_casual"]
+    sides = F.array(
+        F.struct(F.col("start_station_id").alias("station_id"), F.col("ride_mins").alias("mins")),
+        F.struct(F.col("end_station_id").alias("station_id"), F.lit(None).cast("double").alias("mins")),
+    )
+    per_station = (
+        trips.select(*keys, F.posexplode(sides).alias("side", "e"))
+        .groupBy(*keys, "side", F.col("e.station_id").alias("station_id"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("e.mins").alias("mins"),
+            F.min("e.mins").alias("shortest"),
+            F.max("e.mins").alias("longest"),
+        )
+    )
+    starts, ends = F.col("side") == 0, F.col("side") == 1
+    count = F.sum(F.when(starts, F.col("n")))
+    return per_station.groupBy(*keys).agg(
+        count.alias("trips"),
+        (F.sum("mins") / count).alias("avg_duration_mins"),
+        F.min("shortest").alias("min_duration_mins"),
+        F.max("longest").alias("max_duration_mins"),
+        F.count(F.when(starts, F.col("station_id"))).alias("unique_start_stations"),
+        F.count(F.when(ends, F.col("station_id"))).alias("unique_end_stations"),
     )
 
 

@@ -1,8 +1,8 @@
 """Demand around scheduled games.
 
-Only two steps touch trips: an equi-join on the day and a count per (game, station, half
-hour) combined before the shuffle.  Stations near a venue are joined to these counts, so
-a busy station or day never gathers in one task.
+Only two steps touch trips: an equi-join on the day and a count per (start time, station,
+half hour) combined before the shuffle.  Games and the stations near their venue are joined
+to these counts, so a busy station or day never gathers in one task.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from spokecast.operators.staging import home_games
 # length, least number of games behind a recommendation, longest ride in days (rounded up).
 HOURS_BEFORE = 3
 HOURS_AFTER = 3
-INTERVAL_SECONDS = 1800.0
+INTERVAL_SECONDS = 1800
 MIN_GAMES = 2
 MAX_RIDE_DAYS = 1
 
@@ -71,9 +71,9 @@ def _station_counts(hits: DataFrame, anchor: Column, *keys: str) -> DataFrame:
             F.lit(1).alias("ended"),
         ),
     )
-    offset = F.round((cal.exact_seconds(F.col("leg.at")) - F.col("anchor")) / INTERVAL_SECONDS).cast("bigint")
+    offset = cal.interval_offset(F.col("leg.at"), F.col("anchor"), INTERVAL_SECONDS)
     return (
-        hits.select(*keys, cal.exact_seconds(anchor).alias("anchor"), F.explode(legs).alias("leg"))
+        hits.select(*[k for k in keys if k != "anchor"], anchor.alias("anchor"), F.explode(legs).alias("leg"))
         .filter("leg.station_id is not null")
         .groupBy(*keys, F.col("leg.station_id").alias("station_id"), offset.alias("interval_offset"))
         .agg(F.sum("leg.started").alias("trips_started"), F.sum("leg.ended").alias("trips_ended"))
@@ -85,10 +85,17 @@ def _trip_legs(trips: DataFrame) -> DataFrame:
 
 
 def game_day_counts(trips: DataFrame, games: DataFrame) -> DataFrame:
-    """Counts of the game day itself for every station."""
-    hits = _trip_legs(trips).join(_windows(games).withColumn("ride_date", F.col("game_date")), "ride_date")
-    hits = hits.filter(_in_window(F.col("window_start"), F.col("window_end")))
-    return _station_counts(hits, F.col("game_datetime"), *GAME_KEYS)
+    """Counts of the game day itself for every station.
+
+    Trips are counted once per start time; games starting together share the counts.
+    """
+    windows = _windows(games)
+    slots = windows.select(
+        F.col("game_date").alias("ride_date"), F.col("game_datetime").alias("anchor"), "window_start", "window_end"
+    ).distinct()
+    hits = _trip_legs(trips).join(slots, "ride_date").filter(_in_window(F.col("window_start"), F.col("window_end")))
+    counts = _station_counts(hits, F.col("anchor"), "anchor").withColumnRenamed("anchor", "game_datetime")
+    return windows.select(*GAME_KEYS).join(counts, "game_datetime")
 
 
 def _free_days(games: DataFrame, holidays: DataFrame) -> DataFrame:

@@ -68,39 +68,30 @@ def station_stats(stations: DataFrame, trips: DataFrame, ride_ids_unique: bool =
     already merged on ``ride_id`` pass ``ride_ids_unique=True``: plain counts then give the
     same result without that shuffle.
     """
-    member, casual = F.col("member_casual") == "member", F.col("member_casual") == "casual"
-    ride = F.col("ride_id").isNotNull()
-    none = F.lit(False)
+    flags = {"starts": 1, "ends": 2, "member": 4, "casual": 8}
+    rider = F.when(F.col("member_casual") == "member", 4).when(F.col("member_casual") == "casual", 8).otherwise(0)
+    known = F.col("ride_id").isNotNull()
     ends = F.array(
         F.struct(
             F.col("start_station_id").alias("station_id"),
-            ride.alias("starts"),
-            none.alias("ends"),
-            F.coalesce(ride & member, none).alias("member"),
-            F.coalesce(ride & casual, none).alias("casual"),
+            F.when(known, rider + flags["starts"]).otherwise(0).alias("flags"),
             F.col("ride_mins").alias("mins"),
         ),
         F.struct(
             F.col("end_station_id").alias("station_id"),
-            none.alias("starts"),
-            ride.alias("ends"),
-            none.alias("member"),
-            none.alias("casual"),
+            F.when(known, flags["ends"]).otherwise(0).alias("flags"),
             F.lit(None).cast("double").alias("mins"),
         ),
     )
-    flags = ("starts", "ends", "member", "casual")
     legs = trips.select("ride_id", F.explode(ends).alias("e")).select("ride_id", "e.*").filter("station_id is not null")
     if ride_ids_unique:
         per_ride = legs.withColumn("timed", F.when(F.col("mins").isNotNull(), 1).otherwise(0))
     else:
         per_ride = legs.groupBy("station_id", "ride_id").agg(
-            *[F.max(f).alias(f) for f in flags],
-            F.sum("mins").alias("mins"),
-            F.count("mins").alias("timed"),
+            F.bit_or("flags").alias("flags"), F.sum("mins").alias("mins"), F.count("mins").alias("timed")
         )
     per_station = per_ride.groupBy("station_id").agg(
-        *[F.sum(F.col(f).cast("bigint")).alias(f) for f in flags],
+        *[F.count(F.when(F.col("flags").bitwiseAND(bit) != 0, 1)).alias(f) for f, bit in flags.items()],
         (F.sum("mins") / F.nullif(F.sum("timed"), F.lit(0))).alias("avg_start_duration"),
     )
     count = {f: F.coalesce(F.col(f), F.lit(0)) for f in flags}

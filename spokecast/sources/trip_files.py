@@ -9,8 +9,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokecast.functions import calendar as cal
-
 logger = logging.getLogger(__name__)
 
 # Column types of the trip files; every other column stays text.
@@ -34,9 +32,8 @@ def add_ride_mins(df: DataFrame) -> DataFrame:
     """Ride length in minutes, unless the file has it or lacks a time column (A3)."""
     if "ride_mins" in df.columns or not {"started_at", "ended_at"} <= set(df.columns):
         return df
-    length = cal.exact_seconds(F.col("ended_at")) - cal.exact_seconds(F.col("started_at"))
     # Whole seconds of the difference, toward zero.
-    whole = F.when(length < 0, F.ceil(F.round(length, 6))).otherwise(F.floor(F.round(length, 6)))
+    whole = (F.col("ended_at") - F.col("started_at")).cast("interval second").cast("bigint")
     return df.withColumn("ride_mins", whole / 60.0)
 
 

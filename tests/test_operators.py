@@ -452,8 +452,32 @@ def test_more_restarts_never_cost_more(spark):
     assert cost(4) <= cost(1) + 1e-12
 
 
-def test_exact_seconds_keep_fractions(spark):
-    df = frame(spark, [(ts("2024-01-01 00:00:01.250000"),)], "t timestamp_ntz").select(
-        cal.exact_seconds(F.col("t")).alias("x"), cal.whole_seconds(F.col("t")).alias("w")
+def test_half_hours_round_away_from_the_start(spark):
+    start = "2024-01-01 19:00:00"
+    cases = {
+        "2024-01-01 18:45:00": -1,
+        "2024-01-01 18:45:00.000001": 0,
+        "2024-01-01 18:44:59.999999": -1,
+        "2024-01-01 18:15:00": -2,
+        "2024-01-01 19:00:00": 0,
+        "2024-01-01 19:14:59.999999": 0,
+        "2024-01-01 19:15:00": 1,
+        "2024-01-01 20:45:00": 4,
+    }
+    df = frame(spark, [(ts(t), ts(start)) for t in cases], "t timestamp_ntz, s timestamp_ntz")
+    assert column(df.select(cal.interval_offset(F.col("t"), F.col("s"), 1800).alias("x")), "x") == list(cases.values())
+
+
+def test_games_starting_together_share_counts(spark):
+    raw = frame(
+        spark,
+        [(1, ts("2024-01-03 19:00:00"), 147, "Yankee Stadium"), (2, ts("2024-01-03 19:10:00"), 121, "Citi Field")],
+        "game_id int, game_datetime timestamp_ntz, home_team_id int, venue_name string",
     )
-    assert tuple(df.first()) == (1704067201.25, 1704067201)
+    data = trips(spark, trip("1", "2024-01-03 19:05:00", "2024-01-03 20:05:00", "A", "B"))
+    near = frame(spark, [("Yankee Stadium", "A", "Name A", True), ("Citi Field", "B", "Name B", True)], NEAR)
+    rows = events.game_day_demand(data, staging.stage_games(raw), near, frame(spark, [], NO_HOLIDAYS)).collect()
+    assert sorted((r.game_id, r.station_id, r.trips_started_game_day, r.trips_ended_game_day) for r in rows) == [
+        (1, "A", 1, 0),
+        (2, "B", 0, 1),
+    ]
