@@ -379,6 +379,14 @@ cte(
 )
 SQL["net_flow_baseline"] = query("SELECT * FROM net_flow", "net_flow")
 
+SQL["net_flow_per_day"] = query(
+    f"""SELECT cluster_id, day_of_week, hour, observed_days, {r('net_flow / observed_days', 'net_flow_per_day')}
+    FROM net_flow LEFT JOIN (SELECT dayofweek(ride_date) AS day_of_week, count(DISTINCT ride_date) AS observed_days
+        FROM trips GROUP BY 1) USING (day_of_week)""",
+    "net_flow",
+    "trips",
+)
+
 # Factors: weather joined to single trips.
 for name, precip in (("conditions", "sum(w.precip)"), ("conditions_per_day", "any_value(w.precip)")):
     cte(

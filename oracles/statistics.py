@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracles import marts  # noqa: F401  (defines the marts' expressions)
-from oracles.inputs import query, r, rs
+from oracles.inputs import cte, query, r, rs
 
 SQL: dict[str, str] = {}
 
@@ -60,10 +60,17 @@ for name, by in (("bin_means_temperature", "temp_category"), ("bin_means_rain",
     GROUP BY {by} ORDER BY avg(trips_total) DESC, {by}""",
         "effect",
     )
+cte(
+    "hourly",
+    """
+    SELECT ride_date, cast(hour(started_at) AS bigint) AS hour_of_day, count(*) AS trips FROM trips GROUP BY ALL""",
+    "trips",
+)
 FENCES = """SELECT quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.5) AS median, quantile_cont({x}, 0.75) AS q3 FROM {t}"""
 SQL["iqr_outliers"] = query(
-    f"""SELECT event_id, value FROM events, ({FENCES.format(x='value', t='events')})
-    WHERE value < q1 - 1.5e0 * (q3 - q1) OR value > q3 + 1.5e0 * (q3 - q1)"""
+    f"""SELECT ride_date, hour_of_day, trips FROM hourly, ({FENCES.format(x='trips', t='hourly')})
+    WHERE trips < q1 - 1.5e0 * (q3 - q1) OR trips > q3 + 1.5e0 * (q3 - q1)""",
+    "hourly",
 )
 BOUNDS = f"{r('q1 - 1.5e0 * (q3 - q1)', 'lower_bound')}, {r('q3 + 1.5e0 * (q3 - q1)', 'upper_bound')}"
 SQL["iqr_bounds"] = query(

@@ -45,3 +45,20 @@ def baseline_net_flow(trips: DataFrame, clusters: DataFrame) -> DataFrame:
         .withColumn("day_name", cal.day_name_of(F.col("day_of_week")))
         .withColumn("hour_label", cal.hour_label(F.col("hour")))
     )
+
+
+def per_observed_day(net_flow: DataFrame, trips: DataFrame) -> DataFrame:
+    """Net flow as a mean over the days seen per weekday; the baseline itself holds totals."""
+    days = (
+        trips.select("ride_date")
+        .distinct()
+        .groupBy(cal.day_number(F.col("ride_date")).alias("day_of_week"))
+        .agg(F.count(F.lit(1)).alias("observed_days"))
+    )
+    return net_flow.join(days, "day_of_week", "left").select(
+        "cluster_id",
+        "day_of_week",
+        "hour",
+        "observed_days",
+        (F.col("net_flow") / F.col("observed_days")).alias("net_flow_per_day"),
+    )

@@ -1,4 +1,8 @@
-"""Figures behind the home, weather and exploration pages."""
+"""Figures behind the home, weather and exploration pages.
+
+Exact quantiles keep one entry per distinct value, so they belong on marts of days or hours,
+whose size the calendar sets; ``approximate=True`` is the form for anything larger.
+"""
 
 from __future__ import annotations
 
@@ -113,8 +117,7 @@ def _quartiles(column: str, approximate: bool, accuracy: int) -> Column:
 def iqr_bounds(df: DataFrame, column: str, approximate: bool = False, accuracy: int = 10000) -> DataFrame:
     """Quartiles and the 1.5 IQR fences of a column, one row (K8).
 
-    Exact, linearly interpolated quartiles suit marts of days; ``approximate=True`` keeps a
-    bounded sketch for columns with very many distinct values.
+    Exact quartiles are linearly interpolated; approximate ones come from a bounded sketch.
     """
     q = F.col("q")
     iqr = q[2] - q[0]

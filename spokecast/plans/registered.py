@@ -415,6 +415,12 @@ def net_flow_baseline(spark, sf):
     return net_flow_of(spark, sf)
 
 
+@register
+def net_flow_per_day(spark, sf):
+    """M20 divided by the days observed per weekday."""
+    return net_flow.per_observed_day(net_flow_of(spark, sf), trips_of(spark, sf))
+
+
 @register
 def adjustment_factors(spark, sf):
     """C2, D11, D12, G3, B16."""
@@ -487,8 +493,8 @@ def bin_means_rain(spark, sf):
 
 @register_exact
 def iqr_outliers(spark, sf):
-    """K8 over order totals per day, where outliers exist."""
-    return statistics.iqr_outliers(raw.load(spark, sf, "events").select("event_id", "value"), "value")
+    """K8 over hourly demand; like every mart of days and hours its size is set by the calendar."""
+    return statistics.iqr_outliers(hour_cube(spark, sf).select("ride_date", "hour_of_day", "trips"), "trips")
 
 
 @register

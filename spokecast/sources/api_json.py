@@ -131,67 +131,78 @@ def merge_holidays(entries: DataFrame) -> DataFrame:
     merged: names in first-seen order, counties sorted, types Public, Federal, then by
     name, flags true if any is, the earliest launch year.
 
-    Names, types and counties are first cut to distinct values with their first place, so a
-    date's arrays hold distinct values only, however many rows it has.
+    Every entry becomes rows of (kind, value), cut to distinct values with their first place
+    before a date is put together.  A date's lists hold distinct values only, however many
+    entries it has, and the entries are read once.
     """
     day = ["source_year", "date"]
-    values = F.array(
-        F.struct(F.lit("name").alias("kind"), F.array(_non_empty(F.col("name"))).alias("values")),
-        F.struct(F.lit("local").alias("kind"), F.array(_non_empty(F.col("localName"))).alias("values")),
-        F.struct(F.lit("type").alias("kind"), F.col("types").alias("values")),
-        F.struct(F.lit("county").alias("kind"), F.col("counties").alias("values")),
-    )
+
+    own = {
+        "own_name": F.col("name"),
+        "own_local": F.col("localName"),
+        "own_country": F.col("countryCode"),
+        "own_types": _joined(F.col("types")),
+        "own_counties": _joined(F.col("counties")),
+    }
+    lists = {
+        **{kind: F.array(value) for kind, value in own.items()},
+        "name": F.array(_non_empty(F.col("name"))),
+        "local": F.array(_non_empty(F.col("localName"))),
+        "type": F.col("types"),
+        "county": F.col("counties"),
+    }
+    flags = ("position", "fixed", "global", "launchYear")
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("values")) for k, v in lists.items()])
     distinct = (
-        entries.select(*day, "position", F.explode(values).alias("v"))
-        .select(*day, "position", "v.kind", F.explode("v.values").alias("value"))
-        .filter("value is not null")
+        entries.select(*day, *flags, F.explode(kinds).alias("k"))
+        .select(*day, *flags, "k.kind", F.explode("k.values").alias("value"))
         .groupBy(*day, "kind", "value")
-        .agg(F.min("position").alias("position"))
+        .agg(
+            F.min("position").alias("position"),
+            F.count(F.lit(1)).alias("entries"),
+            F.bool_or("fixed").alias("fixed"),
+            F.bool_or("global").alias("global"),
+            F.min("launchYear").alias("launch_year"),
+            F.min(F.nullif(F.col("launchYear"), F.lit(0))).alias("known_year"),
+        )
     )
-    type_rank = F.col("value")
     type_rank = F.coalesce(
-        *[F.when(type_rank == name, F.lit(i)) for i, name in enumerate(TYPE_ORDER)], F.lit(len(TYPE_ORDER))
+        *[F.when(F.col("value") == name, F.lit(i)) for i, name in enumerate(TYPE_ORDER)], F.lit(len(TYPE_ORDER))
     )
 
     def listed(kind: str, order: Column) -> Column:
-        pairs = F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct(order.alias("o"), "value"))))
+        wanted = (F.col("kind") == kind) & F.col("value").isNotNull()
+        pairs = F.sort_array(F.collect_list(F.when(wanted, F.struct(order.alias("o"), "value"))))
         return F.transform(pairs, lambda p: p["value"]).alias(kind)
 
-    lists = distinct.groupBy(*day).agg(
+    def first(kind: str) -> Column:
+        return F.min_by("value", F.when(F.col("kind") == kind, F.col("position"))).alias(kind)
+
+    dates = distinct.groupBy(*day).agg(
+        F.sum(F.when(F.col("kind") == "own_country", F.col("entries"))).alias("n"),
+        *[first(kind) for kind in own],
         listed("name", F.col("position")),
         listed("local", F.col("position")),
         listed("type", type_rank),
         listed("county", F.lit(0)),
+        *[F.bool_or(c).alias(c) for c in ("fixed", "global")],
+        *[F.min(c).alias(c) for c in ("launch_year", "known_year")],
     )
-    first = F.struct("name", "localName", "countryCode", "fixed", "global", "types", "counties", "launchYear")
-    scalars = entries.groupBy(*day).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min_by(first, "position").alias("f"),
-        F.coalesce(F.bool_or("fixed"), F.lit(False)).alias("any_fixed"),
-        F.coalesce(F.bool_or("global"), F.lit(False)).alias("any_global"),
-        F.min(F.nullif(F.col("launchYear"), F.lit(0))).alias("first_year"),
-    )
-    lone = F.col("n") == 1
 
     def pick(single: Column, merged: Column) -> Column:
-        return F.when(lone, single).otherwise(merged)
-
-    local = F.when(F.size("local") > 0, F.array_join("local", " and ")).otherwise(F.col("f.localName"))
-    return (
-        scalars.join(lists, [scalars[c].eqNullSafe(lists[c]) for c in day], "left")
-        .select(
-            scalars["date"],
-            pick(F.col("f.name"), F.array_join(F.coalesce("name", F.array().cast("array<string>")), " and ")).alias(
-                "holiday_name"
-            ),
-            pick(F.col("f.localName"), local).alias("local_name"),
-            F.col("f.countryCode").alias("country_code"),
-            pick(F.col("f.fixed"), F.col("any_fixed")).alias("is_fixed"),
-            pick(F.col("f.global"), F.col("any_global")).alias("is_global"),
-            pick(_joined(F.col("f.counties")), _joined(F.col("county"))).alias("counties"),
-            pick(F.col("f.launchYear"), F.col("first_year")).alias("launch_year"),
-            pick(_joined(F.col("f.types")), _joined(F.col("type"))).alias("holiday_types"),
-            F.current_timestamp().alias("_dlt_load_timestamp"),
-            scalars["source_year"],
-        )
+        return F.when(F.col("n") == 1, single).otherwise(merged)
+
+    locals_ = F.when(F.size("local") > 0, F.array_join("local", " and ")).otherwise(F.col("own_local"))
+    return dates.select(
+        "date",
+        pick(F.col("own_name"), F.array_join("name", " and ")).alias("holiday_name"),
+        pick(F.col("own_local"), locals_).alias("local_name"),
+        F.col("own_country").alias("country_code"),
+        pick(F.col("fixed"), F.coalesce("fixed", F.lit(False))).alias("is_fixed"),
+        pick(F.col("global"), F.coalesce("global", F.lit(False))).alias("is_global"),
+        pick(F.col("own_counties"), _joined(F.col("county"))).alias("counties"),
+        pick(F.col("launch_year"), F.col("known_year")).alias("launch_year"),
+        pick(F.col("own_types"), _joined(F.col("type"))).alias("holiday_types"),
+        F.current_timestamp().alias("_dlt_load_timestamp"),
+        "source_year",
     )
