@@ -6,10 +6,10 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from spokecast.functions import geo
 from spokecast.session import cut_lineage
+from spokecast.sources.tables import literal_table
 
 # Clusters, seed and restarts of the dimension.
 CLUSTERS = 30
@@ -40,15 +40,10 @@ def station_clusters(
         model = KMeans(k=k, seed=seed + restart, maxIter=MAX_ITERATIONS, tol=0.0).fit(points)
         if best is None or model.summary.trainingCost < best.summary.trainingCost:
             best = model
-    schema = StructType(
-        [
-            StructField("cluster_id", IntegerType()),
-            StructField("centroid_lat", DoubleType()),
-            StructField("centroid_lon", DoubleType()),
-        ]
-    )
     centres = [(i, float(c[0]), float(c[1])) for i, c in enumerate(best.clusterCenters())]
-    centroids = stations.sparkSession.createDataFrame(centres, schema)
+    centroids = literal_table(
+        stations.sparkSession, centres, "cluster_id int, centroid_lat double, centroid_lon double"
+    )
     distance = geo.haversine_km(
         F.col("latitude"), F.col("longitude"), F.col("centroid_lat"), F.col("centroid_lon")
     )

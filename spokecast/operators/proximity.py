@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spokecast.functions import geo
+from spokecast.sources.tables import literal_table
 
 # The venue dimension and the walking radius.
 STADIUM_SCHEMA = (
@@ -21,9 +22,9 @@ WALKING_KM = 1.0
 KM_PER_DEGREE = math.pi * geo.EARTH_RADIUS_KM / 180
 
 
-def dim_stadiums(spark: SparkSession) -> DataFrame:
+def dim_stadiums(spark: SparkSession, stadiums: tuple[tuple, ...] = STADIUMS) -> DataFrame:
     """The two venues."""
-    return spark.createDataFrame(STADIUMS, STADIUM_SCHEMA).withColumn("geocoded_at", F.current_timestamp())
+    return literal_table(spark, stadiums, STADIUM_SCHEMA).withColumn("geocoded_at", F.current_timestamp())
 
 
 def station_proximity(

@@ -55,7 +55,7 @@ def build_core(
         core[name] = warehouse.view(name, warehouse.store("core", name, df, **how))
 
     keep("dim_stations", stations.dim_stations(trips))
-    keep("dim_stadiums", warehouse.spark.createDataFrame(stadiums, proximity.STADIUM_SCHEMA))
+    keep("dim_stadiums", proximity.dim_stadiums(warehouse.spark, stadiums))
     keep("fct_station_proximity", proximity.station_proximity(core["dim_stations"], stadiums))
     keep("dim_station_clusters", clusters.station_clusters(core["dim_stations"], k=k))
     keep("fct_trips_daily", daily.trips_daily(trips))

@@ -187,7 +187,7 @@ def station_proximity(spark, sf):
 @register
 def nearby_stations(spark, sf):
     """C12."""
-    stadiums = spark.createDataFrame(raw.TEST_STADIUMS, proximity.STADIUM_SCHEMA)
+    stadiums = proximity.dim_stadiums(spark, raw.TEST_STADIUMS)
     places = stations_of(spark, sf)
     return proximity.nearby_stations(near_of(places), places, stadiums)
 
@@ -195,7 +195,7 @@ def nearby_stations(spark, sf):
 @register
 def nearby_pairs_banded(spark, sf):
     """M9 restricted to a radius by latitude bands."""
-    stadiums = spark.createDataFrame(raw.TEST_STADIUMS, proximity.STADIUM_SCHEMA)
+    stadiums = proximity.dim_stadiums(spark, raw.TEST_STADIUMS)
     return proximity.nearby_pairs(stadiums, stations_of(spark, sf), NEAR_KM)
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spokecast.sources.tables import literal_table
+
 # Venues placed on two stations of the derived trips.
 TEST_STADIUMS = (
     (1, "Yankee Stadium", "1 E 161st St, Bronx, NY 10451", 40.693, -74.001, "Bronx", "NY"),
@@ -69,7 +71,8 @@ def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_holidays(spark: SparkSession) -> DataFrame:
     """The holidays beside the events' month; two share a date."""
-    return spark.createDataFrame(
+    return literal_table(
+        spark,
         [
             ("2024-01-01", "New Year", "Public", 2024),
             ("2024-01-15", "Civic Day", "Federal,Optional", 2024),

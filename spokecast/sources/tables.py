@@ -5,12 +5,24 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # The layers, and which of them are stored.
 VIEW_LAYERS = ("staging",)
 TABLE_LAYERS = ("core", "marts")
 
 
+def literal_table(spark: SparkSession, rows: list[tuple] | tuple[tuple, ...], schema: str) -> DataFrame:
+    """A few fixed rows as literals of the plan, so that Spark knows how small the table is."""
+    fields = StructType.fromDDL(schema).fields
+
+    def row(values: tuple):
+        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, fields, strict=True)])
+
+    return spark.range(1).select(F.inline(F.array(*[row(r) for r in rows])))
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Where tables live; ``root`` is a folder every executor can reach."""
