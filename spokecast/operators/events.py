@@ -7,7 +7,7 @@ to these counts, so a busy station or day never gathers in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spokecast.functions import calendar as cal
@@ -48,8 +48,8 @@ def _in_window(start: Column, end: Column) -> Column:
     return F.col("started_at").between(start, end) | F.col("ended_at").between(start, end)
 
 
-def _station_counts(hits: DataFrame, anchor: Column, *keys: str) -> DataFrame:
-    """Starts and ends per key, station and signed half hour around ``anchor``.
+def _station_counts(hits: DataFrame, *keys: str) -> DataFrame:
+    """Starts and ends per key, station and signed half hour around the ``anchor`` column.
 
     A trip gives one leg per distinct station: its start station at the start time (also
     counted as an end when it returned there), its end station at the end time.  That
@@ -73,7 +73,7 @@ def _station_counts(hits: DataFrame, anchor: Column, *keys: str) -> DataFrame:
     )
     offset = cal.interval_offset(F.col("leg.at"), F.col("anchor"), INTERVAL_SECONDS)
     return (
-        hits.select(*[k for k in keys if k != "anchor"], anchor.alias("anchor"), F.explode(legs).alias("leg"))
+        hits.select(*dict.fromkeys([*keys, "anchor"]), F.explode(legs).alias("leg"))
         .filter("leg.station_id is not null")
         .groupBy(*keys, F.col("leg.station_id").alias("station_id"), offset.alias("interval_offset"))
         .agg(F.sum("leg.started").alias("trips_started"), F.sum("leg.ended").alias("trips_ended"))
@@ -94,7 +94,7 @@ def game_day_counts(trips: DataFrame, games: DataFrame) -> DataFrame:
         F.col("game_date").alias("ride_date"), F.col("game_datetime").alias("anchor"), "window_start", "window_end"
     ).distinct()
     hits = _trip_legs(trips).join(slots, "ride_date").filter(_in_window(F.col("window_start"), F.col("window_end")))
-    counts = _station_counts(hits, F.col("anchor"), "anchor").withColumnRenamed("anchor", "game_datetime")
+    counts = _station_counts(hits, "anchor").withColumnRenamed("anchor", "game_datetime")
     return windows.select(*GAME_KEYS).join(counts, "game_datetime")
 
 
@@ -114,7 +114,7 @@ def same_window_baseline(trips: DataFrame, games: DataFrame, holidays: DataFrame
     A window lasts nine hours and a ride at most twelve, so a matching trip starts within a
     day of the window; those few candidate days replace the join on the weekday alone.  No
     candidate is another date of the same weekday, hence the baseline is empty, as in the
-    mart; ``time_of_day_baseline`` is the usable form.
+    mart; ``time_of_day`` is the usable form.
     """
     first = F.date_sub(F.to_date("window_start"), MAX_RIDE_DAYS)
     days = (
@@ -125,51 +125,50 @@ def same_window_baseline(trips: DataFrame, games: DataFrame, holidays: DataFrame
         .join(_free_days(games, holidays), "ride_date", "left_anti")
     )
     hits = _trip_legs(trips).join(days, "ride_date").filter(_in_window(F.col("window_start"), F.col("window_end")))
-    daily = _station_counts(hits, F.col("game_datetime"), "game_id", "ride_date")
-    return _mean_per_day(daily)
+    daily = _station_counts(hits.withColumnRenamed("game_datetime", "anchor"), "game_id", "ride_date")
+    # One row per day, so the rows are the observed days.
+    return daily.groupBy("game_id", "station_id", "interval_offset").agg(
+        *[(F.sum(c) / F.count(F.lit(1))).alias(f"avg_{c}") for c in COUNTS]
+    )
+
+
+def _with_same_window(trips: DataFrame, games: DataFrame, holidays: DataFrame) -> DataFrame:
+    usual = same_window_baseline(trips, games, holidays)
+    return game_day_counts(trips, games).join(usual, ["game_id", "station_id", "interval_offset"], "left")
 
 
-def time_of_day_baseline(trips: DataFrame, games: DataFrame, holidays: DataFrame) -> DataFrame:
-    """Mean counts at the same time of day on other dates of the same weekday.
+def _with_time_of_day(trips: DataFrame, games: DataFrame, holidays: DataFrame) -> DataFrame:
+    """Game-day counts beside the mean at the same time of day on other dates of the weekday.
 
     Game starts are whole hours, so trips are counted once per (day, start hour, station,
-    half hour), with at most 24 start hours; games only meet these counts.
+    half hour), with at most 24 start hours.  The mean is a window over those counts, whose
+    partitions hold one row per date; game days then pick their rows.  Trips are read once.
     """
     windows = _windows(games).withColumn("hour", F.hour("game_datetime"))
     # At most 7 x 24 rows by construction, hence safe to broadcast whatever the data.
     slots = F.broadcast(windows.select(F.dayofweek("game_date").alias("dow"), "hour").distinct())
-    midnight = F.col("ride_date").cast("timestamp_ntz")
-    at = midnight + F.make_dt_interval(F.lit(0), F.col("hour"))
-    lasts = cal.hours(3 + HOURS_AFTER)
+    anchor = F.col("ride_date").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("hour"))
     candidates = (
         _trip_legs(trips)
         .withColumn("dow", F.dayofweek("ride_date"))
         .join(slots, "dow")
-        .withColumn("anchor_at", at)
-        .filter(_in_window(F.col("anchor_at") - cal.hours(HOURS_BEFORE), F.col("anchor_at") + lasts))
+        .withColumn("anchor", anchor)
+        .filter(_in_window(F.col("anchor") - cal.hours(HOURS_BEFORE), F.col("anchor") + cal.hours(3 + HOURS_AFTER)))
     )
-    per_day = _station_counts(candidates, F.col("anchor_at"), "ride_date", "hour")
-    usable = per_day.join(_free_days(games, holidays), "ride_date", "left_anti")
-    # Counts are joined to games per weekday and hour: sums first, as games share their slot.
-    per_slot = (
-        usable.withColumn("dow", F.dayofweek("ride_date"))
-        .groupBy("dow", "hour", "station_id", "interval_offset")
-        .agg(*_mean_columns())
-    )
-    return (
-        windows.select("game_id", F.dayofweek("game_date").alias("dow"), "hour")
-        .join(per_slot, ["dow", "hour"])
-        .drop("dow", "hour")
+    per_day = _station_counts(candidates, "ride_date", "hour")
+    taken = _free_days(games, holidays).withColumn("taken", F.lit(True))
+    same = Window.partitionBy(F.dayofweek("ride_date"), "hour", "station_id", "interval_offset")
+    usable = F.col("taken").isNull()
+    days = F.nullif(F.count(F.when(usable, 1)).over(same), F.lit(0))
+    with_mean = per_day.join(taken, "ride_date", "left").select(
+        F.col("ride_date").alias("game_date"),
+        "hour",
+        "station_id",
+        "interval_offset",
+        *COUNTS,
+        *[(F.sum(F.when(usable, F.col(c))).over(same) / days).alias(f"avg_{c}") for c in COUNTS],
     )
-
-
-def _mean_columns() -> list[Column]:
-    """Means over the observed days; input has one row per day."""
-    return [(F.sum(c) / F.count(F.lit(1))).alias(f"avg_{c}") for c in COUNTS]
-
-
-def _mean_per_day(daily: DataFrame) -> DataFrame:
-    return daily.groupBy("game_id", "station_id", "interval_offset").agg(*_mean_columns())
+    return windows.select(*GAME_KEYS, "hour").join(with_mean, ["game_date", "hour"])
 
 
 def game_day_demand(
@@ -183,11 +182,9 @@ def game_day_demand(
 
     ``baseline`` is ``same_window`` (the mart's definition, always empty) or ``time_of_day``.
     """
-    build = {"same_window": same_window_baseline, "time_of_day": time_of_day_baseline}[baseline]
+    build = {"same_window": _with_same_window, "time_of_day": _with_time_of_day}[baseline]
     near = proximity.filter("within_1km").select("stadium_name", "station_id", "station_name")
-    counted = game_day_counts(trips, games).join(near, ["stadium_name", "station_id"])
-    usual = build(trips, games, holidays)
-    joined = counted.join(usual, ["game_id", "station_id", "interval_offset"], "left")
+    joined = build(trips, games, holidays).join(near, ["stadium_name", "station_id"])
     started, ended = F.col("trips_started"), F.col("trips_ended")
     avg = {c: F.coalesce(F.col(f"avg_{c}"), F.lit(0.0)) for c in COUNTS}
 

@@ -137,24 +137,20 @@ def merge_holidays(entries: DataFrame) -> DataFrame:
     """
     day = ["source_year", "date"]
 
-    own = {
-        "own_name": F.col("name"),
-        "own_local": F.col("localName"),
-        "own_country": F.col("countryCode"),
-        "own_types": _joined(F.col("types")),
-        "own_counties": _joined(F.col("counties")),
-    }
-    lists = {
-        **{kind: F.array(value) for kind, value in own.items()},
-        "name": F.array(_non_empty(F.col("name"))),
-        "local": F.array(_non_empty(F.col("localName"))),
+    # Names stay as they came here; empty ones are left out where they are listed.
+    kinds = {
+        "name": F.array("name"),
+        "local": F.array("localName"),
+        "country": F.array("countryCode"),
+        "own_types": F.array(_joined(F.col("types"))),
+        "own_counties": F.array(_joined(F.col("counties"))),
         "type": F.col("types"),
         "county": F.col("counties"),
     }
     flags = ("position", "fixed", "global", "launchYear")
-    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("values")) for k, v in lists.items()])
+    parts = F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("values")) for k, v in kinds.items()])
     distinct = (
-        entries.select(*day, *flags, F.explode(kinds).alias("k"))
+        entries.select(*day, *flags, F.explode(parts).alias("k"))
         .select(*day, *flags, "k.kind", F.explode("k.values").alias("value"))
         .groupBy(*day, "kind", "value")
         .agg(
@@ -171,16 +167,16 @@ def merge_holidays(entries: DataFrame) -> DataFrame:
     )
 
     def listed(kind: str, order: Column) -> Column:
-        wanted = (F.col("kind") == kind) & F.col("value").isNotNull()
+        wanted = (F.col("kind") == kind) & _non_empty(F.col("value")).isNotNull()
         pairs = F.sort_array(F.collect_list(F.when(wanted, F.struct(order.alias("o"), "value"))))
         return F.transform(pairs, lambda p: p["value"]).alias(kind)
 
     def first(kind: str) -> Column:
-        return F.min_by("value", F.when(F.col("kind") == kind, F.col("position"))).alias(kind)
+        return F.min_by("value", F.when(F.col("kind") == kind, F.col("position")))
 
     dates = distinct.groupBy(*day).agg(
-        F.sum(F.when(F.col("kind") == "own_country", F.col("entries"))).alias("n"),
-        *[first(kind) for kind in own],
+        F.sum(F.when(F.col("kind") == "country", F.col("entries"))).alias("n"),
+        *[first(kind).alias(f"first_{kind}") for kind in ("name", "local", "country", "own_types", "own_counties")],
         listed("name", F.col("position")),
         listed("local", F.col("position")),
         listed("type", type_rank),
@@ -192,17 +188,17 @@ def merge_holidays(entries: DataFrame) -> DataFrame:
     def pick(single: Column, merged: Column) -> Column:
         return F.when(F.col("n") == 1, single).otherwise(merged)
 
-    locals_ = F.when(F.size("local") > 0, F.array_join("local", " and ")).otherwise(F.col("own_local"))
+    locals_ = F.when(F.size("local") > 0, F.array_join("local", " and ")).otherwise(F.col("first_local"))
     return dates.select(
         "date",
-        pick(F.col("own_name"), F.array_join("name", " and ")).alias("holiday_name"),
-        pick(F.col("own_local"), locals_).alias("local_name"),
-        F.col("own_country").alias("country_code"),
+        pick(F.col("first_name"), F.array_join("name", " and ")).alias("holiday_name"),
+        pick(F.col("first_local"), locals_).alias("local_name"),
+        F.col("first_country").alias("country_code"),
         pick(F.col("fixed"), F.coalesce("fixed", F.lit(False))).alias("is_fixed"),
         pick(F.col("global"), F.coalesce("global", F.lit(False))).alias("is_global"),
-        pick(F.col("own_counties"), _joined(F.col("county"))).alias("counties"),
+        pick(F.col("first_own_counties"), _joined(F.col("county"))).alias("counties"),
         pick(F.col("launch_year"), F.col("known_year")).alias("launch_year"),
-        pick(F.col("own_types"), _joined(F.col("type"))).alias("holiday_types"),
+        pick(F.col("first_own_types"), _joined(F.col("type"))).alias("holiday_types"),
         F.current_timestamp().alias("_dlt_load_timestamp"),
         "source_year",
     )

@@ -14,7 +14,8 @@ def connect(sf_dir: str):
     con = duckdb.connect()
     for path in glob.glob(f"{sf_dir}/*.parquet"):
         name = os.path.basename(path)[: -len(".parquet")]
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{files}')")
     return con
 
 
