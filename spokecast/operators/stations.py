@@ -60,6 +60,15 @@ def dim_stations(trips: DataFrame) -> DataFrame:
     )
 
 
+def rides_are_unique(trips: DataFrame) -> bool:
+    """Whether every known ride id occurs once.
+
+    The check moves ride ids only, a fraction of what grouping whole trip ends would.
+    """
+    repeated = trips.filter("ride_id is not null").groupBy("ride_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return repeated.isEmpty()
+
+
 def station_stats(stations: DataFrame, trips: DataFrame, ride_ids_unique: bool = False) -> DataFrame:
     """Starts, ends, duration and member share per station; unused stations count 0.
 

@@ -67,12 +67,15 @@ def build_marts(
     warehouse: Warehouse,
     staged: dict[str, DataFrame],
     core: dict[str, DataFrame],
-    ride_ids_unique: bool = False,
+    ride_ids_unique: bool | None = None,
 ) -> dict[str, DataFrame]:
     """The eleven marts.
 
-    ``ride_ids_unique`` may be set when the raw trips were loaded by the keyed merge.
+    ``ride_ids_unique`` may be set when the raw trips were loaded by the keyed merge; left
+    open, it is checked.
     """
+    if ride_ids_unique is None:
+        ride_ids_unique = stations.rides_are_unique(staged["stg_bike_trips"])
     trips, feasts, games = staged["stg_bike_trips"], staged["stg_holidays"], staged["stg_games"]
     cube, places = core["int_start_cube"], core["dim_stations"]
     marts: dict[str, DataFrame] = {}
@@ -111,7 +114,7 @@ def refresh(
     raw: dict[str, DataFrame],
     stadiums: tuple[tuple, ...] = proximity.STADIUMS,
     k: int = clusters.CLUSTERS,
-    ride_ids_unique: bool = False,
+    ride_ids_unique: bool | None = None,
 ) -> dict[str, DataFrame]:
     """Build everything; returns all models by name."""
     staged = stage(warehouse, raw)

@@ -165,6 +165,11 @@ def test_station_stats_distinct_rides_and_unused_stations(spark):
     assert (b.start_trip_count, b.end_trip_count, b.avg_start_duration, b.member_pct) == (0, 1, None, None)
 
 
+def test_unique_rides_check(spark):
+    df = frame(spark, [("1",), ("2",), (None,), (None,)], "ride_id string")
+    assert stations.rides_are_unique(df) and not stations.rides_are_unique(df.union(df))
+
+
 def test_station_stats_shortcut_on_unique_rides(spark, sf_dir):
     from spokecast.plans.registered import trips_of
 

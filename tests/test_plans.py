@@ -7,6 +7,7 @@ import pytest
 from __spark_entry__ import queries
 from spokecast.operators import holidays, quality, stations
 from spokecast.plans import build, registered
+from spokecast.plans.presentation import ORDER, shown
 from spokecast.sources import driver_tables, trip_files
 from spokecast.sources.tables import Warehouse
 
@@ -98,8 +99,12 @@ def test_full_refresh_and_quality_run(spark, sf_dir, tmp_path):
         "games": driver_tables.raw_games(spark, sf_dir),
     }
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
-    models = build.refresh(warehouse, raw, stadiums=driver_tables.TEST_STADIUMS, k=5, ride_ids_unique=True)
+    models = build.refresh(warehouse, raw, stadiums=driver_tables.TEST_STADIUMS, k=5)
     assert len(models) == 4 + 6 + 11
+    changes = [r.trips_pct_change for r in shown("mart_holiday_impact_by_area", models["mart_holiday_impact_by_area"]).filter(
+        "holiday_date = '2024-01-15'").collect()]
+    assert changes == sorted(changes, reverse=True)
+    assert set(ORDER) <= set(models)
     assert all(models[n].count() > 0 for n in models if n != "mart_game_rebalancing")
 
     def same(model, query):
