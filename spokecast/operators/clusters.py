@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -17,6 +20,8 @@ SEED = 42
 RESTARTS = 10
 MAX_ITERATIONS = 100
 
+STATIONS_PER_TASK = 50_000
+
 
 def station_clusters(
     stations: DataFrame, k: int = CLUSTERS, seed: int = SEED, restarts: int = RESTARTS
@@ -24,22 +29,25 @@ def station_clusters(
     """Label, centroid and distance to it for every located station (K2, K3, K1, C14).
 
     MLlib fits from ``restarts`` seeds and the cheapest model wins.  The located stations are
-    written once to the shared folder, in a fixed order, so restarts neither rescan trips nor
-    depend on how the input was split.  Only the ``k`` centroids pass the driver.
+    written once to the shared folder, so restarts never rescan trips, and put in a fixed
+    order, so they do not depend on how the input was split.  Tasks follow the number of
+    stations, not the size of the cluster.  Only the ``k`` centroids pass the driver.
     """
-    located = (
-        stations.filter("latitude is not null and longitude is not null")
-        .select("station_id", "station_name", "latitude", "longitude")
-        .repartitionByRange(max(1, stations.sparkSession.sparkContext.defaultParallelism), "station_id")
-        .sortWithinPartitions("station_id")
+    located = cut_lineage(
+        stations.filter("latitude is not null and longitude is not null").select(
+            "station_id", "station_name", "latitude", "longitude"
+        )
     )
+    tasks = math.ceil(located.count() / STATIONS_PER_TASK) or 1
+    ordered = located.repartitionByRange(tasks, "station_id").sortWithinPartitions("station_id")
     vectors = VectorAssembler(inputCols=["latitude", "longitude"], outputCol="features")
-    points = cut_lineage(vectors.transform(located))
+    points = vectors.transform(ordered).persist(StorageLevel.MEMORY_AND_DISK)
     best = None
     for restart in range(restarts):
         model = KMeans(k=k, seed=seed + restart, maxIter=MAX_ITERATIONS, tol=0.0).fit(points)
         if best is None or model.summary.trainingCost < best.summary.trainingCost:
             best = model
+    points.unpersist()
     centres = [(i, float(c[0]), float(c[1])) for i, c in enumerate(best.clusterCenters())]
     centroids = literal_table(
         stations.sparkSession, centres, "cluster_id int, centroid_lat double, centroid_lon double"
