@@ -158,8 +158,8 @@ cte(
         CASE n_nationkey % 2 WHEN 0 THEN 'Yankees' ELSE 'Mets' END AS home_team_name, n_name AS away_team_name,
         CASE WHEN n_nationkey % 5 = 0 THEN 'Away Park' WHEN n_nationkey % 2 = 0 THEN 'Yankee Stadium II'
             ELSE 'Citi Field NY' END AS venue_name,
-        TIMESTAMP '2024-01-02 19:00:00' + to_days(n_nationkey) + to_minutes(n_nationkey * 7 % 60) AS game_datetime
-    FROM nation WHERE n_nationkey % 4 IN (0, 1)""",
+        TIMESTAMP '2024-01-02 19:00:00' + to_days(n_nationkey * 2 % 28) + to_minutes(n_nationkey * 7 % 60) AS game_datetime
+    FROM nation""",
 )
 cte("games", staged_games("raw_games", "home_team_name, away_team_name, "), "raw_games")
 cte("home_games", "SELECT * FROM games WHERE stadium_name IN ('Yankee Stadium', 'Citi Field')", "games")

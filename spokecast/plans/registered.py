@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from spokecast.functions import geo
 from spokecast.operators import (
     clusters,
     daily,

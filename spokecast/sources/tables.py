@@ -8,11 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# The layers, and which of them are stored.
-VIEW_LAYERS = ("staging",)
-TABLE_LAYERS = ("core", "marts")
-
-
 def literal_table(spark: SparkSession, rows: list[tuple] | tuple[tuple, ...], schema: str) -> DataFrame:
     """A few fixed rows as literals of the plan, so that Spark knows how small the table is."""
     fields = StructType.fromDDL(schema).fields
