@@ -5,9 +5,10 @@ from __future__ import annotations
 import pytest
 from compare import connect, differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import LLM_ORACLES, LLM_QUERIES, entry, oracle_sql, queries
 
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES = {k: v for k, v in queries().items() if k not in LLM_QUERIES}
+SQL = {k: v for k, v in oracle_sql().items() if k not in LLM_ORACLES}
 
 
 @pytest.fixture(scope="module")
