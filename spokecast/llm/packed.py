@@ -19,14 +19,19 @@ SCHEMA = "bucket int, kind int, data binary"
 
 
 def pack(buckets: np.ndarray, columns: list[np.ndarray], kind: int = 0) -> Iterator[pa.RecordBatch]:
-    """The columns' rows by bucket, each bucket's columns one after the other in one value."""
+    """The columns' rows by bucket, each bucket's columns one after the other in one value.
+
+    A column's bytes stand by significance, so that the shuffle's compression finds the equal ones; rows
+    keep their order within a bucket.
+    """
     if not len(buckets):
         return
     order = np.argsort(buckets, kind="stable")
     buckets = buckets[order]
     columns = [c[order] for c in columns]
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(buckets)) + 1, [len(buckets)]])
-    data = [b"".join(c[a:b].tobytes() for c in columns) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    wide = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1) for c in columns]
+    data = [b"".join(w[a:b].T.tobytes() for w in wide) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     yield pa.RecordBatch.from_arrays(
         [pa.array(buckets[cuts[:-1]].astype(np.int32)), pa.array(np.full(len(data), kind, np.int32)), pa.array(data, pa.binary())],
         names=["bucket", "kind", "data"],
@@ -40,8 +45,9 @@ def unpack(data: list[bytes], kinds: list[str]) -> list[np.ndarray]:
     for d in data:
         n, at = len(d) // width, 0
         for column, kind in zip(out, kinds, strict=True):
-            column.append(np.frombuffer(d, kind, n, at))
-            at += n * np.dtype(kind).itemsize
+            size = np.dtype(kind).itemsize
+            column.append(np.frombuffer(d, np.uint8, n * size, at).reshape(size, n).T.copy().view(kind).reshape(n))
+            at += n * size
     return [np.concatenate(c) if c else np.empty(0, k) for c, k in zip(out, kinds, strict=True)]
 
 

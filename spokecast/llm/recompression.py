@@ -31,9 +31,10 @@ from spokecast.llm.packed import SCHEMA, SPREAD, dealt, first_of_groups, pack, p
 from spokecast.llm.text import Names, chunks, covered, mix, owner, pick, string_column, sums, texts, whole_windows, window_names
 
 WIDTH = 20
-ROUNDS = 6
+#: A third round's symbols are decided by so many words that few windows hold one.
+ROUNDS = 2
 #: Text bytes for each partition.
-BYTES_EACH = 16 << 20
+BYTES_EACH = 128 << 20
 #: A stretch has at most so many windows, then its first and last window cover all its words.
 STRETCH = 20
 
@@ -92,6 +93,7 @@ def anchors(names: np.ndarray, first: np.ndarray, width: int, rounds: int = ROUN
     best = np.full(len(inside), np.iinfo(np.uint64).max, np.uint64)
     free = inside.copy()
     levels = symbols(names, of, rounds)
+    powers = [window_names(names, 1 << k) for k in range(width.bit_length())]
     for r in range(len(levels) - 1, -1, -1):
         if not free.any():
             break
@@ -102,7 +104,7 @@ def anchors(names: np.ndarray, first: np.ndarray, width: int, rounds: int = ROUN
         use[use] = open_[high[use] + 1] > open_[low[use]]
         low, high, name = low[use], high[use], name[use]
         # The round is part of the name: a window's symbols of lower rounds are not looked at.
-        key = (mix(name) >> np.uint64(4)) | np.uint64((15 - r) << 60)
+        key = (_with_context(name, begin[use], end[use], powers) >> np.uint64(4)) | np.uint64((15 - r) << 60)
         length = high - low + 1
         at = np.arange(length.sum()) + np.repeat(low - np.cumsum(length) + length, length)
         keep = free[at]
@@ -112,6 +114,17 @@ def anchors(names: np.ndarray, first: np.ndarray, width: int, rounds: int = ROUN
     return best
 
 
+def _with_context(name: np.ndarray, begin: np.ndarray, end: np.ndarray, powers: list[np.ndarray]) -> np.ndarray:
+    """A symbol's name together with the words that decide on it: two windows of a power of two cover them."""
+    out = mix(name)
+    size = np.floor(np.log2(end - begin)).astype(int)
+    for k, rolled in enumerate(powers):
+        at = np.flatnonzero(size == k)
+        if len(at):
+            out[at] = mix(mix(out[at] + rolled[begin[at]]) * np.uint64(3) + rolled[end[at] - (1 << k)])
+    return out
+
+
 def _order(ids: pa.Array) -> np.ndarray:
     """Integer keys as unsigned numbers in the same order; null comes first."""
     signed = np.array([-(1 << 63) if x is None else x for x in ids.to_pylist()], np.int64)
@@ -163,7 +176,12 @@ def _send_stretches(chunk: _Chunk, width: int, buckets: int) -> Iterator[pa.Reco
     scattered = mix(columns[1] + columns[3].view(np.uint64)) % np.uint64(buckets)
     sent_by_name = np.zeros(len(new), bool)
     sent_by_name[kept[head | ~several]] = True
-    yield from pack(np.where(sent_by_name, by_name, scattered).astype(np.int64), [*columns, flag])
+    yield from _packed(np.where(sent_by_name, by_name, scattered), [*columns, flag])
+
+
+def _packed(bucket: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    order = np.lexsort((columns[4], columns[3]))
+    yield from pack(bucket[order].astype(np.int64), [c[order] for c in columns])
 
 
 def _replies(row: np.ndarray, kind: np.ndarray, start: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -221,7 +239,7 @@ def _send_windows(chunk: _Chunk, found: list[bytes | None], width: int, buckets:
     columns = [c[order] for c in columns]
     new = first_of_groups(*columns[:2])
     bucket = np.where(new, columns[0] >> np.uint64(8), mix(columns[1] + columns[3].view(np.uint64))) % np.uint64(buckets)
-    yield from pack(bucket.astype(np.int64), [*columns, np.where(new, 0, REPEATED).astype("u1")])
+    yield from _packed(bucket, [*columns, np.where(new, 0, REPEATED).astype("u1")])
 
 
 def _judge_windows(data: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -277,11 +295,12 @@ def repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_co
 
     sent = rows.select("id", "text", "row").mapInArrow(_by_chunk(lambda c: _send_stretches(c, width, buckets)), SCHEMA)
     replies = dealt(sent, partitions).mapInArrow(_received(_judge_stretches), "row bigint, found binary")
-    stretches = replies.groupBy("row").agg(F.collect_list("found").alias("found"))
+    # By the same partitions as the texts, which then stay where they are.
+    stretches = replies.repartition(partitions, "row").groupBy("row").agg(F.collect_list("found").alias("found"))
     unsure = rows.join(stretches, "row").select("id", "text", "row", "found")
     sent = unsure.mapInArrow(_by_chunk(lambda c, found: _send_windows(c, found, width, buckets), "found"), SCHEMA)
     replies = dealt(sent, partitions).mapInArrow(_received(_judge_windows), "row bigint, found binary")
-    windows = replies.groupBy("row").agg(F.collect_list("found").alias("more"))
+    windows = replies.repartition(partitions, "row").groupBy("row").agg(F.collect_list("found").alias("more"))
 
     def cut(chunk: _Chunk, part: pa.RecordBatch):
         gone = np.zeros(len(chunk.names), bool)
