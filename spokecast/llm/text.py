@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 CHUNK_BYTES = 4 << 20
 #: Entries after which a worker's table of word names is emptied; it only saves time.
-NAMES_KEPT = 1 << 20
+NAMES_KEPT = 400_000
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
