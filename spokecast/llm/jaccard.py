@@ -293,7 +293,8 @@ def _components(docs: DataFrame, width: int, percent: int, id_col: str, text_col
     classes = cut_lineage(classes)
     members = classes.join(near.withColumnRenamed("node", "row"), "row").select("row", "root", "n_shingles")
     groups = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")).where("n > 1")
-    groups = groups.withColumn("blocks", F.ceil(F.col("shingles") / GROUP_SHINGLES))
+    # Stored, so that a group with very many members is a skewed join that can be split.
+    groups = cut_lineage(groups.withColumn("blocks", F.ceil(F.col("shingles") / GROUP_SHINGLES)))
     blocks = cut_lineage(members.join(groups, "root").withColumn("block", F.pmod(F.xxhash64("row"), "blocks")))
     cells = blocks.select("row", "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     cells = cells.select("row", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
@@ -303,7 +304,7 @@ def _components(docs: DataFrame, width: int, percent: int, id_col: str, text_col
 
     placed = classes.join(linked.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
     placed = cut_lineage(placed)
-    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    least = cut_lineage(placed.groupBy("root").agg(F.min("least").alias("component_id")))
     placed = placed.join(least, "root").select(*same, "root", "component_id")
     columns = ["row", "id", "n_shingles", "root", "component_id"]
     of_words = meta.where("n_shingles > 0").join(placed, same).select(*columns)
@@ -328,7 +329,7 @@ def representatives(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     """``docs`` with one document of each component, that of the least key, and all without words."""
     found = cut_lineage(_components(docs, width, percent, id_col, text_col).where("root IS NOT NULL"))
     first = F.min(F.struct(F.col("id").isNull().alias("without"), "id", "row"))
-    groups = found.groupBy("root").agg(F.count("*").alias("n"), first["row"].alias("first")).where("n > 1")
+    groups = cut_lineage(found.groupBy("root").agg(F.count("*").alias("n"), first["row"].alias("first")).where("n > 1"))
     gone = found.join(groups, "root").where("row <> first").select("row")
     names = [f"c{i}" for i in range(len(docs.columns))]
     rows = docs.toDF(*names).withColumn("row", F.monotonically_increasing_id())
