@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame
 
 from spokecast.llm.text import Shared, map_chunks, pick, string_column
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Entries after which a worker's tables of known pieces are emptied; they only save time.
-PIECES_KEPT = 600_000
+PIECES_KEPT = 250_000
 
 #: Fixed value: the published pre-token pattern of byte-level BPE vocabularies; white space is spelt out,
 #: since the vocabularies mean the Unicode property.
@@ -275,7 +275,7 @@ def decode(rows: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: st
         decoder = shared.tool()
         for whole in batches:
             sizes = pa.compute.fill_null(pa.compute.list_value_length(whole.column("ids")), 0).to_numpy(zero_copy_only=False)
-            groups = np.cumsum(sizes.astype(np.int64)) // (1 << 20)
+            groups = np.cumsum(sizes.astype(np.int64)) // (1 << 18)
             for begin, end in _runs(groups):
                 batch = whole.slice(begin, end - begin)
                 first = np.zeros(end - begin + 1, np.int64)
