@@ -1,10 +1,12 @@
 """N-gram Jaccard self-join: documents that share enough word shingles, and their components.
 
-Two sets of similarity ``t`` differ in at most a known number D of shingles.  A document's prefix is
-extended over its whole set, in the order of a hash, and dealt into D + 1 token classes and a few more:
-the shingles of one class make one combination, so at least one combination is equal in both documents.
-Combinations have several shingles each, where single shingles would tie together all that share a
-passage; only in classes with one shingle is it a single token.  What shares a combination is verified.
+Two sets of similarity ``t`` differ in at most a known number D of shingles.  A document's shingles are dealt by
+hash into more than D token classes; all its shingles of one class are one k-token combination, a single
+token where the class has no other.  A similar pair differs in D classes at most, so of its f
+combinations a document shares f - D at least.  Combinations are ordered rare ones first, which no other document
+has, then the frequent ones by hash; the prefix of D + 1 combinations holds one that the pair shares.
+Documents whose prefix is all rare have no partner, the others are indexed by the frequent combinations of
+their prefix.  What is connected through the index is verified shingle by shingle.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ KEYS_EACH = 1 << 21
 GROUP_SHINGLES = 1 << 19
 #: Each size class ends at so many times its begin; two similar sets are in the same class or in neighbours.
 CLASS_RATIO = 1.5
+#: Per cent of token classes beyond those that can differ: the more, the fewer documents share enough by chance.
+SPARE = 60
 
 
 class Sizes:
@@ -38,7 +42,7 @@ class Sizes:
         self.percent, self.bounds = percent, np.array(bounds)
         # y shingles and at most y / t on the other side: they differ in y (1 - t) / t at most.
         self.differ = (self.bounds[1:] - 1) * (100 - percent) // percent
-        self.classes = self.differ + 1 + np.where(self.differ, 2 + self.differ // 16, 0)
+        self.classes = self.differ + 1 + (self.differ * SPARE + 99) // 100
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.bounds, sizes, side="right") - 1
@@ -71,43 +75,38 @@ def shingle_sets(words: list[list[bytes]], names_of: Names, width: int) -> tuple
     return np.concatenate([names[:0], *sets]), at
 
 
-def combinations(tokens: np.ndarray, first: np.ndarray, sizes: Sizes) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the combinations of all sets, and the number of the set of each."""
+def combinations(tokens: np.ndarray, first: np.ndarray, sizes: Sizes) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For the sets' own size class, and for that of their least partner if it is another: the names of all
+    combinations, where each set's begin, and how many combinations of a set a partner may lack beyond its prefix.
+
+    A set with no more combinations than may differ has its empty classes named too, and all as its prefix.
+    """
     count = np.diff(first)
-    spread, out_keys, out_sets = mix(tokens ^ np.uint64(0x5851F42D4C957F2D)), [], []
-    value = mix(tokens)
-    own = np.where(count > 0, sizes.of(np.maximum(count, 1)), -1)
-    least = np.where(count > 0, sizes.of_least_partner(np.maximum(count, 1)), -1)
+    spread, value = mix(tokens ^ np.uint64(0x5851F42D4C957F2D)), mix(tokens)
+    own, least = sizes.of(np.maximum(count, 1)), sizes.of_least_partner(np.maximum(count, 1))
+    of, out = owner(first), []
     for kind, chosen in ((own, count > 0), (least, (count > 0) & (least != own))):
-        sets = np.flatnonzero(chosen)
-        if not len(sets):
-            continue
-        classes = np.zeros(len(count), np.int64)
-        classes[sets] = sizes.classes[kind[sets]]
+        classes = np.where(chosen, sizes.classes[kind], 0)
         begin = np.concatenate([[0], np.cumsum(classes)])
-        of = owner(first)
         mine = chosen[of]
-        place = begin[:-1][of[mine]] + (spread[mine] % np.maximum(classes, 1)[of[mine]].astype(np.uint64)).astype(np.int64)
+        place = begin[of[mine]] + (spread[mine] % np.maximum(classes, 1)[of[mine]].astype(np.uint64)).astype(np.int64)
         total, filled = np.zeros(begin[-1], np.uint64), np.zeros(begin[-1], bool)
         np.add.at(total, place, value[mine])
         filled[place] = True
         of_class = np.repeat(np.arange(len(count)), classes)
-        number = np.arange(begin[-1]) - begin[:-1][of_class]
-        full = np.add.reduceat(np.append(filled, False).astype(np.int64), begin[:-1][sets])
-        # Classes without a shingle count as equal too, but matter only where few others are left.
-        few = np.zeros(len(count), bool)
-        few[sets] = full <= sizes.differ[kind[sets]]
+        full = np.bincount(of_class, filled, len(count)).astype(np.int64)
+        differ = sizes.differ[kind]
+        few = full <= differ
         used = filled | few[of_class]
-        label = (kind[of_class] << 32) + number
-        out_keys.append(mix(mix(total[used]) + mix(label[used].astype(np.uint64))))
-        out_sets.append(of_class[used])
-    if not out_keys:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    return np.concatenate(out_keys), np.concatenate(out_sets)
+        label = (kind[of_class] << 32) + np.arange(begin[-1]) - begin[of_class]
+        names = mix(mix(total[used]) + mix(label[used].astype(np.uint64)))
+        at = np.concatenate([[0], np.cumsum(np.bincount(of_class[used], minlength=len(count)))])
+        out.append((names, at, np.where(few, 0, full - differ - 1)))
+    return out
 
 
 def _signatures(rows: DataFrame, width: int, sizes: Sizes) -> DataFrame:
-    """Per row its key, size and fingerprint of the set, and its combinations in one binary value."""
+    """Per row its key, size and fingerprint of the set, and its combinations in binary values."""
 
     def make():
         names_of = Names()
@@ -115,42 +114,107 @@ def _signatures(rows: DataFrame, width: int, sizes: Sizes) -> DataFrame:
         def work(batch):
             words = [t.translate(LOWER).split() for t in texts(batch, "text")]
             tokens, first = shingle_sets(words, names_of, width)
-            keys, sets = combinations(tokens, first, sizes)
-            order = np.argsort(sets, kind="stable")
-            cuts = np.searchsorted(sets[order], np.arange(len(words) + 1)).tolist()
-            keys = keys[order]
+            found = combinations(tokens, first, sizes)
             prints = []
             for seed in (1, 2):
                 total = np.concatenate([[np.uint64(0)], np.cumsum(mix(tokens + np.uint64(seed)), dtype=np.uint64)])
                 prints.append((total[first[1:]] - total[first[:-1]]).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row"),
-                    batch.column("id"),
-                    pa.array(np.diff(first)),
-                    pa.array(prints[0]),
-                    pa.array(prints[1]),
-                    pa.array(np.diff(cuts)),
-                    pa.array([keys[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
-                ],
-                names=["row", "id", "n_shingles", "print1", "print2", "n_keys", "keys"],
-            )
+            columns = [batch.column("row"), batch.column("id"), pa.array(np.diff(first)), *map(pa.array, prints)]
+            for keys, at, spare in found:
+                cuts = at.tolist()
+                columns += [pa.array(spare), pa.array([keys[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "n_shingles", "print1", "print2", "spare0", "keys0", "spare1", "keys1"])
 
         return work
 
     kind = rows.schema["id"].dataType.simpleString()
-    schema = f"row bigint, id {kind}, n_shingles bigint, print1 bigint, print2 bigint, n_keys bigint, keys binary"
+    schema = f"row bigint, id {kind}, n_shingles bigint, print1 bigint, print2 bigint, spare0 bigint, keys0 binary, spare1 bigint, keys1 binary"
     return map_chunks(rows, schema, "text", make)
 
 
-def _near(signatures: DataFrame, n_keys: int) -> DataFrame:
+SENT = ["u8", "i8", "i4", "u1", "u1"]
+KNOWN = 1
+
+
+def _prefixes(signatures: DataFrame, partitions: int) -> DataFrame:
+    """Per row with any the frequent combinations (``keys``) of its prefix.
+
+    Within a chunk, a combination that several rows have is known to be frequent; one row asks for it by
+    name, to tell the other chunks, and the rest go by row.
+    """
+    buckets = np.uint64(partitions * SPREAD)
+
+    def send(batches: Iterator[pa.RecordBatch]):
+        held: list[tuple[np.ndarray, int, int, int]] = []
+        amount = 0
+
+        def out():
+            if not held:
+                return
+            sizes = [len(k) for k, *_ in held]
+            keys = np.concatenate([k for k, *_ in held])
+            row, spare, kind = (np.repeat(np.array([h[i] for h in held], t), sizes) for i, t in ((1, "i8"), (2, "i4"), (3, "u1")))
+            order = np.lexsort((row, keys))
+            keys, row, spare, kind = keys[order], row[order], spare[order], kind[order]
+            new = first_of_groups(keys)
+            group = np.cumsum(new) - 1
+            several = np.bincount(group)[group] > 1
+            bucket = np.where(new, keys >> np.uint64(20), mix(row.view(np.uint64))) % buckets
+            order = np.argsort(row, kind="stable")
+            yield from pack(bucket[order].astype(np.int64), [c[order] for c in (keys, row, spare, kind, np.where(several, KNOWN, 0).astype("u1"))])
+
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("row", "spare0", "keys0", "spare1", "keys1")]
+            for row, spare0, keys0, spare1, keys1 in zip(*columns, strict=True):
+                for kind, spare, keys in ((0, spare0, keys0), (1, spare1, keys1)):
+                    if keys:
+                        held.append((np.frombuffer(keys, np.uint64), row, spare, kind))
+                        amount += len(keys)
+                if amount >= 8 << 20:
+                    yield from out()
+                    held.clear()
+                    amount = 0
+        yield from out()
+
+    def receive(batches: Iterator[pa.RecordBatch]):
+        keys, row, spare, kind, flag = unpack([d for b in batches for d in b.column("data").to_pylist()], SENT)
+        order = np.argsort(keys, kind="stable")
+        keys, row, spare, kind, flag = keys[order], row[order], spare[order], kind[order], flag[order]
+        group = np.cumsum(first_of_groups(keys)) - 1
+        frequent = (np.bincount(group) > 1)[group] | (flag == KNOWN)
+        at = np.flatnonzero(frequent)
+        at = at[np.lexsort((kind[at], row[at]))]
+        cuts = np.append(np.flatnonzero(first_of_groups(row[at], kind[at])), len(at)).tolist()
+        if len(at):
+            heads = at[cuts[:-1]]
+            data = [keys[at[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row[heads]), pa.array(spare[heads]), pa.array(kind[heads].astype(np.int32)), pa.array(data, pa.binary())],
+                names=["row", "spare", "kind", "found"],
+            )
+
+    def choose(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            rows, out = [], []
+            for row, spare, found in zip(*(batch.column(c).to_pylist() for c in ("row", "spare", "found")), strict=True):
+                keys = np.sort(np.frombuffer(b"".join(found), np.uint64))
+                if len(keys) > spare:
+                    rows.append(row)
+                    out.append(keys[: len(keys) - spare].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(out, pa.binary())], names=["row", "keys"])
+
+    sent = signatures.select("row", "spare0", "keys0", "spare1", "keys1").mapInArrow(send, SCHEMA)
+    replies = dealt(sent, partitions).mapInArrow(receive, "row bigint, spare int, kind int, found binary")
+    together = replies.groupBy("row", "kind").agg(F.min("spare").alias("spare"), F.collect_list("found").alias("found"))
+    return together.select("row", "spare", "found").mapInArrow(choose, "row bigint, keys binary")
+
+
+def _near(prefixes: DataFrame, partitions: int) -> DataFrame:
     """Pairs (a, b) of rows with an equal combination, as stars: every row with the least of its combination.
 
     Within a chunk each combination is sent on once, so one that a third of all rows share reaches
     its task with a row for each chunk.
     """
-    spark = signatures.sparkSession
-    partitions = partitions_for(spark, n_keys, KEYS_EACH)
     buckets = np.uint64(partitions * SPREAD)
 
     def star(keys, rows):
@@ -190,7 +254,7 @@ def _near(signatures: DataFrame, n_keys: int) -> DataFrame:
         a, b = unpack(data[1], ["i8", "i8"])
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([pairs[0], a])), pa.array(np.concatenate([pairs[1], b]))], names=["a", "b"])
 
-    sent = signatures.select("row", "keys").mapInArrow(send, SCHEMA)
+    sent = prefixes.mapInArrow(send, SCHEMA)
     return dealt(sent, partitions).mapInArrow(receive, "a bigint, b bigint")
 
 
@@ -284,8 +348,9 @@ def _components(docs: DataFrame, width: int, percent: int, id_col: str, text_col
     _signatures(rows, width, sizes).write.parquet(path)
     signatures = spark.read.parquet(path)
     meta = signatures.select("row", "id", "n_shingles", "print1", "print2")
-    n_keys = signatures.agg(F.sum("n_keys")).first()[0] or 0
-    near = components(_near(signatures, n_keys))
+    n_bytes = signatures.agg(F.sum(F.octet_length("keys0") + F.octet_length("keys1"))).first()[0] or 0
+    partitions = partitions_for(spark, n_bytes // 8, KEYS_EACH)
+    near = components(_near(_prefixes(signatures, partitions), partitions))
 
     # Of equal sets one is compared.
     same = ["print1", "print2", "n_shingles"]
