@@ -27,9 +27,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words that repeat an earlier passage of 20 words; ``n_chars`` follows the text."""
-    left = recompression.without_repeats(docs)
-    changed = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return changed.select(*docs.columns)
+    return recompression.without_repeats(docs, length_col="n_chars")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

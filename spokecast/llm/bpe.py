@@ -19,11 +19,11 @@ import pyarrow.compute
 import regex
 from pyspark.sql import DataFrame
 
-from spokecast.llm.text import Shared, map_chunks, pick, string_column
+from spokecast.llm.text import Shared, give_back, map_chunks, pick, string_column
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Entries after which a worker's tables of known pieces are emptied; they only save time.
-PIECES_KEPT = 250_000
+PIECES_KEPT = 120_000
 
 #: Fixed value: the published pre-token pattern of byte-level BPE vocabularies; white space is spelt out,
 #: since the vocabularies mean the Unicode property.
@@ -283,6 +283,7 @@ def decode(rows: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: st
                 ids = batch.column("ids").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 texts_ = [_repaired(b) for b in decoder.decode(ids, first)]
                 yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("ids"), string_column(texts_)], names=["id", "ids", "decoded"])
+        give_back()
 
     kind = slim.schema["id"].dataType.simpleString()
     return slim.mapInArrow(run, f"id {kind}, ids array<int>, decoded string").withColumnsRenamed({"id": id_col, "ids": ids_col})

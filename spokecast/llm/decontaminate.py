@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spokecast.llm.text import Names, Shared, chunks, covered, map_chunks, owner, pick, sums, texts, window_names, whole_windows
+from spokecast.llm.text import CHUNK_BYTES, Names, Shared, chunks, covered, give_back, map_chunks, owner, pick, sums, texts, window_names, whole_windows
 
 WIDTH = 13
 #: Bytes of benchmark text that may be broadcast at once.
@@ -207,11 +207,12 @@ def without_contaminated(
     def run(batches):
         windows, names_of = shared.tool(), Names()
         for batch in batches:
-            for part in chunks(batch, column, 4 << 20):
+            for part in chunks(batch, column, CHUNK_BYTES):
                 words = [words_of(t) for t in texts(part, column)]
                 word_names, first = names_of.of(words)
                 hit, _ = windows.hits(words, word_names, first)
                 n_hit = sums(hit, first)
                 yield part.filter(pa.array(~((n_hit > 0) & (share * n_hit >= np.diff(first)))))
+        give_back()
 
     return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)

@@ -35,7 +35,7 @@ class Shapes(dict):
         code = 1 + bool(letters and letters[0].isupper())
         code += 2 * bool(len(letters) > 1 and all(c.isupper() for c in letters))
         code += 4 * any(c.isdigit() for c in text) + 8 * bool(self.SYMBOL.search(word)) + 16 * (not text[-1].isalnum()) + 32 * (not letters)
-        if len(self) < 1 << 20:
+        if len(self) < 100_000:
             self[word] = code
         return code
 

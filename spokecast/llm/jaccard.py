@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from spokecast.llm.graph import components
 from spokecast.llm.packed import SCHEMA, SPREAD, dealt, first_of_groups, pack, partitions_for, unpack
-from spokecast.llm.text import LOWER, Names, map_chunks, mix, owner, pick, texts, whole_windows, window_names
+from spokecast.llm.text import LOWER, Names, give_back, map_chunks, mix, owner, pick, texts, whole_windows, window_names
 from spokecast.session import cut_lineage, scratch_path
 
 #: Combinations that one task sorts, and shingles of a group that one task compares.
@@ -170,11 +170,12 @@ def _prefixes(signatures: DataFrame, partitions: int) -> DataFrame:
                     if keys:
                         held.append((np.frombuffer(keys, np.uint64), row, spare, kind))
                         amount += len(keys)
-                if amount >= 8 << 20:
+                if amount >= 4 << 20:
                     yield from out()
                     held.clear()
                     amount = 0
         yield from out()
+        give_back()
 
     def receive(batches: Iterator[pa.RecordBatch]):
         keys, row, spare, kind, flag = unpack([d for b in batches for d in b.column("data").to_pylist()], SENT)
@@ -239,10 +240,11 @@ def _near(prefixes: DataFrame, partitions: int) -> DataFrame:
             for row, keys in zip(batch.column("row").to_pylist(), batch.column("keys").to_pylist(), strict=True):
                 held.append((row, keys))
                 amount += len(keys)
-                if amount >= 8 << 20:
+                if amount >= 4 << 20:
                     yield from out()
                     held, amount = [], 0
         yield from out()
+        give_back()
 
     def receive(batches: Iterator[pa.RecordBatch]):
         data: list[list[bytes]] = [[], []]
@@ -331,6 +333,7 @@ def _verified(grouped: DataFrame, width: int, percent: int) -> DataFrame:
                 side.append(block)
                 held.append(shingle_sets([text.translate(LOWER).split()], names_of, width)[0])
         yield from out()
+        give_back()
 
     return grouped.mapInArrow(run, "a bigint, b bigint")
 

@@ -28,11 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spokecast.llm.packed import SCHEMA, SPREAD, dealt, first_of_groups, pack, partitions_for, unpack
-from spokecast.llm.text import Names, chunks, covered, mix, owner, pick, string_column, sums, texts, whole_windows, window_names
+from spokecast.llm.text import Names, chunks, give_back, mix, owner, pick, string_column, sums, texts, whole_windows, window_names
 
 WIDTH = 20
 #: A third round's symbols are decided by so many words that few windows hold one.
 ROUNDS = 2
+CHUNK_BYTES = 2 << 20
 #: Text bytes for each partition.
 BYTES_EACH = 128 << 20
 #: A stretch has at most so many windows, then its first and last window cover all its words.
@@ -256,6 +257,7 @@ def _judge_windows(data: list[bytes]) -> Iterator[pa.RecordBatch]:
 def _received(judge):
     def run(batches: Iterator[pa.RecordBatch]):
         yield from judge([d for batch in batches for d in batch.column("data").to_pylist()])
+        give_back()
 
     return run
 
@@ -264,9 +266,10 @@ def _by_chunk(send, *more):
     def run(batches: Iterator[pa.RecordBatch]):
         names_of = Names()
         for batch in batches:
-            for part in chunks(batch, "text", 4 << 20):
+            for part in chunks(batch, "text", CHUNK_BYTES):
                 chunk = _Chunk(part, names_of)
                 yield from send(chunk, *(_together(part.column(c).to_pylist()) for c in more))
+        give_back()
 
     return run
 
@@ -315,7 +318,7 @@ def repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_co
     def apply(batches: Iterator[pa.RecordBatch]):
         names_of = Names()
         for batch in batches:
-            for part in chunks(batch, "text", 4 << 20):
+            for part in chunks(batch, "text", CHUNK_BYTES):
                 chunk = _Chunk(part, names_of)
                 gone = cut(chunk, part)
                 removed = sums(gone, chunk.first)
@@ -342,6 +345,7 @@ def repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_co
                     ],
                     schema=out_schema,
                 )
+        give_back()
 
     kind = slim.schema["id"].dataType.simpleString()
     schema = f"id {kind}, n_words bigint, n_removed bigint, removed array<struct<begin:int,end:int>>, kept string"
@@ -361,11 +365,20 @@ def _arrow_schema(spark, schema: str) -> pa.Schema:
     return to_arrow_schema(_parse_datatype_string(schema))
 
 
-def without_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the repeated words; a text that loses none stays as it is, to the last space."""
+def without_repeats(
+    docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None
+) -> DataFrame:
+    """``docs`` without the repeated words; a text that loses none stays as it is, to the last space.
+
+    ``length_col`` names a column that follows the text's length in characters.
+    """
     names = [f"c{i}" for i in range(len(docs.columns))]
     key, text = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
     rest = tuple(c for c in names if c not in (key, text))
     found = repeats(docs.toDF(*names), width, key, text, carry=rest, keep_text=True)
     left = found.withColumn(text, F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col(text)))
+    if length_col:
+        length = names[docs.columns.index(length_col)]
+        kind = docs.schema[docs.columns.index(length_col)].dataType
+        left = left.withColumn(length, F.when(F.col("n_removed") > 0, F.length(text).cast(kind)).otherwise(F.col(length)))
     return left.select(*names).toDF(*docs.columns)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spokecast.llm import bpe, decontaminate, jaccard, language, quality, recompression, repetition, sharding, toxicity, url_filter
+from spokecast.llm.text import pick
 
 SHARDS = 24
 SHARD_SEED = 7
@@ -46,7 +47,7 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    block_list = pages.where(url_filter.host_of(F.col("url")).rlike(LISTED_SITES)).select("url")
+    block_list = pick(pages, "url").where(url_filter.host_of(F.col("url")).rlike(LISTED_SITES))
     return url_filter.judge(pages, block_list, RULES)
 
 

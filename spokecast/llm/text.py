@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
@@ -13,9 +14,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 #: Entries after which a worker's table of word names is emptied; it only saves time.
-NAMES_KEPT = 400_000
+NAMES_KEPT = 200_000
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -44,10 +45,19 @@ def map_chunks(
         for batch in batches:
             for part in chunks(batch, text, chunk_bytes):
                 yield from work(part)
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system at a task's end, as workers wait idle for a minute with all they hold."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def chunks(batch: pa.RecordBatch, text: str, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
     sizes = pc.fill_null(pc.cast(pc.binary_length(batch.column(text)), pa.int64()), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes)
@@ -157,7 +167,7 @@ class Shared:
 
     def tool(self):
         if self.key not in _tools:
-            while len(_tools) >= 3:  # few at a time, so that a worker's memory stays bounded
+            while len(_tools) >= 2:  # few at a time, so that a worker's memory stays bounded
                 _tools.pop(next(iter(_tools)))
             _tools[self.key] = self.build(self.sent.value)
         return _tools[self.key]

@@ -31,7 +31,9 @@ ROUNDS = 8
 #: Weight of the labelled counts in the label model, in texts of each class.
 ANCHOR = 50.0
 COST = 0.5
-FLUSH = 200_000
+FLUSH = 100_000
+#: Words without features that a worker remembers; it only saves time.
+WORDS_KEPT = 100_000
 #: How far a feature's gain must be above what the best of as many features has by chance.
 SURE = 2.0
 #: Levels of a feature in a text: present, and these shares of its words.
@@ -67,7 +69,7 @@ class Table(dict):
         if known:
             row = len(self.rows)
             self.rows.append(known + [-1] * (self.width - len(known)))
-        if len(self) < 1 << 20 or row:
+        if len(self) < WORDS_KEPT or row:
             self[word] = row
         return row
 
