@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from spokecast.llm.graph import components
 from spokecast.llm.packed import SCHEMA, SPREAD, dealt, first_of_groups, pack, partitions_for, unpack
-from spokecast.llm.text import LOWER, Names, give_back, map_chunks, mix, owner, pick, texts, whole_windows, window_names
+from spokecast.llm.text import CHUNK_BYTES, LOWER, Names, chunks, give_back, map_chunks, mix, owner, pick, texts, whole_windows, window_names
 from spokecast.session import cut_lineage, scratch_path
 
 #: Combinations that one task sorts, and shingles of a group that one task compares.
@@ -184,30 +184,29 @@ def _prefixes(signatures: DataFrame, partitions: int) -> DataFrame:
         group = np.cumsum(first_of_groups(keys)) - 1
         frequent = (np.bincount(group) > 1)[group] | (flag == KNOWN)
         at = np.flatnonzero(frequent)
-        at = at[np.lexsort((kind[at], row[at]))]
-        cuts = np.append(np.flatnonzero(first_of_groups(row[at], kind[at])), len(at)).tolist()
-        if len(at):
-            heads = at[cuts[:-1]]
-            data = [keys[at[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row[heads]), pa.array(spare[heads]), pa.array(kind[heads].astype(np.int32)), pa.array(data, pa.binary())],
-                names=["row", "spare", "kind", "found"],
-            )
+        at = at[np.argsort(row[at], kind="stable")]
+        columns = [c[at] for c in (keys, row, spare, kind)]
+        yield from pack((mix(columns[1].view(np.uint64)) % buckets).astype(np.int64), columns)
+        give_back()
 
     def choose(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            rows, out = [], []
-            for row, spare, found in zip(*(batch.column(c).to_pylist() for c in ("row", "spare", "found")), strict=True):
-                keys = np.sort(np.frombuffer(b"".join(found), np.uint64))
-                if len(keys) > spare:
-                    rows.append(row)
-                    out.append(keys[: len(keys) - spare].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(out, pa.binary())], names=["row", "keys"])
+        keys, row, spare, kind = unpack([d for b in batches for d in b.column("data").to_pylist()], SENT[:4])
+        order = np.lexsort((keys, kind, row))
+        keys, row, spare, kind = keys[order], row[order], spare[order], kind[order]
+        new = first_of_groups(row, kind)
+        begin = np.flatnonzero(new)
+        size = np.diff(np.append(begin, len(keys)))
+        place = np.arange(len(keys)) - np.repeat(begin, size)
+        used = np.flatnonzero(place < np.repeat(size, size) - spare)
+        cuts = np.append(np.flatnonzero(first_of_groups(row[used])), len(used)).tolist()
+        if len(used):
+            data = [keys[used[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(row[used[cuts[:-1]]]), pa.array(data, pa.binary())], names=["row", "keys"])
+        give_back()
 
     sent = signatures.select("row", "spare0", "keys0", "spare1", "keys1").mapInArrow(send, SCHEMA)
-    replies = dealt(sent, partitions).mapInArrow(receive, "row bigint, spare int, kind int, found binary")
-    together = replies.groupBy("row", "kind").agg(F.min("spare").alias("spare"), F.collect_list("found").alias("found"))
-    return together.select("row", "spare", "found").mapInArrow(choose, "row bigint, keys binary")
+    replies = dealt(sent, partitions).mapInArrow(receive, SCHEMA)
+    return dealt(replies, partitions).mapInArrow(choose, "row bigint, keys binary")
 
 
 def _near(prefixes: DataFrame, partitions: int) -> DataFrame:
@@ -323,7 +322,7 @@ def _verified(grouped: DataFrame, width: int, percent: int) -> DataFrame:
                     [pa.array([rows[i] for i, _ in found], pa.int64()), pa.array([rows[j] for _, j in found], pa.int64())], names=["a", "b"]
                 )
 
-        for batch in batches:
+        for batch in (part for b in batches for part in chunks(b, "text", CHUNK_BYTES)):
             cells = zip(*(batch.column(c).to_pylist() for c in ("root", "i", "j")), strict=True)
             for now, row, block, text in zip(cells, batch.column("row").to_pylist(), batch.column("block").to_pylist(), texts(batch, "text"), strict=True):
                 if now != cell:
