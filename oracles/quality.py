@@ -174,9 +174,9 @@ SQL["dq_freshness"] = query(
     CASE WHEN days_old <= 10 THEN 'pass' WHEN days_old <= 15 THEN 'warn' ELSE 'error' END AS check_status
     FROM (SELECT source, last_date, datediff('day', last_date, DATE '2024-02-10') AS days_old FROM (
         SELECT 'bike_trips' AS source, cast(max(started_at) AS date) AS last_date FROM raw_trips
-        UNION ALL SELECT 'weather', max(date) FROM raw_weather WHERE precip > 0
+        UNION ALL SELECT 'weather', max(date) FROM raw_weather
         UNION ALL SELECT 'holidays', max(cast(date AS date)) FROM raw_holidays
-        UNION ALL SELECT 'games', max(cast(game_datetime AS date)) FROM raw_games WHERE home_team_id = 0))""",
+        UNION ALL SELECT 'games', max(cast(game_datetime AS date)) FROM raw_games))""",
     "raw_trips",
     "raw_weather",
     "raw_holidays",

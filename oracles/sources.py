@@ -81,6 +81,20 @@ SQL["merge_upsert"] = query(
         FROM lineitem WINDOW k AS (PARTITION BY l_orderkey, l_linenumber))
     WHERE NOT replaced OR place = 1"""
 )
+SQL["upsert_table"] = query(
+    """SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate,
+    cast(CASE WHEN l_quantity <> 7 THEN year(l_shipdate) END AS integer) AS ship_year
+    FROM (SELECT * REPLACE (cast(l_shipdate AS date) AS l_shipdate), row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+        ORDER BY cast(l_shipdate AS date) DESC NULLS LAST, l_extendedprice DESC, l_quantity DESC) AS place FROM lineitem)
+    WHERE place = 1"""
+)
+SQL["csv_ingest_drift"] = query(
+    """SELECT cast(ride_id AS varchar) AS ride_id, s AS started_at, e AS ended_at, start_station_id,
+    CASE WHEN ride_id % 3 <> 1 THEN member_casual END AS member_casual, CASE WHEN ride_id % 3 = 2 THEN 'late' END AS note,
+    datediff('second', s, e) / 60e0 AS ride_mins, strftime(started_at, '%Y%m') AS source_month
+    FROM (SELECT *, date_trunc('second', started_at) AS s, date_trunc('second', ended_at) AS e FROM raw_trips)""",
+    "raw_trips",
+)
 SQL["csv_ingest"] = query(
     """SELECT cast(ride_id AS varchar) AS ride_id, s AS started_at, e AS ended_at, start_station_id, start_lat,
     member_casual, datediff('second', s, e) / 60e0 AS ride_mins, strftime(started_at, '%Y%m') AS source_month

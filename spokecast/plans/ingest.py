@@ -46,12 +46,15 @@ def load_weather(spark: SparkSession, path: str, location: str, root: str) -> No
 
 
 def load_holidays(spark: SparkSession, pattern: str, start: str, end: str, root: str) -> None:
-    """Yearly holiday responses of a period; ``pattern`` has ``{year}``."""
+    """Yearly holiday responses of a period, each year's newest; ``pattern`` has ``{year}``."""
     responses = [
         api_json.read_bodies(spark, pattern.format(year=year)).withColumn("source_year", F.lit(year))
         for year in periods.years_between(start, end)
     ]
-    entries = api_json.parse_holidays(reduce(DataFrame.unionByName, responses))
+    if not responses:
+        raise FileNotFoundError(f"no holiday responses from {start} to {end}")
+    newest = api_json.newest_response(reduce(DataFrame.unionByName, responses), "source_year")
+    entries = api_json.parse_holidays(newest)
     _merge(spark, root, "holidays", api_json.merge_holidays(entries))
 
 

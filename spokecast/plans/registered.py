@@ -584,9 +584,9 @@ def dq_freshness(spark, sf):
     return quality.freshness(
         {
             "bike_trips": (tables["bike_trips"], "started_at"),
-            "weather": (tables["weather"].filter("precip > 0"), "date"),
+            "weather": (tables["weather"], "date"),
             "holidays": (tables["holidays"], "date"),
-            "games": (tables["games"].filter("home_team_id = 0"), "game_date"),
+            "games": (tables["games"], "game_date"),
         },
         "2024-02-10",
     )
@@ -651,6 +651,48 @@ def merge_upsert(spark, sf):
     )
 
 
+@register_exact
+def upsert_table(spark, sf):
+    """Line items loaded in three batches into a stored table, with a null partition."""
+    path = scratch_path(spark, "upsert")
+    items = raw.load(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", F.to_date("l_shipdate").alias("l_shipdate")
+    )
+    items = items.withColumn("ship_year", F.when(F.col("l_quantity") != 7, F.year("l_shipdate")))
+    batch = F.when(F.col("l_shipdate") < "1994-01-01", 1).when(F.col("l_shipdate") < "1996-01-01", 2).otherwise(3)
+    newest = [F.desc("l_shipdate"), F.desc("l_extendedprice"), F.desc("l_quantity")]
+    for number in (1, 2, 3):
+        merge.upsert_partitions(
+            spark, path, items.filter(batch == number), ["l_orderkey", "l_linenumber"], "ship_year", newest
+        )
+    return spark.read.parquet(path)
+
+
+@register_exact
+def csv_ingest_drift(spark, sf):
+    """A1, A2: a month's files with columns in another order, missing and added."""
+    folder = scratch_path(spark, "trip-drift")
+    trips = raw.raw_trips(spark, sf).select(
+        F.col("ride_id").alias("Ride ID"),
+        F.date_format("started_at", "yyyy-MM-dd HH:mm:ss").alias("Started At"),
+        F.date_format("ended_at", "yyyy-MM-dd HH:mm:ss").alias("Ended At"),
+        F.col("start_station_id").alias("Start Station Id"),
+        F.col("member_casual"),
+        F.date_format("started_at", "yyyyMM").alias("month"),
+    )
+    third = F.col("Ride ID") % 3
+    whole = ["Ride ID", "Started At", "Ended At", "Start Station Id", "member_casual"]
+    parts = [
+        trips.filter(third == 0).select(*whole, "month"),
+        trips.filter(third == 1).select(*whole[3::-1], "month"),
+        trips.filter((third == 2) | third.isNull()).select(*whole[::-1], F.lit("late").alias("Note"), "month"),
+    ]
+    for part in parts:
+        part.write.mode("append").partitionBy("month").option("header", True).csv(folder)
+    months = periods.months_between(spark, "2023-12-31", "2024-02-01")
+    return trip_files.read_months(spark, folder + "/month={month}", months).drop("_dlt_load_timestamp")
+
+
 @register_exact
 def csv_ingest(spark, sf):
     """A1-A4, A10: trips written as monthly CSV files, read back for a period."""

@@ -6,7 +6,7 @@ files are parsed in parallel.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Response layouts, team ids and the order of holiday types.
@@ -36,12 +36,20 @@ SOURCE_API = "mlb_stats_api"
 
 
 def read_bodies(spark: SparkSession, path: str) -> DataFrame:
-    """Response files, one whole text per file, with the file they came from."""
+    """Response files, one whole text per file, with the file they came from and its time."""
     return spark.read.text(path, wholetext=True).select(
-        F.col("value").alias("body"), F.col("_metadata.file_path").alias("source_file")
+        F.col("value").alias("body"),
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("landed_at"),
     )
 
 
+def newest_response(responses: DataFrame, by: str) -> DataFrame:
+    """Of the responses with equal ``by`` the one that landed last; entries of several are never merged."""
+    order = Window.partitionBy(by).orderBy(F.desc("landed_at"), F.desc("source_file"))
+    return responses.withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
+
+
 def parse_weather(responses: DataFrame, location: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Parallel arrays to one row per date; short arrays give nulls, no ``daily`` no rows (A5)."""
     daily = F.from_json("body", WEATHER_SCHEMA)["daily"]

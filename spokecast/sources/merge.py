@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from spokecast.session import cut_lineage
+
 
 def newest_per_key(batch: DataFrame, keys: list[str], newest: list[Column]) -> DataFrame:
     """One row per key; ``newest`` orders the rows of a key, first one wins.
@@ -31,16 +33,28 @@ def _read_table(spark: SparkSession, path: str, partition: str, like: DataFrame)
     return spark.read.schema(schema).parquet(path)
 
 
+def _in(partition: str, names: set) -> Column:
+    """Is the partition one of ``names``, which may hold null."""
+    known = [n for n in names if n is not None]
+    found = F.col(partition).isin(*known) if known else F.lit(False)
+    return found | F.col(partition).isNull() if None in names else found
+
+
 def upsert_partitions(
     spark: SparkSession, path: str, batch: DataFrame, keys: list[str], partition: str, newest: list[Column]
 ) -> None:
     """Merge a batch into a Parquet table partitioned by ``partition``, in place.
 
     Only partitions that hold a batch key or receive a batch row are read in full and
-    rewritten; the search for them reads keys alone.  The write replaces whole partitions
-    when the job commits, so a failed job leaves the table as it was.  A rebalance splits a
-    large partition over several files and joins small ones.
+    rewritten; the search for them reads keys alone.  A null partition is one like the others.
+    The batch is stored once, so every pass sees the same rows.  The write replaces whole
+    partitions when the job commits; a failure during that commit can leave some replaced and
+    some not, and a rerun of the batch repairs it.  A rebalance splits a large partition over
+    several files and joins small ones.
     """
+    batch = cut_lineage(batch)
+    if batch.isEmpty():
+        return
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     emptied: set = set()
@@ -53,11 +67,11 @@ def upsert_partitions(
         # Lists of partition names (months), not of rows.
         receiving = {r[0] for r in batch.select(partition).distinct().collect()}
         touched = receiving | {r[0] for r in hit.select(partition).distinct().collect()}
-        merged = merge_by_key(target.filter(F.col(partition).isin(*touched)), batch, keys, newest)
+        merged = merge_by_key(target.filter(_in(partition, touched)), batch, keys, newest)
         left = touched - receiving
         if left:
             # Keys moved away from these; a partition without any row is not overwritten, so drop it.
-            kept = merged.filter(F.col(partition).isin(*left)).select(partition).distinct().collect()
+            kept = merged.filter(_in(partition, left)).select(partition).distinct().collect()
             emptied = left - {r[0] for r in kept}
     (
         merged.hint("rebalance", partition)
@@ -66,5 +80,7 @@ def upsert_partitions(
         .partitionBy(partition)
         .parquet(path)
     )
+    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
     for name in emptied:
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{partition}={name}"), True)
+        place = named.getPartitionPathString(partition, None if name is None else str(name))
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, place), True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -40,12 +41,20 @@ def add_ride_mins(df: DataFrame) -> DataFrame:
 def read_trips(spark: SparkSession, paths: str | list[str], month: str) -> DataFrame:
     """One month's files as typed trips, stamped with the load time and month (A1, A4).
 
-    Cells are read as text and cast one by one, so an unreadable cell becomes null and its
-    row stays.  Station ids are text throughout; an old text variant of the end station
-    id fills its gaps.
+    Each file is read by its own header: files of equal headers together, then all by column
+    name, with nulls for columns that a file lacks.  Cells are read as text and cast one by
+    one, so an unreadable cell becomes null and its row stays.  Station ids are text
+    throughout; an old text variant of the end station id fills its gaps.
     """
-    text = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(paths)
-    df = normalise_header(text)
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    alike: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(paths).inputFiles()):
+        name = unquote(file)
+        alike.setdefault(tuple(reader.csv(name).columns), []).append(name)
+    texts = [normalise_header(reader.csv(files)) for header, files in alike.items() if header]
+    if not texts:
+        raise FileNotFoundError(f"no trip file with a header in {paths}")
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), texts)
     typed = df.select(
         *[F.col(c).try_cast(TRIP_TYPES[c]).alias(c) if c in TRIP_TYPES else F.col(c) for c in df.columns]
     )

@@ -16,11 +16,14 @@ from spokecast.sources.trip_files import TRIP_TYPES, add_ride_mins, normalise_he
 
 
 def landed_trips(spark: SparkSession, folder: str, columns: tuple[str, ...]) -> DataFrame:
-    """Trip files as a stream; ``columns`` are the file's own header names."""
+    """Trip files as a stream; ``columns`` are the file's own header names.
+
+    A file with another header fails the load, rather than being read by position.
+    """
     schema = StructType()
     for name in columns:
         schema = schema.add(name, "string")
-    text = normalise_header(spark.readStream.schema(schema).option("header", True).csv(folder))
+    text = normalise_header(spark.readStream.schema(schema).option("header", True).option("enforceSchema", False).csv(folder))
     typed = text.select(
         *[F.col(c).try_cast(TRIP_TYPES[c]).alias(c) if c in TRIP_TYPES else F.col(c) for c in text.columns]
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,23 +48,23 @@ def test_given_length_is_kept(spark):
 def test_weather_arrays(spark):
     full = {
         "daily": {
-            "time": ["2024-05-01", "2024-05-02", "2024-05-03"],
-            "temperature_2m_max": [22.5, 24.0, 19.5],
-            "temperature_2m_min": [15.2, 16.1],
-            "precipitation_sum": [0.0, 2.5, 5.0],
+            "time": ["2023-11-08", "2023-11-09", "2023-11-10"],
+            "temperature_2m_max": [12.25, 9.5, 14.75],
+            "temperature_2m_min": [3.75, 1.5],
+            "precipitation_sum": [7.25, 0.0, 1.25],
         }
     }
     rows = sorted(api_json.parse_weather(bodies(spark, full), "40.73,-73.94").collect(), key=lambda r: r.date)
     assert [(r.tmax, r.tmin, r.precip, r.wind_max) for r in rows] == [
-        (22.5, 15.2, 0.0, None),
-        (24.0, 16.1, 2.5, None),
-        (19.5, None, 5.0, None),
+        (12.25, 3.75, 7.25, None),
+        (9.5, 1.5, 0.0, None),
+        (14.75, None, 1.25, None),
     ]
     assert rows[0].source_location == "40.73,-73.94" and rows[0]._dlt_load_timestamp is not None
     assert api_json.parse_weather(bodies(spark, {"error": "No data"})).count() == 0
 
 
-def holiday(date="2024-10-14", name="Columbus Day", **more):
+def holiday(date="2024-09-19", name="Harvest Fair", **more):
     return {
         "date": date,
         "name": name,
@@ -84,24 +85,24 @@ def merged(spark, *entries):
 def test_two_holidays_on_one_date(spark):
     (row,) = merged(
         spark,
-        holiday(counties=["US-NY", "US-CA"], launchYear=1970),
-        holiday(name="Indigenous Peoples' Day", counties=["US-AK", "US-OR"], launchYear=1990),
+        holiday(counties=["US-VT", "US-ID"], launchYear=1983),
+        holiday(name="Lantern Walk", counties=["US-AZ", "US-ME"], launchYear=2004),
     )
-    assert row.holiday_name == "Columbus Day and Indigenous Peoples' Day"
-    assert (row.counties, row.holiday_types, row.launch_year) == ("US-AK,US-CA,US-NY,US-OR", "Public", 1970)
+    assert row.holiday_name == "Harvest Fair and Lantern Walk"
+    assert (row.counties, row.holiday_types, row.launch_year) == ("US-AZ,US-ID,US-ME,US-VT", "Public", 1983)
     assert (row.is_global, row.is_fixed, row.source_year) == (False, False, 2024)
 
 
 def test_types_are_ordered_when_merged_but_not_alone(spark):
     (row,) = merged(spark, holiday(types=["Optional"]), holiday(name="B", types=["School", "Federal", "Public"]))
     assert row.holiday_types == "Public,Federal,Optional,School"
-    (row,) = merged(spark, holiday(types=["Optional", "Public"], counties=["US-NY", "US-CA", "US-TX"]))
-    assert (row.holiday_types, row.counties) == ("Optional,Public", "US-NY,US-CA,US-TX")
+    (row,) = merged(spark, holiday(types=["Optional", "Public"], counties=["US-WY", "US-DE", "US-KS"]))
+    assert (row.holiday_types, row.counties) == ("Optional,Public", "US-WY,US-DE,US-KS")
 
 
 def test_repeated_names_and_nulls(spark):
     (row,) = merged(spark, holiday(), holiday(**{"global": True}))
-    assert (row.holiday_name, row.is_global, row.counties) == ("Columbus Day", True, None)
+    assert (row.holiday_name, row.is_global, row.counties) == ("Harvest Fair", True, None)
     (row,) = merged(spark, holiday(counties=None, types=[]))
     assert (row.counties, row.holiday_types, row.is_fixed) == (None, None, False)
 
@@ -190,3 +191,42 @@ def test_stream_load_is_repeatable(spark, tmp_path):
     (tmp_path / "in" / "2.csv").write_text(header + "1,2024-01-01 10:00:00,2024-01-01 10:20:00\n3,2024-02-01 10:00:00,2024-02-01 10:05:00\n")
     assert run() == {"1": 20.0, "2": None, "3": 5.0}
     assert run() == {"1": 20.0, "2": None, "3": 5.0}
+
+
+def test_files_of_one_month_keep_their_own_headers(spark, tmp_path):
+    (tmp_path / "202401-a.csv").write_text("ride_id,started_at,ended_at\na,2024-01-02 08:00:00,2024-01-02 08:30:00\n")
+    (tmp_path / "202401-b.csv").write_text("ended_at,extra,ride_id,started_at\n2024-01-03 09:15:00,x,b,2024-01-03 09:00:00\n")
+    rows = {r.ride_id: r for r in trip_files.read_trips(spark, f"{tmp_path}/202401-*.csv", "202401").collect()}
+    assert (rows["a"].ride_mins, rows["a"].extra) == (30.0, None)
+    assert (rows["b"].ride_mins, rows["b"].extra) == (15.0, "x")
+
+
+def test_stream_refuses_another_header(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.csv").write_text("Started At,Ride ID\n2024-01-01 10:00:00,1\n")
+    stream = incremental.landed_trips(spark, str(tmp_path / "in"), ("Ride ID", "Started At"))
+    with pytest.raises(Exception, match="header|CSV|schema"):
+        incremental.merge_stream(stream, str(tmp_path / "t"), str(tmp_path / "m"), ["ride_id"], "source_month", [F.desc("ride_id")])
+
+
+def test_upsert_keeps_the_null_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def load(*rows):
+        merge.upsert_partitions(spark, path, spark.createDataFrame(rows, ROWS), ["k"], "month", [F.desc("at")])
+
+    load((1, "x", 0, None), (2, "x", 0, "202401"))
+    load((3, "x", 0, None))
+    assert stored(spark, path) == [(1, "x", "None"), (2, "x", "202401"), (3, "x", "None")]
+    load((1, "y", 1, "202402"), (3, "y", 1, "202402"))  # the null partition is left empty
+    load((2, "z", 1, None))
+    assert stored(spark, path) == [(1, "y", "202402"), (2, "z", "None"), (3, "y", "202402")]
+
+
+def test_newest_response_of_a_year(spark, tmp_path):
+    for name, at, body in (("a", 1, [holiday(name="Old Fair")]), ("b", 2, [holiday(types=["Optional", "Public"])])):
+        (tmp_path / f"{name}.json").write_text(json.dumps(body))
+        os.utime(tmp_path / f"{name}.json", (at, at))
+    found = api_json.read_bodies(spark, str(tmp_path)).withColumn("source_year", F.lit(2024))
+    (row,) = api_json.merge_holidays(api_json.parse_holidays(api_json.newest_response(found, "source_year"))).collect()
+    assert (row.holiday_name, row.holiday_types) == ("Harvest Fair", "Optional,Public")
