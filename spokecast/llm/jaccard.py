@@ -210,10 +210,11 @@ def _prefixes(signatures: DataFrame, partitions: int) -> DataFrame:
 
 
 def _near(prefixes: DataFrame, partitions: int) -> DataFrame:
-    """Pairs (a, b) of rows with an equal combination, as stars: every row with the least of its combination.
+    """Distinct pairs (a, b) of rows with an equal combination, as stars: every row with the least of its combination.
 
     Within a chunk each combination is sent on once, so one that a third of all rows share reaches
-    its task with a row for each chunk.
+    its task with a row for each chunk.  Near copies meet under many combinations, in as many tasks; a second
+    shuffle, of packed pairs by their greater row, leaves each pair once.
     """
     buckets = np.uint64(partitions * SPREAD)
 
@@ -252,11 +253,19 @@ def _near(prefixes: DataFrame, partitions: int) -> DataFrame:
                 data[kind].append(d)
         keys, rows = unpack(data[0], ["u8", "i8"])
         _, _, pairs = star(keys, rows)
-        a, b = unpack(data[1], ["i8", "i8"])
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([pairs[0], a])), pa.array(np.concatenate([pairs[1], b]))], names=["a", "b"])
+        pairs = np.unique(np.concatenate([pairs, np.stack(unpack(data[1], ["i8", "i8"]))], axis=1), axis=1)
+        yield from pack((mix(pairs[1].view(np.uint64)) % buckets).astype(np.int64), [pairs[0], pairs[1]])
+        give_back()
+
+    def once(batches: Iterator[pa.RecordBatch]):
+        pairs = np.stack(unpack([d for b in batches for d in b.column("data").to_pylist()], ["i8", "i8"]))
+        a, b = np.unique(pairs, axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        give_back()
 
     sent = prefixes.mapInArrow(send, SCHEMA)
-    return dealt(sent, partitions).mapInArrow(receive, "a bigint, b bigint")
+    met = dealt(sent, partitions).mapInArrow(receive, SCHEMA)
+    return dealt(met, partitions).mapInArrow(once, "a bigint, b bigint")
 
 
 class _Forest:
