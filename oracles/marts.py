@@ -482,13 +482,12 @@ SQL["scenario_effects"] = query(
     + f", {r(f'round(({PRODUCT} - 1) * 100, 1)', 'combined_effect_pct')} FROM scenarios",
     "scenarios",
 )
-SQL["forecast_grid"] = query(
-    f"""SELECT cluster_id, day_of_week, hour, hour_label, day, temperature, wind, rain, holiday, net_flow,
+GRID = f"""SELECT cluster_id, day_of_week, hour, hour_label, day, temperature, wind, rain, holiday, net_flow,
     {r('factor', 'combined_factor')}, {r('x', 'adjusted_net_flow')},
     cast(CASE WHEN x < -3 OR x > 3 THEN -round_even(x, 0) ELSE 0 END AS bigint) AS bikes_to_add_or_remove,
     CASE WHEN x < -3 THEN 'Add ' || cast(round_even(-x, 0) AS bigint) || ' bikes'
         WHEN x > 3 THEN 'Remove ' || cast(round_even(x, 0) AS bigint) || ' bikes' ELSE 'No action needed' END AS recommendation
-    FROM (SELECT *, {PRODUCT} AS factor, net_flow * ({PRODUCT}) AS x FROM net_flow JOIN scenarios USING (day_of_week))""",
-    "net_flow",
-    "scenarios",
-)
+    FROM (SELECT *, {PRODUCT} AS factor, net_flow * ({PRODUCT}) AS x FROM net_flow JOIN scenarios USING (day_of_week))"""
+SQL["forecast_grid"] = query(GRID, "net_flow", "scenarios")
+_picked = " AND ".join(f"{s} = (SELECT min({s}) FROM scenarios)" for s in ("day", "temperature", "wind", "rain", "holiday"))
+SQL["forecast_point"] = query(f"SELECT * FROM ({GRID}) WHERE cluster_id = 2 AND {_picked}", "net_flow", "scenarios")

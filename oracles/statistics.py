@@ -28,13 +28,30 @@ SQL["holiday_significance"] = query(
 
 
 def corr(x: str, name: str) -> str:
-    return r(f"CASE WHEN count(*) FILTER ({x} IS NOT NULL) < 2 THEN 0 ELSE corr(trips_total, {x}) END", name)
+    known = f"FILTER ({x} IS NOT NULL)"
+    still = " OR ".join(f"min({c}) {known} = max({c}) {known}" for c in (x, "trips_total"))
+    return r(f"CASE WHEN count(*) {known} < 2 THEN 0 WHEN {still} THEN NULL ELSE corr(trips_total, {x}) END", name)
 
 
 SQL["weather_correlation"] = query(
     f"SELECT {corr('temp_avg', 'temp_corr')}, {corr('precip', 'precip_corr')}, {corr('wind_max', 'wind_corr')} FROM effect",
     "effect",
 )
+DAYS_KEPT = "(VALUES ('rainy', 1), ('dry', 0)) AS k(days_kept, kept_rain)"
+SQL["weather_correlation_by_rain"] = query(
+    f"""SELECT days_kept, {corr('temp_avg', 'temp_corr')}, {corr('precip', 'precip_corr')}, {corr('wind_max', 'wind_corr')}
+    FROM {DAYS_KEPT} LEFT JOIN effect ON is_rain = kept_rain GROUP BY days_kept""",
+    "effect",
+)
+SQL["whatif_by_rain"] = query(
+    f"""SELECT days_kept, {rs('temp_delta', 'slope', 'intercept')}, {r('slope * (x + temp_delta) + intercept', 'predicted_trips')},
+    {r('slope * (x + temp_delta) + intercept - y', 'trip_change')}
+    FROM (SELECT days_kept, regr_slope(trips_total, temp_avg) AS slope, regr_intercept(trips_total, temp_avg) AS intercept,
+            avg(temp_avg) AS x, avg(trips_total) AS y FROM {DAYS_KEPT} JOIN effect ON is_rain = kept_rain
+            WHERE temp_avg IS NOT NULL GROUP BY days_kept HAVING count(*) >= 2),
+        (VALUES (-10e0), (-2.5e0), (0e0), (2.5e0), (10e0)) AS d(temp_delta)""",
+    "effect",
+)
 SQL["complete_case_correlation"] = query(
     f"""SELECT {r('corr(temp_avg, trips_total)', 'temp_corr')}, {r('corr(precip, trips_total)', 'precip_corr')}
     FROM effect WHERE temp_avg IS NOT NULL AND precip IS NOT NULL""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
@@ -18,17 +19,25 @@ from spokecast.sources.tables import literal_table
 CLUSTERS = 30
 SEED = 42
 RESTARTS = 10
-MAX_ITERATIONS = 100
+MAX_ITERATIONS = 300
+#: A fit has converged when no centroid moves further, as a share of the coordinates' mean deviation.
+TOLERANCE = 1e-4
 
 STATIONS_PER_TASK = 50_000
 
 
 def station_clusters(
-    stations: DataFrame, k: int = CLUSTERS, seed: int = SEED, restarts: int = RESTARTS
+    stations: DataFrame,
+    k: int = CLUSTERS,
+    seed: int = SEED,
+    restarts: int = RESTARTS,
+    tolerance: float = TOLERANCE,
+    max_iterations: int = MAX_ITERATIONS,
 ) -> DataFrame:
     """Label, centroid and distance to it for every located station (K2, K3, K1, C14).
 
-    MLlib fits from ``restarts`` seeds and the cheapest model wins.  The located stations are
+    MLlib fits from ``restarts`` seeds and the cheapest model wins; a warning tells of a winner
+    that ``max_iterations`` stopped before it converged.  The located stations are
     written once to the shared folder, so restarts never rescan trips, and put in a fixed
     order, so they do not depend on how the input was split.  Tasks follow the number of
     stations, not the size of the cluster.  Only the ``k`` centroids pass the driver.
@@ -42,11 +51,15 @@ def station_clusters(
     ordered = located.repartitionByRange(tasks, "station_id").sortWithinPartitions("station_id")
     vectors = VectorAssembler(inputCols=["latitude", "longitude"], outputCol="features")
     points = vectors.transform(ordered).persist(StorageLevel.MEMORY_AND_DISK)
+    spread = points.agg(F.var_pop("latitude") + F.var_pop("longitude")).first()[0] or 0.0
     best = None
     for restart in range(restarts):
-        model = KMeans(k=k, seed=seed + restart, maxIter=MAX_ITERATIONS, tol=0.0).fit(points)
+        moved = tolerance * math.sqrt(spread / 2)
+        model = KMeans(k=k, seed=seed + restart, maxIter=max_iterations, tol=moved).fit(points)
         if best is None or model.summary.trainingCost < best.summary.trainingCost:
             best = model
+    if best.summary.numIter >= max_iterations:
+        warnings.warn(f"the fit did not converge within {max_iterations} iterations", stacklevel=2)
     points.unpersist()
     centres = [(i, float(c[0]), float(c[1])) for i, c in enumerate(best.clusterCenters())]
     centroids = literal_table(

@@ -46,10 +46,14 @@ def bin_means(effect: DataFrame, by: str) -> DataFrame:
 
 
 def _pearson(x: str, y: str) -> Column:
-    """Correlation over rows where both are known; fewer than two rows give 0 (K4)."""
+    """Correlation over rows where both are known (K4).
+
+    Fewer than two rows give 0; a side that does not vary, such as the rain of dry days, gives null.
+    """
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    a, b = F.when(both, F.col(x).cast("double")), F.when(both, F.col(y).cast("double"))
     return F.when(F.count(F.when(both, 1)) < 2, F.lit(0.0)).otherwise(
-        F.corr(F.when(both, F.col(x)), F.when(both, F.col(y)))
+        F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
     )
 
 

@@ -445,6 +445,15 @@ def forecast_grid(spark, sf):
     return factors.forecast(net_flow_of(spark, sf), scenarios)
 
 
+@register
+def forecast_point(spark, sf):
+    """The hours of one cluster under one scenario; the choices reach the join's inputs."""
+    scenarios = factors.scenario_factors(factors.all_scenarios(spark), factors_of(spark, sf))
+    grid = factors.forecast(net_flow_of(spark, sf), scenarios)
+    first = factors.all_scenarios(spark).agg(*[F.min(s).alias(s) for s in factors.SLOTS]).first().asDict()
+    return factors.forecast_for(grid, 2, **first)
+
+
 # Statistics ------------------------------------------------------------------------------
 
 
@@ -454,6 +463,24 @@ def weather_correlation(spark, sf):
     return statistics.correlations(effect_of(spark, sf))
 
 
+def by_rain(effect, figures):
+    """The same figures over rainy and over dry days."""
+    parts = [figures(daily.filter_rain(effect, days)).withColumn("days_kept", F.lit(days)) for days in ("rainy", "dry")]
+    return parts[0].unionByName(parts[1])
+
+
+@register
+def weather_correlation_by_rain(spark, sf):
+    """Correlations over rainy and over dry days."""
+    return by_rain(effect_of(spark, sf), statistics.correlations)
+
+
+@register
+def whatif_by_rain(spark, sf):
+    """The temperature line fitted to rainy and to dry days."""
+    return by_rain(effect_of(spark, sf), lambda days: statistics.what_if(days, (-10.0, -2.5, 0.0, 2.5, 10.0)))
+
+
 @register
 def complete_case_correlation(spark, sf):
     """K4 as in the exploration."""
