@@ -346,15 +346,23 @@ def _verified(grouped: DataFrame, width: int, percent: int) -> DataFrame:
     return grouped.mapInArrow(run, "a bigint, b bigint")
 
 
-def _components(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """``row``, ``id``, ``n_shingles``, ``root`` and ``component_id`` of every document; rows without words have no root.
+def _numbered(df: DataFrame) -> DataFrame:
+    """``df`` with ``row``, a number for each row, stored in the shared folder.
 
-    ``row`` numbers the rows as they are read, so ``docs`` must give them in the same way each time, as a
-    stored table does.
+    The numbers follow from the splits of a scan, and these from the cores of that moment; they are therefore
+    made once and read back by every pass.
     """
-    spark = docs.sparkSession
+    path = scratch_path(df.sparkSession, "rows")
+    df.withColumn("row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _components(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """``row``, ``id``, ``n_shingles``, ``root`` and ``component_id`` of every row (row, id, text) of a table stored
+    by ``_numbered``; rows without words have no root.
+    """
+    spark = rows.sparkSession
     sizes = Sizes(percent)
-    rows = pick(docs, id_col, text_col).toDF("id", "text").withColumn("row", F.monotonically_increasing_id())
     path = scratch_path(spark, "signatures")
     _signatures(rows, width, sizes).write.parquet(path)
     signatures = spark.read.parquet(path)
@@ -397,16 +405,18 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_
     null key is a component's id only if no member has another.  Groups beyond a bound are compared block by
     block, every block with every other.
     """
-    found = _components(docs, width, percent, id_col, text_col)
+    found = _components(_numbered(pick(docs, id_col, text_col).toDF("id", "text")), width, percent)
     return found.select(F.col("id").alias(id_col), "n_shingles", "component_id")
 
 
 def representatives(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component, that of the least key, and all without words."""
-    found = cut_lineage(_components(docs, width, percent, id_col, text_col).where("root IS NOT NULL"))
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    rows = _numbered(docs.toDF(*names))
+    key, text = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
+    slim = rows.select("row", F.col(key).alias("id"), F.col(text).alias("text"))
+    found = cut_lineage(_components(slim, width, percent).where("root IS NOT NULL"))
     first = F.min(F.struct(F.col("id").isNull().alias("without"), "id", "row"))
     groups = cut_lineage(found.groupBy("root").agg(F.count("*").alias("n"), first["row"].alias("first")).where("n > 1"))
     gone = found.join(groups, "root").where("row <> first").select("row")
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    rows = docs.toDF(*names).withColumn("row", F.monotonically_increasing_id())
     return rows.join(gone, "row", "left_anti").select(*names).toDF(*docs.columns)

@@ -111,6 +111,31 @@ def test_jaccard_against_all_pairs(spark, monkeypatch, width, percent):
     assert kept == {i for i, (_, root) in want.items() if root == i}
 
 
+def test_jaccard_when_splits_change_between_passes(spark, monkeypatch, tmp_path):
+    rows = list(enumerate(t for s in range(12) for t in family(4, 60, 1, 50 + s)))
+    random.Random(1).shuffle(rows)
+    path, setting = str(tmp_path / "docs"), "spark.sql.files.minPartitionNum"
+    spark.createDataFrame(rows, DOCS).repartition(12).write.parquet(path)
+    connected = jaccard.components
+
+    def after_a_change(edges):
+        found = connected(edges)
+        spark.conf.set(setting, "12")
+        return found
+
+    monkeypatch.setattr(jaccard, "components", after_a_change)
+    want = brute_components(rows, 5, 80)
+    try:
+        spark.conf.set(setting, "2")
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(spark.read.parquet(path)).collect()}
+        spark.conf.set(setting, "2")
+        kept = sorted(r.doc_id for r in jaccard.representatives(spark.read.parquet(path)).collect())
+    finally:
+        spark.conf.unset(setting)
+    assert got == want
+    assert kept == sorted(i for i, (_, root) in want.items() if root == i)
+
+
 def brute_repeats(rows, width=20):
     seen, out = set(), {}
     for i, t in sorted(rows):
