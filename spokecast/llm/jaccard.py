@@ -284,21 +284,25 @@ class _Forest:
         return i != j
 
 
-def _links(sets: list[np.ndarray], side: list[int], percent: int) -> list[tuple[int, int]]:
-    """Links of a group that hold it together: of all similar pairs (across sides, if there are two) a forest.
+def _links(sets: list[np.ndarray], side: list[int], weight: list[int], percent: int) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links of a group that hold it together: of all similar pairs (across sides, if there are two) a forest; and
+    for each set the summed weight of all sets similar to it.
 
     Every pair is counted, through the lists of the sets that hold each shingle.
     """
     forest, out = _Forest(len(sets)), []
-    size = np.array([len(s) for s in sets])
+    size, weights, n = np.array([len(s) for s in sets]), np.array(weight, np.int64), np.zeros(len(sets), np.int64)
     two = len(set(side)) > 1
     if len(sets) <= 3:
         for j in range(len(sets)):
             for i in range(j):
                 both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if 100 * both >= percent * (size[i] + size[j] - both) and (not two or side[i] != side[j]) and forest.join(i, j):
-                    out.append((i, j))
-        return out
+                if 100 * both >= percent * (size[i] + size[j] - both) and (not two or side[i] != side[j]):
+                    n[i] += weights[j]
+                    n[j] += weights[i]
+                    if forest.join(i, j):
+                        out.append((i, j))
+        return out, n
     tokens, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
     known, place = np.unique(tokens, return_inverse=True)
     order = np.argsort(place, kind="stable")
@@ -314,36 +318,44 @@ def _links(sets: list[np.ndarray], side: list[int], percent: int) -> list[tuple[
         similar = (100 * both >= percent * (size + size[i] - both)) & (np.arange(len(sets)) < i)
         if two:
             similar &= sides != sides[i]
+        n[i] += weights[similar].sum()
+        n[similar] += weights[i]
         out += [(j, i) for j in np.flatnonzero(similar).tolist() if forest.join(i, j)]
-    return out
+    return out, n
 
 
 def _verified(grouped: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b) of rows that come sorted by cell, one cell of bounded size at a time."""
+    """Links (a, b) of rows that come sorted by cell, one cell of bounded size at a time; and without ``b`` how many
+    documents ``n`` the cell finds similar to a row.  A cell of two blocks, one of them empty, has no pair.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]):
-        names_of, cell, rows, side, held = Names(), None, [], [], []
+        names_of, cell, rows, side, weight, held = Names(), None, [], [], [], []
 
         def out():
-            if len(held) > 1:
-                found = _links(held, side, percent)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([rows[i] for i, _ in found], pa.int64()), pa.array([rows[j] for _, j in found], pa.int64())], names=["a", "b"]
-                )
+            if len(held) > 1 and (cell[1] == cell[2] or len(set(side)) > 1):
+                found, n = _links(held, side, weight, percent)
+                some = np.flatnonzero(n).tolist()
+                a = [rows[i] for i, _ in found] + [rows[i] for i in some]
+                b = [rows[j] for _, j in found] + [None] * len(some)
+                amount = [None] * len(found) + n[some].tolist()
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (a, b, amount)], names=["a", "b", "n"])
 
         for batch in (part for b in batches for part in chunks(b, "text", CHUNK_BYTES)):
             cells = zip(*(batch.column(c).to_pylist() for c in ("root", "i", "j")), strict=True)
-            for now, row, block, text in zip(cells, batch.column("row").to_pylist(), batch.column("block").to_pylist(), texts(batch, "text"), strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("row", "block", "weight")]
+            for now, row, block, documents, text in zip(cells, *columns, texts(batch, "text"), strict=True):
                 if now != cell:
                     yield from out()
-                    cell, rows, side, held = now, [], [], []
+                    cell, rows, side, weight, held = now, [], [], [], []
                 rows.append(row)
                 side.append(block)
+                weight.append(documents)
                 held.append(shingle_sets([text.translate(LOWER).split()], names_of, width)[0])
         yield from out()
         give_back()
 
-    return grouped.mapInArrow(run, "a bigint, b bigint")
+    return grouped.mapInArrow(run, "a bigint, b bigint, n bigint")
 
 
 def _numbered(df: DataFrame) -> DataFrame:
@@ -358,8 +370,8 @@ def _numbered(df: DataFrame) -> DataFrame:
 
 
 def _components(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """``row``, ``id``, ``n_shingles``, ``root`` and ``component_id`` of every row (row, id, text) of a table stored
-    by ``_numbered``; rows without words have no root.
+    """``row``, ``id``, ``n_shingles``, ``n_links``, ``root`` and ``component_id`` of every row (row, id, text) of a
+    table stored by ``_numbered``; rows without words have no root.
     """
     spark = rows.sparkSession
     sizes = Sizes(percent)
@@ -373,31 +385,37 @@ def _components(rows: DataFrame, width: int, percent: int) -> DataFrame:
 
     # Of equal sets one is compared.
     same = ["print1", "print2", "n_shingles"]
-    classes = meta.where("n_shingles > 0").groupBy(*same).agg(F.min("row").alias("row"), F.min("id").alias("least"))
+    classes = meta.where("n_shingles > 0").groupBy(*same).agg(F.min("row").alias("row"), F.min("id").alias("least"), F.count("*").alias("weight"))
     classes = cut_lineage(classes)
-    members = classes.join(near.withColumnRenamed("node", "row"), "row").select("row", "root", "n_shingles")
+    members = classes.join(near.withColumnRenamed("node", "row"), "row").select("row", "root", "n_shingles", "weight")
     groups = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")).where("n > 1")
     # Stored, so that a group with very many members is a skewed join that can be split.
     groups = cut_lineage(groups.withColumn("blocks", F.ceil(F.col("shingles") / GROUP_SHINGLES)))
     blocks = cut_lineage(members.join(groups, "root").withColumn("block", F.pmod(F.xxhash64("row"), "blocks")))
-    cells = blocks.select("row", "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    cells = cells.select("row", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    cells = blocks.select("row", "root", "block", "weight", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    cells = cells.select("row", "root", "block", "weight", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     wanted = rows.select("row", "text").join(blocks.select("row"), "row", "left_semi")
     grouped = cells.join(wanted, "row").repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
-    linked = components(_verified(grouped, width, percent))
+    verified = cut_lineage(_verified(grouped, width, percent))
+    linked = components(verified.where("b IS NOT NULL").select("a", "b"))
+    others = verified.where("b IS NULL").groupBy(F.col("a").alias("row")).agg(F.sum("n").alias("others"))
 
     placed = classes.join(linked.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
+    # Equal documents link with each other, and each with all of the similar sets.
+    placed = placed.join(others, "row", "left").withColumn("n_links", F.col("weight") - 1 + F.coalesce("others", F.lit(0)))
     placed = cut_lineage(placed)
     least = cut_lineage(placed.groupBy("root").agg(F.min("least").alias("component_id")))
-    placed = placed.join(least, "root").select(*same, "root", "component_id")
-    columns = ["row", "id", "n_shingles", "root", "component_id"]
+    placed = placed.join(least, "root").select(*same, "n_links", "root", "component_id")
+    columns = ["row", "id", "n_shingles", "n_links", "root", "component_id"]
     of_words = meta.where("n_shingles > 0").join(placed, same).select(*columns)
-    rest = meta.where("n_shingles = 0").withColumns({"root": F.lit(None).cast("bigint"), "component_id": F.col("id")})
+    none = {"n_links": F.lit(0).cast("bigint"), "root": F.lit(None).cast("bigint"), "component_id": F.col("id")}
+    rest = meta.where("n_shingles = 0").withColumns(none)
     return of_words.unionAll(rest.select(*columns))
 
 
 def join(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: the key, ``n_shingles`` and ``component_id``, the least key reachable by links.
+    """Per document: the key, ``n_shingles``, ``n_links``, the number of documents it links with, and
+    ``component_id``, the least key reachable by links.
 
     Texts are lower-cased in A to Z; words are runs of anything but space and U+0009 to U+000D.  Two documents
     link when 100 * intersection >= ``percent`` * union of their sets of ``width``-word shingles.  Null and
@@ -406,7 +424,7 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_
     block, every block with every other.
     """
     found = _components(_numbered(pick(docs, id_col, text_col).toDF("id", "text")), width, percent)
-    return found.select(F.col("id").alias(id_col), "n_shingles", "component_id")
+    return found.select(F.col("id").alias(id_col), "n_shingles", "n_links", "component_id")
 
 
 def representatives(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

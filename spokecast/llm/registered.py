@@ -42,7 +42,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.join(table(spark, sf_dir, "documents"), width=3, percent=90)
+    return jaccard.join(table(spark, sf_dir, "documents"), width=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,6 +111,29 @@ def test_jaccard_against_all_pairs(spark, monkeypatch, width, percent):
     assert kept == {i for i, (_, root) in want.items() if root == i}
 
 
+def brute_links(rows, width, percent):
+    sets = {}
+    for i, t in rows:
+        w = (t or "").lower().split()
+        sets[i] = {tuple(w[k : k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set())
+    out = dict.fromkeys(sets, 0)
+    for i, j in combinations(sets, 2):
+        both = len(sets[i] & sets[j])
+        if both and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+            out[i] += 1
+            out[j] += 1
+    return out
+
+
+@pytest.mark.parametrize("group_shingles", [1500, 1 << 19])
+def test_jaccard_counts_links(spark, monkeypatch, group_shingles):
+    monkeypatch.setattr(jaccard, "GROUP_SHINGLES", group_shingles)
+    found = [t for s, (n, w, e) in enumerate([(40, 120, 8), (15, 30, 2), (3, 40, 1), (2, 40, 1)]) for t in family(n, w, e, 70 + s)]
+    rows = list(enumerate([*found, *found[::3], None, "", "one", "ONE"]))
+    got = {r.doc_id: r.n_links for r in jaccard.join(spark.createDataFrame(rows, DOCS), 3, 80).collect()}
+    assert got == brute_links(rows, 3, 80) and max(got.values()) > 5
+
+
 def test_jaccard_when_splits_change_between_passes(spark, monkeypatch, tmp_path):
     rows = list(enumerate(t for s in range(12) for t in family(4, 60, 1, 50 + s)))
     random.Random(1).shuffle(rows)
