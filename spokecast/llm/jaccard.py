@@ -26,7 +26,7 @@ from spokecast.session import cut_lineage, scratch_path
 #: Combinations that one task sorts, and shingles of a group that one task compares.
 KEYS_EACH = 1 << 21
 GROUP_SHINGLES = 1 << 19
-#: Each size class ends at so many times its begin; two similar sets are in the same class or in neighbours.
+#: Each size class ends at so many times its begin; two sets similar by two thirds are in the same class or in neighbours.
 CLASS_RATIO = 1.5
 #: Per cent of token classes beyond those that can differ: the more, the fewer documents share enough by chance.
 SPARE = 60
@@ -43,6 +43,8 @@ class Sizes:
         # y shingles and at most y / t on the other side: they differ in y (1 - t) / t at most.
         self.differ = (self.bounds[1:] - 1) * (100 - percent) // percent
         self.classes = self.differ + 1 + (self.differ * SPARE + 99) // 100
+        #: Size classes from that of a set's least partner to its own, at most.
+        self.named = int((np.arange(len(bounds)) - self.of_least_partner(self.bounds)).max()) + 1
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.bounds, sizes, side="right") - 1
@@ -76,7 +78,7 @@ def shingle_sets(words: list[list[bytes]], names_of: Names, width: int) -> tuple
 
 
 def combinations(tokens: np.ndarray, first: np.ndarray, sizes: Sizes) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For the sets' own size class, and for that of their least partner if it is another: the names of all
+    """For the sets' own size class and each one below, down to that of their least partner: the names of all
     combinations, where each set's begin, and how many combinations of a set a partner may lack beyond its prefix.
 
     A set with no more combinations than may differ has its empty classes named too, and all as its prefix.
@@ -85,7 +87,8 @@ def combinations(tokens: np.ndarray, first: np.ndarray, sizes: Sizes) -> list[tu
     spread, value = mix(tokens ^ np.uint64(0x5851F42D4C957F2D)), mix(tokens)
     own, least = sizes.of(np.maximum(count, 1)), sizes.of_least_partner(np.maximum(count, 1))
     of, out = owner(first), []
-    for kind, chosen in ((own, count > 0), (least, (count > 0) & (least != own))):
+    for below in range(sizes.named):
+        kind, chosen = np.maximum(own - below, 0), (count > 0) & (own - below >= least)
         classes = np.where(chosen, sizes.classes[kind], 0)
         begin = np.concatenate([[0], np.cumsum(classes)])
         mine = chosen[of]
@@ -105,6 +108,11 @@ def combinations(tokens: np.ndarray, first: np.ndarray, sizes: Sizes) -> list[tu
     return out
 
 
+def _named(sizes: Sizes) -> list[str]:
+    """The columns of signatures that hold combinations, two for each size class a set is named for."""
+    return [f"{c}{below}" for below in range(sizes.named) for c in ("spare", "keys")]
+
+
 def _signatures(rows: DataFrame, width: int, sizes: Sizes) -> DataFrame:
     """Per row its key, size and fingerprint of the set, and its combinations in binary values."""
 
@@ -123,12 +131,13 @@ def _signatures(rows: DataFrame, width: int, sizes: Sizes) -> DataFrame:
             for keys, at, spare in found:
                 cuts = at.tolist()
                 columns += [pa.array(spare), pa.array([keys[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "n_shingles", "print1", "print2", "spare0", "keys0", "spare1", "keys1"])
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "n_shingles", "print1", "print2", *_named(sizes)])
 
         return work
 
     kind = rows.schema["id"].dataType.simpleString()
-    schema = f"row bigint, id {kind}, n_shingles bigint, print1 bigint, print2 bigint, spare0 bigint, keys0 binary, spare1 bigint, keys1 binary"
+    schema = f"row bigint, id {kind}, n_shingles bigint, print1 bigint, print2 bigint"
+    schema += "".join(f", {c} {'bigint' if c.startswith('spare') else 'binary'}" for c in _named(sizes))
     return map_chunks(rows, schema, "text", make)
 
 
@@ -136,13 +145,13 @@ SENT = ["u8", "i8", "i4", "u1", "u1"]
 KNOWN = 1
 
 
-def _prefixes(signatures: DataFrame, partitions: int) -> DataFrame:
+def _prefixes(signatures: DataFrame, partitions: int, sizes: Sizes) -> DataFrame:
     """Per row with any the frequent combinations (``keys``) of its prefix.
 
     Within a chunk, a combination that several rows have is known to be frequent; one row asks for it by
     name, to tell the other chunks, and the rest go by row.
     """
-    buckets = np.uint64(partitions * SPREAD)
+    buckets, named = np.uint64(partitions * SPREAD), _named(sizes)
 
     def send(batches: Iterator[pa.RecordBatch]):
         held: list[tuple[np.ndarray, int, int, int]] = []
@@ -151,9 +160,9 @@ def _prefixes(signatures: DataFrame, partitions: int) -> DataFrame:
         def out():
             if not held:
                 return
-            sizes = [len(k) for k, *_ in held]
+            amounts = [len(k) for k, *_ in held]
             keys = np.concatenate([k for k, *_ in held])
-            row, spare, kind = (np.repeat(np.array([h[i] for h in held], t), sizes) for i, t in ((1, "i8"), (2, "i4"), (3, "u1")))
+            row, spare, kind = (np.repeat(np.array([h[i] for h in held], t), amounts) for i, t in ((1, "i8"), (2, "i4"), (3, "u1")))
             order = np.lexsort((row, keys))
             keys, row, spare, kind = keys[order], row[order], spare[order], kind[order]
             new = first_of_groups(keys)
@@ -164,9 +173,9 @@ def _prefixes(signatures: DataFrame, partitions: int) -> DataFrame:
             yield from pack(bucket[order].astype(np.int64), [c[order] for c in (keys, row, spare, kind, np.where(several, KNOWN, 0).astype("u1"))])
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("row", "spare0", "keys0", "spare1", "keys1")]
-            for row, spare0, keys0, spare1, keys1 in zip(*columns, strict=True):
-                for kind, spare, keys in ((0, spare0, keys0), (1, spare1, keys1)):
+            columns = [batch.column(c).to_pylist() for c in ("row", *named)]
+            for row, *found in zip(*columns, strict=True):
+                for kind, (spare, keys) in enumerate(zip(found[::2], found[1::2], strict=True)):
                     if keys:
                         held.append((np.frombuffer(keys, np.uint64), row, spare, kind))
                         amount += len(keys)
@@ -204,7 +213,7 @@ def _prefixes(signatures: DataFrame, partitions: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(row[used[cuts[:-1]]]), pa.array(data, pa.binary())], names=["row", "keys"])
         give_back()
 
-    sent = signatures.select("row", "spare0", "keys0", "spare1", "keys1").mapInArrow(send, SCHEMA)
+    sent = signatures.select("row", *named).mapInArrow(send, SCHEMA)
     replies = dealt(sent, partitions).mapInArrow(receive, SCHEMA)
     return dealt(replies, partitions).mapInArrow(choose, "row bigint, keys binary")
 
@@ -379,9 +388,9 @@ def _components(rows: DataFrame, width: int, percent: int) -> DataFrame:
     _signatures(rows, width, sizes).write.parquet(path)
     signatures = spark.read.parquet(path)
     meta = signatures.select("row", "id", "n_shingles", "print1", "print2")
-    n_bytes = signatures.agg(F.sum(F.octet_length("keys0") + F.octet_length("keys1"))).first()[0] or 0
+    n_bytes = signatures.agg(F.sum(sum((F.octet_length(c) for c in _named(sizes)[1::2]), F.lit(0)))).first()[0] or 0
     partitions = partitions_for(spark, n_bytes // 8, KEYS_EACH)
-    near = components(_near(_prefixes(signatures, partitions), partitions))
+    near = components(_near(_prefixes(signatures, partitions, sizes), partitions))
 
     # Of equal sets one is compared.
     same = ["print1", "print2", "n_shingles"]

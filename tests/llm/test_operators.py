@@ -111,6 +111,17 @@ def test_jaccard_against_all_pairs(spark, monkeypatch, width, percent):
     assert kept == {i for i, (_, root) in want.items() if root == i}
 
 
+@pytest.mark.parametrize("percent", [30, 50, 60, 66])
+def test_jaccard_of_sets_of_very_different_sizes(spark, percent):
+    rnd, texts = random.Random(percent), []
+    for group, (less, more) in enumerate([(4, 6), (13, 19), (5, 9), (20, 31), (9, 28)]):
+        words = [f"g{group}w{i}" for i in range(more)]
+        texts += [" ".join(words[:less]), " ".join(words), " ".join(rnd.sample(words, less))]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(spark.createDataFrame(rows, DOCS), 1, percent).collect()}
+    assert got == brute_components(rows, 1, percent)
+
+
 def brute_links(rows, width, percent):
     sets = {}
     for i, t in rows:
