@@ -93,11 +93,12 @@ def find(
 
     A span is (begin, end), counted in words, end excluded; spans of a document do not touch.  Null and empty
     texts have no words and no spans; items without words have no window.  Documents with equal keys
-    are judged one by one; items with equal keys count as one item.  A single item above the bound is a
+    are judged one by one; items with equal keys count as one item, also those without a key: their windows are
+    hits, and a null stands last in ``items``.  A single item above the bound is a
     block by itself.
     """
     slim = pick(docs, id_col, text_col).toDF("id", "text")
-    bench = pick(benchmark, item_col, item_text_col).toDF("item", "text").where("text IS NOT NULL AND item IS NOT NULL")
+    bench = pick(benchmark, item_col, item_text_col).toDF("item", "text").where("text IS NOT NULL")
     kinds = slim.schema["id"].dataType.simpleString(), bench.schema["item"].dataType.simpleString()
     schema = f"id {kinds[0]}, row bigint, n_words bigint, spans array<struct<begin:int,end:int>>, items array<{kinds[1]}>"
     slim = slim.withColumn("row", F.monotonically_increasing_id())
@@ -166,7 +167,7 @@ def _find_block(slim: DataFrame, bench: DataFrame, schema: str, width: int) -> D
                     batch.column("row"),
                     pa.array(np.diff(first)),
                     pa.array(spans, pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))),
-                    pa.array([sorted(x) for x in items], pa.list_(pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string())),
+                    pa.array([sorted(x, key=lambda i: (i is None, i)) for x in items], pa.list_(pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string())),
                 ],
                 names=["id", "row", "n_words", "spans", "items"],
             )
@@ -195,7 +196,7 @@ def without_contaminated(
     place = docs.columns.index(text_col)
     names = [f"c{i}" for i in range(len(docs.columns))]
     rows = docs.toDF(*names).withColumn("row", F.monotonically_increasing_id())
-    bench = pick(benchmark, "item_id", "text").toDF("item", "text").where("text IS NOT NULL AND item IS NOT NULL")
+    bench = pick(benchmark, "item_id", "text").toDF("item", "text").where("text IS NOT NULL")
     blocks = _blocks(bench, broadcast_bytes)
     if len(blocks) > 1:
         judged_rows = judged(find(rows, benchmark, "row", f"c{place}", width=width, broadcast_bytes=broadcast_bytes), share)

@@ -208,6 +208,19 @@ def test_benchmark_in_blocks_gives_the_same(spark, sf_dir):
     assert sizes == [judged.where("NOT contaminated").count()] * 2 and sizes[0] < docs.count()
 
 
+@pytest.mark.parametrize("size", [1 << 20, 60])
+def test_items_without_key_count(spark, monkeypatch, tmp_path, size):
+    docs = [(1, "see one two three now"), (2, "four five six"), (3, "one two three four five six"), (4, "nothing"), (5, None)]
+    bench = [(None, "one two three"), (None, "four five six"), (7, "Four five six"), (None, None), (8, "")]
+    spark.createDataFrame(docs, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(bench, "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    one = decontaminate.find
+    monkeypatch.setattr(decontaminate, "find", lambda *a, **more: one(*a, **more | {"broadcast_bytes": size}))
+    assert differences(QUERIES["op5_decontamination"](spark, str(tmp_path)), connect(str(tmp_path)), ORACLES["op5_decontamination"]) == []
+    tables = [spark.read.parquet(str(tmp_path / f"{t}.parquet")) for t in ("documents", "benchmark")]
+    assert {r.doc_id for r in decontaminate.without_contaminated(*tables, broadcast_bytes=size).collect()} == {4, 5}
+
+
 def test_shards_are_computable(spark):
     rows = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
     dealt = sharding.shard(rows, 7, seed=3)
