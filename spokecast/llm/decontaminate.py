@@ -2,7 +2,7 @@
 
 The distinct windows of the benchmark, which is bounded by a checked size, are broadcast as a hash set;
 each task rolls window names over its documents, looks them up and verifies hits word by word.
-A benchmark beyond the bound is cut into blocks by hash of the item, and every block meets all documents.
+A benchmark beyond the bound is cut into blocks by hash of item and text, and every block meets all documents.
 """
 
 from __future__ import annotations
@@ -71,12 +71,23 @@ class Windows:
 
 
 def _blocks(benchmark: DataFrame, most: int) -> list[DataFrame]:
-    """The benchmark in parts that may each be broadcast; one part unless its size, summed first, is beyond the bound."""
-    size = benchmark.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    parts = int(size // most) + 1
+    """The benchmark in parts that may each be broadcast; one part unless its size, summed first, is beyond the bound.
+
+    Parts are cut by hash of item and text, of equal rows one is kept.  Each part's size is summed before any is
+    used, and a part beyond the bound is cut in two until it fits or is a single row.
+    """
+    size = F.sum(F.octet_length("text") + 16)
+    parts = int((benchmark.agg(size).first()[0] or 0) // most) + 1
     if parts == 1:
         return [benchmark]
-    return [benchmark.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == i) for i in range(parts)]
+    rows, out, open_ = benchmark.distinct(), [], list(range(parts))
+    while open_:
+        part = F.pmod(F.xxhash64("item", "text"), F.lit(parts))
+        sums = rows.groupBy(part.alias("part")).agg(size.alias("size"), F.count("*").alias("n")).where(F.col("part").isin(open_)).collect()
+        out += [rows.where(part == r.part) for r in sums if r.size <= most or r.n == 1]
+        open_ = [i for r in sums if r.size > most and r.n > 1 for i in (r.part, r.part + parts)]
+        parts *= 2
+    return out
 
 
 def find(
@@ -94,8 +105,8 @@ def find(
     A span is (begin, end), counted in words, end excluded; spans of a document do not touch.  Null and empty
     texts have no words and no spans; items without words have no window.  Documents with equal keys
     are judged one by one; items with equal keys count as one item, also those without a key: their windows are
-    hits, and a null stands last in ``items``.  A single item above the bound is a
-    block by itself.
+    hits, and a null stands last in ``items``.  A single text above the
+    bound is a block by itself.
     """
     slim = pick(docs, id_col, text_col).toDF("id", "text")
     bench = pick(benchmark, item_col, item_text_col).toDF("item", "text").where("text IS NOT NULL")

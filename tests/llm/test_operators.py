@@ -221,6 +221,14 @@ def test_items_without_key_count(spark, monkeypatch, tmp_path, size):
     assert {r.doc_id for r in decontaminate.without_contaminated(*tables, broadcast_bytes=size).collect()} == {4, 5}
 
 
+def test_blocks_of_an_item_with_many_texts_are_bounded(spark):
+    rows = [(1, f"text {i} " + "word " * (i % 40)) for i in range(300)] + [(2, "again " * 20)] * 300 + [(3, "long " * 1000), (None, "x y")]
+    bench = spark.createDataFrame(rows, "item bigint, text string")
+    blocks = [b.collect() for b in decontaminate._blocks(bench, 3000)]
+    assert sorted(map(tuple, sum(blocks, [])), key=repr) == sorted(set(rows), key=repr)
+    assert all(len(b) == 1 or sum(len(r.text) + 16 for r in b) <= 3000 for b in blocks)
+
+
 def test_shards_are_computable(spark):
     rows = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
     dealt = sharding.shard(rows, 7, seed=3)
