@@ -664,16 +664,23 @@ def schedule_flatten(spark, sf):
 
 @register_exact
 def merge_upsert(spark, sf):
-    """Later line items replace earlier ones of the same key."""
+    """Later line items replace earlier ones of the same key.
+
+    A line item without a date is the earliest of its key; where a key has no date at all, one is kept.
+    """
     items = raw.load(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", F.to_date("l_shipdate").alias("l_shipdate")
     )
     cut = F.lit("1997-01-01").cast("date")
     newest = [F.desc("l_shipdate"), F.desc("l_extendedprice"), F.desc("l_quantity")]
+    keys = ["l_orderkey", "l_linenumber"]
+    undated = items.filter("l_shipdate is null")
+    dated = items.filter("l_shipdate is not null").select(*(F.col(k).alias(f"dated_{k}") for k in keys)).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"dated_{k}")) for k in keys]
     return merge.merge_by_key(
-        items.filter(F.col("l_shipdate") < cut),
-        items.filter(F.col("l_shipdate") >= cut),
-        ["l_orderkey", "l_linenumber"],
+        items.filter(F.col("l_shipdate") < cut).unionAll(undated.join(dated, same, "left_semi")),
+        items.filter(F.col("l_shipdate") >= cut).unionAll(undated.join(dated, same, "left_anti")),
+        keys,
         newest,
     )
 

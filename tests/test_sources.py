@@ -230,3 +230,24 @@ def test_newest_response_of_a_year(spark, tmp_path):
     found = api_json.read_bodies(spark, str(tmp_path)).withColumn("source_year", F.lit(2024))
     (row,) = api_json.merge_holidays(api_json.parse_holidays(api_json.newest_response(found, "source_year"))).collect()
     assert (row.holiday_name, row.holiday_types) == ("Harvest Fair", "Optional,Public")
+
+
+def test_line_items_without_a_date_are_merged(spark, sf_dir, tmp_path):
+    from compare import connect, differences
+
+    from __spark_entry__ import oracle_sql, queries
+
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    place = items.columns.index("l_shipdate")
+    base = items.orderBy("l_orderkey", "l_linenumber").limit(1).collect()[0]
+    rows = []
+    for order, dates in enumerate([[None], [None, None], [None, "1996-05-01"], [None, "1998-05-01"], ["1996-05-01", "1998-05-01"]]):
+        for price, date in enumerate(dates):
+            row = dict(zip(items.columns, base, strict=True)) | {"l_orderkey": order, "l_linenumber": 1, "l_extendedprice": type(base["l_extendedprice"])(price)}
+            like = base[place]
+            row["l_shipdate"] = None if date is None else like.replace(*map(int, date.split("-")))
+            rows.append(tuple(row[c] for c in items.columns))
+    spark.createDataFrame(rows, items.schema).write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = queries()["merge_upsert"](spark, str(tmp_path))
+    assert differences(got, connect(str(tmp_path)), oracle_sql()["merge_upsert"]) == []
+    assert got.filter("l_shipdate is null").count() == 3
