@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokecast.llm import bpe, decontaminate, jaccard, language, quality, recompression, repetition, sharding, toxicity, url_filter
+from spokecast.llm import bpe, decontaminate, jaccard, language, quality, recompression, repetition, sharding, token_files, toxicity, url_filter
 from spokecast.llm.text import pick
+from spokecast.session import scratch_path
 
 SHARDS = 24
 SHARD_SEED = 7
@@ -20,10 +21,10 @@ RULES = [
 LISTED_SITES = r"(^|\.)(casino-win|cheap-pills|spam-farm|adult-x|free-bets|ads-track)\."
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,6 +96,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), path, end_id=2)
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -106,4 +113,5 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op12_token_files": op12_token_files,
 }
