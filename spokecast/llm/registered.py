@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokecast.llm import bpe, decontaminate, jaccard, language, quality, recompression, repetition, sharding, token_files, toxicity, url_filter
+from spokecast.llm import bpe, decontaminate, jaccard, language, quality, ranked_search, recompression, repetition, sharding, token_files, toxicity, url_filter
 from spokecast.llm.text import pick
 from spokecast.session import scratch_path
 
@@ -102,6 +102,12 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "search-index")
+    ranked_search.build(table(spark, sf_dir, "documents"), path)
+    return ranked_search.search(spark, path, table(spark, sf_dir, "benchmark"), k=10).select("item_id", "rank", "doc_id", "score")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -114,4 +120,5 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
     "op12_token_files": op12_token_files,
+    "op13_ranked_search": op13_ranked_search,
 }

@@ -146,6 +146,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   NOT (n_words < {rules.least_words} OR 100 * n_repeat_words > {rules.repeat_limit} * n_words OR coalesce(repeats, false)) AS kept FROM m"""
 
 
+def op13() -> str:
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    return f"""
+WITH d AS ({_words("documents", "doc_id", term, True)}),
+n AS (SELECT doc_id, len(words)::BIGINT AS n FROM d WHERE len(words) > 0),
+c AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM n),
+m AS (SELECT doc_id, 25 + (75 * n * docs) // terms AS m FROM n, c),
+tf AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(words) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), c),
+i AS (SELECT item_id, term, count(*)::BIGINT AS times FROM (SELECT item_id, unnest(words) AS term FROM ({_words("benchmark", "item_id", term, True)})) GROUP BY ALL),
+s AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM i JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""
+
+
 ORACLES = {
     "op2_ngram_jaccard": op2(),
     "op3_url_filter": op3(),
@@ -153,4 +170,5 @@ ORACLES = {
     "op5_decontamination": op5(),
     "op7_substring_dedup": op7(),
     "op10_quality_rules": op10(),
+    "op13_ranked_search": op13(),
 }
