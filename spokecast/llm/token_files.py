@@ -24,15 +24,15 @@ from spokecast.llm.text import Shared, chunks, give_back, pick
 
 #: Ids of a frame, if no single document has more, and ids that a task codes at a time.
 FRAME_IDS = 1 << 17
-BATCH_IDS = 1 << 23
+BATCH_IDS = 1 << 22
 CHUNK_BYTES = 2 << 20
 #: Entries after which a worker's table of known words is emptied; it only saves time.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 600_000
 #: Words that go to the tokenizer in one text.
 JOINED = 500
 
-#: A word of letters that lower-casing and normalising leave alone, and punctuation behind it.
-PLAIN = re.compile(r"([a-zà-öø-ÿ]+)([.,;:!?]*)")
+#: Lines: a word of letters that lower-casing and normalising leave alone, and punctuation behind it; or something else.
+PLAIN = re.compile(r"^(?:([a-zà-öø-ÿ]+)([.,;:!?]*)|(.*))$", re.MULTILINE)
 #: The normalizers and the split of vocabularies that drop white space between words.
 NORMALIZERS = ({"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"})
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -86,20 +86,17 @@ class Tokens:
         made = self.tool.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<i4").tobytes() for e in made]
 
-    def _learn(self, new: Iterable[bytes]) -> None:
-        parts: dict[bytes, tuple[str, str]] = {}
-        ask: set[str] = set()
-        plain: set[str] = set()
-        for word in new:
-            text = word.decode()
-            m = PLAIN.fullmatch(text) if self.last is not None else None
-            core, rest = m.groups() if m else (text, "")
-            parts[word] = core, rest
-            (plain if m else ask).add(core)
-            if rest:
-                ask.add(rest)
-        made = self._joined(sorted(plain)) | dict(zip(ask, self._asked(list(ask)), strict=True))
-        self.words.update((w, made[core] + made[rest] if rest else made[core]) for w, (core, rest) in parts.items())
+    def _learn(self, new: set[bytes]) -> None:
+        words = list(new)
+        if self.last is None:
+            self.words.update(zip(words, self._asked([w.decode() for w in words]), strict=True))
+            return
+        parts = PLAIN.findall(b"\n".join(words).decode())
+        made = self._joined(list({core for core, _, _ in parts if core}))
+        ask = list({x for _, rest, other in parts for x in (rest, other) if x})
+        made.update(zip(ask, self._asked(ask), strict=True))
+        made[""] = b""
+        self.words.update(zip(words, [made[core or other] + made[rest] for core, rest, other in parts], strict=True))
 
     def _joined(self, words: list[str]) -> dict[str, bytes]:
         """Plain words many to a text; the ids that end a word tell them apart."""
