@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokecast.llm import bpe, decontaminate, jaccard, language, quality, ranked_search, recompression, repetition, sharding, token_files, toxicity, url_filter
+from spokecast.llm import bpe, decontaminate, jaccard, language, phrases, quality, ranked_search, recompression, repetition, sharding, token_files, toxicity, url_filter
 from spokecast.llm.text import pick
 from spokecast.session import scratch_path
 
@@ -96,6 +96,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"), least=30, top=2000, longest=4, inside=80)
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), path, end_id=2)
@@ -119,6 +123,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op11_phrases": op11_phrases,
     "op12_token_files": op12_token_files,
     "op13_ranked_search": op13_ranked_search,
 }

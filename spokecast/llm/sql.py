@@ -146,6 +146,26 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   NOT (n_words < {rules.least_words} OR 100 * n_repeat_words > {rules.repeat_limit} * n_words OR coalesce(repeats, false)) AS kept FROM m"""
 
 
+def op11() -> str:
+    return f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM p),
+n AS (SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang),
+f AS (SELECT lang, k, phrase, count(*)::BIGINT AS f FROM (SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2),
+  lambda i: array_to_string(words[i:i + k - 1], ' '))) AS phrase FROM w, range(1, 5) t(k)) GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE k >= 2),
+cut AS (SELECT c.lang, c.phrase, c.a, cut, l.f AS l, r.f AS r, ((2000000::HUGEINT * c.a) // (l.f + r.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[1:cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[cut + 1:c.k], ' ')),
+low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+sub AS (SELECT lang, array_to_string(words[i:i + s - 1], ' ') AS phrase, a AS longer FROM
+  (SELECT *, unnest(range(1, k - s + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS s FROM c WHERE k >= 3))),
+kept AS (SELECT * FROM low WHERE NOT EXISTS (SELECT 1 FROM sub WHERE sub.lang = low.lang AND sub.phrase = low.phrase AND 100::HUGEINT * longer >= 80::HUGEINT * a))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000"""
+
+
 def op13() -> str:
     term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
     return f"""
@@ -170,5 +190,6 @@ ORACLES = {
     "op5_decontamination": op5(),
     "op7_substring_dedup": op7(),
     "op10_quality_rules": op10(),
+    "op11_phrases": op11(),
     "op13_ranked_search": op13(),
 }
