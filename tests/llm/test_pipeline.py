@@ -9,7 +9,7 @@ from spokecast.llm import toxicity
 
 
 def test_stages_against_brute_force(spark, sf_dir):
-    from test_operators import brute_components, brute_repeats
+    from test_llm_operators import brute_components, brute_repeats
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
