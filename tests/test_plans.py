@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import queries
+from __spark_entry__ import LLM_QUERIES, queries
 from spokecast.operators import holidays, quality, stations
 from spokecast.plans import build, registered
 from spokecast.plans.presentation import ORDER, shown
 from spokecast.sources import driver_tables, trip_files
 from spokecast.sources.tables import Warehouse
 
-QUERIES = queries()
+QUERIES = {k: v for k, v in queries().items() if k not in LLM_QUERIES}
 STORED = {"dq_monitor", "csv_ingest", "warehouse_roundtrip", "station_clusters", "station_clusters_check"}
 
 
