@@ -1,89 +1,156 @@
-"""Station clusters (M8): k-means over coordinates with MLlib."""
+"""Station clusters (M8, M25): k-means over coordinates, many fits side by side.
+
+A fit is one group of stations (all of them, or those of one holiday), one k and one restart.  All fits go through
+the same Spark jobs: starts by farthest points, then Lloyd's steps as aggregates keyed by fit and centre.  Coordinates
+are whole millionths of a degree, so sums are exact, a fit ends when no centre moves, and the result is the same for
+any split of the input and in any engine.
+"""
 
 from __future__ import annotations
 
-import math
 import warnings
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spokecast.functions import geo
 from spokecast.session import cut_lineage
-from spokecast.sources.tables import literal_table
 
 # Clusters, seed and restarts of the dimension.
 CLUSTERS = 30
 SEED = 42
 RESTARTS = 10
 MAX_ITERATIONS = 300
-#: A fit has converged when no centroid moves further, as a share of the coordinates' mean deviation.
-TOLERANCE = 1e-4
+#: Centres of all fits that go through the jobs together; beyond it groups are fitted in turns.
+CENTRES_AT_ONCE = 100_000
+#: Steps to a degree; positions are shifted to be positive.
+STEPS = 1_000_000
+CENTRES = "array<struct<x:bigint,y:bigint>>"
 
-STATIONS_PER_TASK = 50_000
 
+def _position(degrees: str, shift: int) -> Column:
+    return F.round((F.col(degrees) + shift) * STEPS).cast("bigint")
 
-def station_clusters(
+
+def _squared(centre: Column) -> Column:
+    return (F.col("x") - centre["x"]) * (F.col("x") - centre["x"]) + (F.col("y") - centre["y"]) * (F.col("y") - centre["y"])
+
+
+def grouped_clusters(
     stations: DataFrame,
-    k: int = CLUSTERS,
+    by: Sequence[str] = (),
+    ks: Sequence[int] = (CLUSTERS,),
     seed: int = SEED,
     restarts: int = RESTARTS,
-    tolerance: float = TOLERANCE,
     max_iterations: int = MAX_ITERATIONS,
 ) -> DataFrame:
-    """Label, centroid and distance to it for every located station (K2, K3, K1, C14).
+    """Label, centroid and distance to it for every located station of every group and every k (K2, K3, K1, C14).
+
+    A group's first centre is the station with the least hash of its id and the restart's seed; each next one is the
+    station farthest from those before, ties to the greater latitude and then longitude.  A station belongs to the
+    nearest centre, ties to the first; a centre moves to the mean of its members, rounded down to a millionth of a
+    degree, and stays where it is without members.  Of the restarts the cheapest fit wins, ties to the first.  A group
+    with fewer places than k has as many clusters as places.  Stations without coordinates or id are left out.
 
-    MLlib fits from ``restarts`` seeds and the cheapest model wins; a warning tells of a winner
-    that ``max_iterations`` stopped before it converged.  The located stations are
-    written once to the shared folder, so restarts never rescan trips, and put in a fixed
-    order, so they do not depend on how the input was split.  Tasks follow the number of
-    stations, not the size of the cluster.  Only the ``k`` centroids pass the driver.
+    The located stations are written once to the shared folder, so no step rescans trips.  The driver holds the
+    centres of ``CENTRES_AT_ONCE`` at most, or of one group; groups are numbered in the order of their keys.
     """
-    located = cut_lineage(
-        stations.filter("latitude is not null and longitude is not null").select(
-            "station_id", "station_name", "latitude", "longitude"
-        )
-    )
-    tasks = math.ceil(located.count() / STATIONS_PER_TASK) or 1
-    ordered = located.repartitionByRange(tasks, "station_id").sortWithinPartitions("station_id")
-    vectors = VectorAssembler(inputCols=["latitude", "longitude"], outputCol="features")
-    points = vectors.transform(ordered).persist(StorageLevel.MEMORY_AND_DISK)
-    spread = points.agg(F.var_pop("latitude") + F.var_pop("longitude")).first()[0] or 0.0
-    best = None
-    for restart in range(restarts):
-        moved = tolerance * math.sqrt(spread / 2)
-        model = KMeans(k=k, seed=seed + restart, maxIter=max_iterations, tol=moved).fit(points)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    if best.summary.numIter >= max_iterations:
-        warnings.warn(f"the fit did not converge within {max_iterations} iterations", stacklevel=2)
-    points.unpersist()
-    centres = [(i, float(c[0]), float(c[1])) for i, c in enumerate(best.clusterCenters())]
-    centroids = literal_table(
-        stations.sparkSession, centres, "cluster_id int, centroid_lat double, centroid_lon double"
-    )
-    distance = geo.haversine_km(
-        F.col("latitude"), F.col("longitude"), F.col("centroid_lat"), F.col("centroid_lon")
+    located = stations.filter("latitude is not null and longitude is not null and station_id is not null").select(
+        *by, "station_id", "station_name", "latitude", "longitude"
     )
-    # k rows, so the broadcast is bounded by the parameter.
-    return (
-        best.transform(points)
-        .withColumnRenamed("prediction", "cluster_id")
-        .join(F.broadcast(centroids), "cluster_id", "left")
-        .select(
-            "station_id",
-            "station_name",
-            "latitude",
-            "longitude",
-            "cluster_id",
-            "centroid_lat",
-            "centroid_lon",
-            distance.alias("distance_from_centroid_km"),
+    located = cut_lineage(located.withColumns({"x": _position("latitude", 90), "y": _position("longitude", 180)}))
+    if by:
+        order = [F.col(c).asc_nulls_first() for c in by]
+        keys = cut_lineage(located.select(*by).distinct().withColumn("g", F.row_number().over(Window.orderBy(*order))))
+        same = reduce(lambda a, b: a & b, [located[c].eqNullSafe(keys[c]) for c in by])
+        points = located.join(keys.select("g", *by), same).select("g", *[located[c] for c in located.columns])
+        groups = keys.count()
+    else:
+        points, groups = located.withColumn("g", F.lit(1)), 1
+    turns = -(-groups * sum(ks) * restarts // CENTRES_AT_ONCE) or 1
+    parts = [_fitted(points.where(F.col("g") % turns == i) if turns > 1 else points, by, ks, seed, restarts, max_iterations) for i in range(turns)]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _frame(points: DataFrame, rows: Iterable[tuple]) -> DataFrame:
+    return points.sparkSession.createDataFrame(list(rows), f"g int, k int, restart int, centres {CENTRES}")
+
+
+def _starts(points: DataFrame, k: int, seed: int, restarts: int) -> dict[tuple[int, int], list[tuple[int, int]]]:
+    """For each group and restart up to ``k`` places, each the farthest from those before it."""
+    tries = F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("restart")
+    key = F.md5(F.concat(F.col("station_id").cast("string"), F.lit("|"), (F.col("restart") + seed).cast("string")).cast("binary"))
+    first = points.select("*", tries).groupBy("g", "restart").agg(F.min(F.struct(key, F.col("x").alias("x"), F.col("y").alias("y"))).alias("p"))
+    out = {(r.g, r.restart): [(r.p.x, r.p.y)] for r in first.collect()}
+    open_ = set(out)
+    places = points.select("g", "x", "y").distinct()
+    for _ in range(k - 1):
+        if not open_:
+            break
+        centres = F.broadcast(_frame(points, ((g, 0, r, out[g, r]) for g, r in sorted(open_))))
+        nearest = F.array_min(F.transform("centres", _squared))
+        farthest = places.join(centres, "g").groupBy("g", "restart").agg(F.max(F.struct(nearest.alias("d"), "x", "y")).alias("p"))
+        open_ = set()
+        for r in farthest.collect():
+            if r.p.d > 0:
+                out[r.g, r.restart].append((r.p.x, r.p.y))
+                open_.add((r.g, r.restart))
+    return out
+
+
+def _labelled(points: DataFrame, centres: DataFrame) -> DataFrame:
+    """Every station once for each fit of its group, with the number of the nearest centre and the squared distance."""
+    nearest = F.array_min(F.transform("centres", lambda c, i: F.struct(_squared(c).alias("d"), i.alias("i"))))
+    return points.join(F.broadcast(centres), "g").withColumn("nearest", nearest)
+
+
+def _fitted(points: DataFrame, by: Sequence[str], ks: Sequence[int], seed: int, restarts: int, max_iterations: int) -> DataFrame:
+    starts = _starts(points, max(ks), seed, restarts)
+    fits = {(g, k, r): list(found[:k]) for (g, r), found in starts.items() for k in ks}
+    cost: dict[tuple[int, int, int], int] = {}
+    open_ = set(fits)
+    # Stations at one place move together.
+    places = cut_lineage(points.groupBy("g", "x", "y").agg(F.count("*").alias("n")))
+    for _ in range(max_iterations):
+        if not open_:
+            break
+        some = _labelled(places, _frame(points, ((*f, fits[f]) for f in sorted(open_))))
+        sums = some.groupBy("g", "k", "restart", "nearest.i").agg(
+            F.sum("n").alias("n"), F.sum(F.col("x") * F.col("n")).alias("x"), F.sum(F.col("y") * F.col("n")).alias("y"),
+            F.sum(F.col("nearest.d").cast("decimal(25,0)") * F.col("n")).alias("d"),
         )
+        moved, now = {f: list(fits[f]) for f in open_}, dict.fromkeys(open_, 0)
+        for r in sums.collect():
+            f = (r.g, r.k, r.restart)
+            moved[f][r.i] = (r.x // r.n, r.y // r.n)
+            now[f] += int(r.d)
+        cost.update(now)
+        open_ = {f for f in open_ if moved[f] != fits[f]}
+        fits.update(moved)
+    if open_:
+        warnings.warn(f"{len(open_)} fits did not converge within {max_iterations} iterations", stacklevel=3)
+    best: dict[tuple[int, int], tuple[int, int]] = {}
+    for g, k, r in fits:
+        best[g, k] = min(best.get((g, k), (cost[g, k, r], r)), (cost[g, k, r], r))
+    winners = _frame(points, [(g, k, r, fits[g, k, r]) for (g, k), (_, r) in sorted(best.items())])
+    labelled = _labelled(points, winners).withColumn("cluster_id", F.col("nearest.i"))
+    means = labelled.groupBy("g", "k", "cluster_id").agg(
+        (F.sum("x") / F.count("*") / STEPS - 90).alias("centroid_lat"), (F.sum("y") / F.count("*") / STEPS - 180).alias("centroid_lon")
     )
+    distance = geo.haversine_km(F.col("latitude"), F.col("longitude"), F.col("centroid_lat"), F.col("centroid_lon"))
+    return labelled.join(means, ["g", "k", "cluster_id"]).select(
+        *by, "k", "station_id", "station_name", "latitude", "longitude", "cluster_id", "centroid_lat", "centroid_lon",
+        distance.alias("distance_from_centroid_km"),
+    )
+
+
+def station_clusters(
+    stations: DataFrame, k: int = CLUSTERS, seed: int = SEED, restarts: int = RESTARTS, max_iterations: int = MAX_ITERATIONS
+) -> DataFrame:
+    """The dimension: one fit over all located stations (M8)."""
+    return grouped_clusters(stations, (), (k,), seed, restarts, max_iterations).drop("k")
 
 
 def cluster_members(clusters: DataFrame, cluster_id: int) -> DataFrame:

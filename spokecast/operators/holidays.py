@@ -7,6 +7,8 @@ becomes an equi-join on days.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -298,14 +300,17 @@ def significance(summary: DataFrame, cube: DataFrame) -> DataFrame:
     )
 
 
-def cluster_rollup(by_station: DataFrame, clusters: DataFrame) -> DataFrame:
+def cluster_rollup(by_station: DataFrame, clusters: DataFrame, own: bool = False, ks: Sequence[str] = ()) -> DataFrame:
     """Holiday change per station cluster, with its commonest area.
 
-    Sums go through (holiday, cluster, area) first, so the commonest area is a maximum over
+    With ``own`` each holiday has clusters of its own, and ``ks`` names columns of ``clusters`` that tell several
+    clusterings of one holiday apart.  Sums go through (holiday, cluster, area) first, so the commonest area is a maximum over
     a few rows; ties go to the first name, no area at all to ``Mixed``.
     """
-    joined = by_station.join(clusters.select("station_id", "cluster_id"), "station_id")
-    per_area = joined.groupBy("holiday_date", "cluster_id", "area").agg(
+    keys = ["station_id", "holiday_date"] if own else ["station_id"]
+    joined = by_station.join(clusters.select(*keys, *ks, "cluster_id"), keys)
+    cluster = ["holiday_date", *ks, "cluster_id"]
+    per_area = joined.groupBy(*cluster, "area").agg(
         F.sum("trips_holiday").alias("trips_holiday"),
         F.coalesce(F.sum("trips_baseline"), F.lit(0.0)).alias("trips_baseline"),
         F.coalesce(F.sum("trips_abs_change"), F.lit(0.0)).alias("trips_abs_change"),
@@ -317,7 +322,7 @@ def cluster_rollup(by_station: DataFrame, clusters: DataFrame) -> DataFrame:
     rank = F.when(F.col("area").isNotNull(), F.struct(-F.col("stations"), F.col("area")))
     located = F.nullif(F.sum("located"), F.lit(0))
     return (
-        per_area.groupBy("holiday_date", "cluster_id")
+        per_area.groupBy(*cluster)
         .agg(
             F.sum("trips_holiday").alias("trips_holiday"),
             F.sum("trips_baseline").alias("trips_baseline"),

@@ -5,6 +5,8 @@ Fixed values throughout: which columns are checked, against which ranges and wor
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from spokecast.functions.calendar import DAY_NAMES
 from spokecast.functions.geo import AREA_BOXES, CITY_BOX
 from spokecast.operators.factors import WEATHER_FACTORS
@@ -200,3 +202,12 @@ MODEL_SUITES: dict[str, tuple[Check, ...]] = {
         *not_null("description", "impact_pct", "adjustment_multiplier"),
     ),
 }
+
+
+def model_suites(clusters: int = 30) -> dict[str, tuple[Check, ...]]:
+    """The model tests for a dimension of so many station clusters."""
+    labels = tuple(
+        replace(c, high=clusters - 1) if c.kind == "between" and c.column == "cluster_id" else c
+        for c in MODEL_SUITES["dim_station_clusters"]
+    )
+    return {**MODEL_SUITES, "dim_station_clusters": labels}

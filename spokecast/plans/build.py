@@ -123,12 +123,14 @@ def refresh(
     return {**staged, **core, **marts}
 
 
-def check_quality(raw: dict[str, DataFrame], models: dict[str, DataFrame], path: str) -> DataFrame:
-    """Run the raw suites and the model tests, append one run, return its records."""
+def check_quality(
+    raw: dict[str, DataFrame], models: dict[str, DataFrame], path: str, k: int = clusters.CLUSTERS
+) -> DataFrame:
+    """Run the raw suites and the model tests, append one run, return its records; ``k`` as in ``refresh``."""
     raw_results = quality.run_suites(raw, suites.RAW_SUITES)
     tests = reduce(
         DataFrame.unionByName,
-        [quality.run_suites(raw, suites.SOURCE_KEYS), quality.run_suites(models, suites.MODEL_SUITES)],
+        [quality.run_suites(raw, suites.SOURCE_KEYS), quality.run_suites(models, suites.model_suites(k))],
     )
     records = quality.source_records(raw_results).unionByName(quality.model_record(tests))
     stamped = quality.stamp_run(records)

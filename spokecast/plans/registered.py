@@ -35,6 +35,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # Stations count as near a venue within this distance in the registered event queries.
 NEAR_KM = 9.0
 CLUSTER_COUNT = 12
+# Numbers of clusters of the holiday page.
+PAGE_KS = (10, 30)
 
 
 def register_exact(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -200,10 +202,16 @@ def nearby_pairs_banded(spark, sf):
 
 @register
 def station_clusters(spark, sf):
-    """M8: K2, C14; the labels themselves (k-means centroids differ between engines)."""
+    """M8: K2, C14, with labels, centroids and distances."""
     return clusters.station_clusters(stations_of(spark, sf), k=CLUSTER_COUNT)
 
 
+@register
+def customer_clusters(spark, sf):
+    """M8 over as many stations as customers, with the dimension's own k and restarts."""
+    return clusters.station_clusters(raw.customer_stations(spark, sf))
+
+
 @register
 def station_clusters_check(spark, sf):
     """K2 invariants: stations, labels used, stations nearer to another centroid."""
@@ -358,6 +366,23 @@ def cluster_holiday_rollup(spark, sf):
     return holidays.cluster_rollup(by_station, raw.station_clusters_by_rule(places))
 
 
+def holiday_clusters_of(spark: SparkSession, by_station: DataFrame) -> DataFrame:
+    return clusters.grouped_clusters(by_station, by=("holiday_date",), ks=PAGE_KS)
+
+
+@register
+def holiday_station_clusters(spark, sf):
+    """K3, clusters of each holiday's stations for several k."""
+    return holiday_clusters_of(spark, by_station_of(spark, sf)[0])
+
+
+@register
+def holiday_cluster_rollup(spark, sf):
+    """K3 into D17, the change of each holiday in its own clusters."""
+    by_station, _ = by_station_of(spark, sf)
+    return holidays.cluster_rollup(by_station, holiday_clusters_of(spark, by_station), own=True, ks=("k",))
+
+
 # Game marts ------------------------------------------------------------------------------
 
 

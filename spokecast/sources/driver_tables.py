@@ -22,6 +22,7 @@ TEST_STADIUMS = (
 # Layouts of the tables read here; stating them saves a job per read.
 SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
     " o_orderdate timestamp_ntz, o_orderpriority string",
@@ -57,6 +58,16 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customer_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A station per customer, spread over the city's box; a few lie at one place, some have no coordinates."""
+    return load(spark, sf_dir, "customer").selectExpr(
+        "concat('C', c_custkey) as station_id",
+        "concat('Corner ', c_custkey) as station_name",
+        "if(c_custkey % 97 = 0, null, (40500 + c_custkey * 7919 % 410) / 1000D) as latitude",
+        "(c_custkey * 104729 % 530 - 74250) / 1000D as longitude",
+    )
+
+
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per day of the events, with gaps and a contradiction."""
     days = load(spark, sf_dir, "events").selectExpr("to_date(ts) as date").distinct()

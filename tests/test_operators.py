@@ -72,7 +72,8 @@ def test_trip_length_counts_second_boundaries(spark):
 
 
 @pytest.mark.parametrize(
-    ("high", "low", "kept"), [(25.0, 15.0, 1), (None, 15.0, 1), (25.0, None, 1), (None, None, 1), (10.0, 20.0, 0)]
+    ("high", "low", "kept"),
+    [(3.5, 3.5, 1), (3.5, 3.4, 1), (3.5, 3.6, 0), (-8.0, -7.9, 0), (None, -40.0, 1), (0.0, None, 1), (None, None, 1)],
 )
 def test_partial_temperatures_are_kept(spark, high, low, kept):
     raw = frame(
@@ -446,6 +447,73 @@ def test_clusters_are_stable_and_nearest(spark):
     assert all(0 <= r.distance_from_centroid_km < 10 for r in first)
 
 
+STATIONS = "day string, station_id string, station_name string, latitude double, longitude double"
+
+
+def squares(day, n, step):
+    return [(day, f"{day}{i}", "x", 40.5 + (i * 37 % 101) * step, -74.0 + (i * 53 % 89) * step) for i in range(n)]
+
+
+def test_fits_of_groups_are_those_of_each_group_alone(spark, monkeypatch):
+    rows = squares("a", 60, 0.002) + squares("b", 25, 0.01) + [(None, "z", "x", 40.6, -74.0), ("b", "nowhere", "x", None, -74.0)]
+    places = frame(spark, rows, STATIONS)
+
+    def found(**more):
+        made = clusters.grouped_clusters(places, ("day",), (4, 9), restarts=3, **more)
+        return sorted(map(repr, made.collect()))
+
+    together = found()
+    alone = []
+    for day in ("a", "b", None):
+        own = places.filter(F.col("day").eqNullSafe(day))
+        for k in (4, 9):
+            alone += clusters.station_clusters(own, k=k, restarts=3).select(
+                F.lit(day).cast("string").alias("day"), F.lit(k).alias("k"), "*"
+            ).collect()
+    assert together == sorted(map(repr, alone)) and len(together) == 2 * 86
+    monkeypatch.setattr(clusters, "CENTRES_AT_ONCE", 1)
+    assert found() == together
+
+
+def test_fewer_places_than_clusters(spark):
+    rows = [("d", f"s{i}", "x", 40.6 + i % 3, -74.0) for i in range(9)]
+    made = clusters.station_clusters(frame(spark, rows, STATIONS), k=5, restarts=2).collect()
+    assert len(made) == 9 and len({r.cluster_id for r in made}) == 3
+    assert all(r.distance_from_centroid_km == pytest.approx(0, abs=1e-6) for r in made)
+    assert clusters.station_clusters(frame(spark, [], STATIONS), k=5).count() == 0
+
+
+def test_a_fit_costs_no_more_than_its_starts(spark):
+    rows = squares("a", 120, 0.002)
+    made = clusters.station_clusters(frame(spark, rows, STATIONS), k=6, restarts=1).collect()
+    cost = sum((r.latitude - r.centroid_lat) ** 2 + (r.longitude - r.centroid_lon) ** 2 for r in made)
+    members = {}
+    for r in made:
+        members.setdefault(r.cluster_id, []).append((r.latitude, r.longitude, r.centroid_lat, r.centroid_lon))
+    for points in members.values():
+        assert sum(p[0] for p in points) / len(points) == pytest.approx(points[0][2], abs=2e-6)
+        assert sum(p[1] for p in points) / len(points) == pytest.approx(points[0][3], abs=2e-6)
+    import hashlib
+
+    first = min(rows, key=lambda r: hashlib.md5(f"{r[1]}|42".encode()).hexdigest())
+    centres = [first[3:]]
+    far = lambda p: min((p[0] - a) ** 2 + (p[1] - b) ** 2 for a, b in centres)
+    for _ in range(5):
+        centres.append(max((r[3:] for r in rows), key=far))
+    assert cost < sum(far(r[3:]) for r in rows)
+
+
+def test_a_fit_cut_short_warns(spark):
+    with pytest.warns(UserWarning, match="did not converge"):
+        clusters.station_clusters(frame(spark, squares("a", 80, 0.003), STATIONS), k=7, restarts=1, max_iterations=1)
+
+
+def test_members_come_nearest_first(spark):
+    made = clusters.station_clusters(frame(spark, squares("a", 40, 0.002), STATIONS), k=3, restarts=1)
+    found = [r.distance_from_centroid_km for r in clusters.cluster_members(made, 1).collect()]
+    assert found == sorted(found) and len(found) > 3
+
+
 def test_more_restarts_never_cost_more(spark):
     rows = [(f"S{i}", f"S{i}", 40.6 + (i * 37 % 101) * 0.002, -74.0 + (i * 53 % 89) * 0.002) for i in range(120)]
     places = frame(spark, rows, "station_id string, station_name string, latitude double, longitude double")

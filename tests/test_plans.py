@@ -12,7 +12,8 @@ from spokecast.sources import driver_tables, trip_files
 from spokecast.sources.tables import Warehouse
 
 QUERIES = {k: v for k, v in queries().items() if k not in LLM_QUERIES}
-STORED = {"dq_monitor", "csv_ingest", "warehouse_roundtrip", "station_clusters", "station_clusters_check"}
+CLUSTERED = {"station_clusters", "station_clusters_check", "customer_clusters", "holiday_station_clusters", "holiday_cluster_rollup"}
+STORED = {"dq_monitor", "csv_ingest", "warehouse_roundtrip"} | CLUSTERED
 
 
 def plan(df):
@@ -124,7 +125,7 @@ def test_full_refresh_and_quality_run(spark, sf_dir, tmp_path):
         assert same(model, query), model
     assert spark.sql("select count(*) from mart_demand_daily").first()[0] == models["mart_demand_daily"].count()
 
-    records = build.check_quality(raw, models, str(tmp_path / "dq"))
+    records = build.check_quality(raw, models, str(tmp_path / "dq"), k=5)
     assert records.count() == 5
     assert quality.run_kpis(records).first().total_tests == 5
 

@@ -21,9 +21,8 @@ def test_matches_sql(spark, con, sf_dir, name):
     assert differences(QUERIES[name](spark, sf_dir), con, SQL[name]) == []
 
 
-def test_only_cluster_labels_lack_sql():
-    assert set(QUERIES) - set(SQL) == {"station_clusters"}
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):
