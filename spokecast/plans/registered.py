@@ -775,9 +775,12 @@ def csv_ingest(spark, sf):
 
 @register
 def partition_calendar(spark, sf):
-    """A10: months of the orders' period and the orders each one prunes to."""
-    orders = raw.load(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyyMM").alias("source_month"))
-    kept = periods.in_period(orders, periods.month_calendar(spark, "1994-01-31", "1996-02-15"))
+    """A10: months of the orders' period and the orders each one prunes to, from a table stored by month."""
+    folder = scratch_path(spark, "orders-by-month")
+    orders = raw.load(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyyMM").alias("source_month"))
+    orders.hint("rebalance", "source_month").write.partitionBy("source_month").parquet(folder)
+    stored = spark.read.schema("o_orderkey bigint, source_month string").parquet(folder)
+    kept = periods.in_period(stored, periods.month_calendar(spark, "1994-01-31", "1996-02-15"))
     return kept.groupBy("source_month").agg(F.count(F.lit(1)).alias("orders"))
 
 

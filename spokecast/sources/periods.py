@@ -22,6 +22,8 @@ def month_calendar(spark: SparkSession, start: str, end: str) -> DataFrame:
             F.year("month_start").alias("source_year"),
             "month_start",
         )
+        # Says nothing new, but tells Spark that the calendar is worth pruning a partitioned table by.
+        .where(F.col("month_start") >= first)
     )
 
 
@@ -36,5 +38,9 @@ def years_between(start: str, end: str) -> list[int]:
 
 
 def in_period(df: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Rows of the calendar's months; on a table partitioned by month this prunes its files."""
-    return df.join(calendar.select("source_month"), "source_month", "left_semi")
+    """Rows of the calendar's months; of a table partitioned by month only their files are read.
+
+    The calendar has a row for each month of a period, so it is small; Spark finds the partitions at run time
+    (dynamic partition pruning), whatever computed the calendar.
+    """
+    return df.join(F.broadcast(calendar.select("source_month")), "source_month", "left_semi")

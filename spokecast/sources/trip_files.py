@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterable, Iterator
 from functools import reduce
 from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 logger = logging.getLogger(__name__)
 
@@ -38,6 +42,31 @@ def add_ride_mins(df: DataFrame) -> DataFrame:
     return df.withColumn("ride_mins", whole / 60.0)
 
 
+def _first_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line of each file that a task comes to."""
+    last = None
+    for batch in batches:
+        runs = pc.run_end_encode(batch.column("file"))
+        begins = [0, *runs.run_ends.to_pylist()][:-1]
+        kept = [i for i, file in zip(begins, runs.values.to_pylist(), strict=True) if file != last]
+        last = runs.values[-1].as_py() if len(runs.values) else last
+        yield batch.take(pa.array(kept, pa.int64()))
+
+
+def by_header(spark: SparkSession, paths: str | list[str]) -> list[list[str]]:
+    """The files below ``paths`` in groups of equal header lines, empty files left out; one job for all files.
+
+    A file's header is its first line that is not blank, in the part that begins at its first byte.  Lines before a
+    file's second part pass the workers once, only first lines leave them.
+    """
+    begins = F.col("_metadata.file_block_start") == 0
+    lines = spark.read.text(paths).where(begins & (F.length(F.trim("value")) > 0))
+    first = lines.select(F.col("_metadata.file_path").alias("file"), "value").mapInArrow(_first_lines, "file string, value string")
+    # Names of files, as any reader of them lists on the driver.
+    alike = first.groupBy("value").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    return sorted([unquote(f) for f in r.files] for r in alike)
+
+
 def read_trips(spark: SparkSession, paths: str | list[str], month: str) -> DataFrame:
     """One month's files as typed trips, stamped with the load time and month (A1, A4).
 
@@ -46,12 +75,11 @@ def read_trips(spark: SparkSession, paths: str | list[str], month: str) -> DataF
     one, so an unreadable cell becomes null and its row stays.  Station ids are text
     throughout; an old text variant of the end station id fills its gaps.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    alike: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(spark.read.text(paths).inputFiles()):
-        name = unquote(file)
-        alike.setdefault(tuple(reader.csv(name).columns), []).append(name)
-    texts = [normalise_header(reader.csv(files)) for header, files in alike.items() if header]
+    texts = []
+    for files in by_header(spark, paths):
+        names = spark.read.csv(files[0], header=True).columns
+        layout = StructType([StructField(c, StringType()) for c in names])
+        texts.append(normalise_header(spark.read.schema(layout).csv(files, header=True, mode="PERMISSIVE")))
     if not texts:
         raise FileNotFoundError(f"no trip file with a header in {paths}")
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), texts)

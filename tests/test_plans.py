@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import LLM_QUERIES, queries
 from spokecast.operators import holidays, quality, stations
 from spokecast.plans import build, registered
 from spokecast.plans.presentation import ORDER, shown
-from spokecast.sources import driver_tables, trip_files
+from spokecast.sources import driver_tables, periods, trip_files
 from spokecast.sources.tables import Warehouse
 
 QUERIES = {k: v for k, v in queries().items() if k not in LLM_QUERIES}
@@ -16,6 +19,67 @@ CLUSTERED = {"station_clusters", "station_clusters_check", "customer_clusters",
 STORED = {"dq_monitor", "csv_ingest", "warehouse_roundtrip"} | CLUSTERED
 
 
+def jobs(spark, run):
+    """What ``run`` returns, and how many jobs it started."""
+    group = f"count-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        out = run()
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_headers_take_as_many_jobs_for_many_files_as_for_few(spark, tmp_path):
+    few, many = tmp_path / "few", tmp_path / "many"
+    for folder, n in ((few, 120), (many, 200)):
+        folder.mkdir()
+        for i in range(n):
+            names = ["ride_id", "started_at", "ended_at"]
+            head = names if i % 3 else names[::-1]
+            cells = {"ride_id": f"r{i}", "started_at": "2024-01-01 00:00:00", "ended_at": "2024-01-01 00:10:00"}
+            blank = "\n" if i % 2 else ""
+            (folder / f"{i:03} trips.csv").write_text(blank + ",".join(head) + "\n" + ",".join(cells[c] for c in head) + "\n")
+        (folder / "empty.csv").write_text("")
+    counts = []
+    for folder, n in ((few, 120), (many, 200)):
+        df, made = jobs(spark, lambda folder=folder: trip_files.read_trips(spark, str(folder), "202401"))
+        rows = df.collect()
+        assert {r.ride_id for r in rows} == {f"r{i}" for i in range(n)} and {r.ride_mins for r in rows} == {10.0}
+        counts.append(made)
+    assert counts[0] == counts[1]
+
+
+def test_a_period_reads_its_months_only(spark, sf_dir):
+    df = QUERIES["partition_calendar"](spark, sf_dir)
+    assert "dynamicpruning" in plan(df).lower()
+    months = {r.source_month for r in df.collect()}
+    whole = spark.read.schema("o_orderkey bigint, source_month string").parquet(df.inputFiles()[0].split("/source_month=")[0])
+    kept = periods.in_period(whole, periods.month_calendar(spark, "1994-01-31", "1996-02-15"))
+    of_period = [f for f in whole.inputFiles() if any(f"source_month={m}/" in f for m in months)]
+    assert scanned_files(kept) == len(of_period) < len(whole.inputFiles())
+
+
+def scanned_files(df):
+    """Files that the scans of an executed plan have read, by their metric."""
+    df.collect()
+    found, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+            continue
+        if "QueryStageExec" in node.getClass().getSimpleName():
+            todo.append(node.plan())
+            continue
+        metric = node.metrics().get("numFiles")
+        if metric.isDefined():
+            found += metric.get().value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
