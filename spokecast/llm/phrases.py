@@ -10,7 +10,7 @@ worst.
 Counts are kept by 64-bit names, packed and summed by bucket of the name.  What has reached the threshold, and when,
 is sent to the workers as a table of bounded size (``Reached``); it may say so of a phrase that has not, which costs
 counting it and no more.  A last scan counts what the table names by the words themselves, so that results do
-not rest on names across chunks of text.
+not rest on names across tasks.
 """
 
 from __future__ import annotations
@@ -24,14 +24,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spokecast.llm.packed import SCHEMA, SPREAD, dealt, first_of_groups, pack, unpack
-from spokecast.llm.text import Names, Shared, chunks, give_back, mix, pick, whole_windows
+from spokecast.llm.text import Shared, chunks, give_back, mix, pick
 from spokecast.session import scratch_path
 
 SHARDS = 4
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
+#: Text of a task of the last scan.
+SPELT_BYTES = 64 << 20
 #: Counted names that a task holds before it sends them, and phrases with their words in the last scan.
 HELD = 1 << 21
-HELD_PHRASES = 150_000
+HELD_PHRASES = 500_000
 #: Text of a partition of counts: as many partitions as the session shuffles with, but of these sizes at least and most.
 LEAST_BYTES, MOST_BYTES = 4 << 20, 64 << 20
 #: Cells of the table of reached phrases for so many bytes of text, and its least and greatest size in bits.
@@ -64,48 +66,67 @@ class Reached:
 
 
 class Chunk:
-    """The words of some texts, piece by piece, with names that differ by language."""
+    """The words of some texts in a row, with names that differ by language, and the piece that each lies in."""
 
-    def __init__(self, names: Names, langs: list[str], texts: list[bytes]):
+    def __init__(self, langs: list[str], texts: list[bytes]):
         self.langs = langs
-        found = [[w for p in t.translate(FOLD).split(b"\n") if (w := p.split())] for t in texts]
-        self.pieces = [p for f in found for p in f]
-        name, self.first = names.of(self.pieces)
-        self.n_words = np.array([sum(map(len, f)) for f in found], np.int64)
+        self.bytes = b"\n".join(texts).translate(FOLD)
+        data = np.frombuffer(self.bytes, np.uint8)
+        ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+        line = data == 0x0A
+        inside = np.concatenate([[False], (data != 0x20) & ~line, [False]])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        self.start, self.stop = edges[::2], edges[1::2]
+        self.text = np.searchsorted(ends, self.start)
+        self.piece = np.cumsum(line, dtype=np.int32)[self.start] if len(self.start) else np.empty(0, np.int32)
+        self.n_words = np.bincount(self.text, minlength=len(texts))
+        size = self.stop - self.start
+        # A sum of the word's bytes, each times a number of its own for the place in the word.
+        flat = np.flatnonzero(inside[1:-1])
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+        factor = mix(np.arange(1, int(size.max(initial=0)) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
         salt = np.array([xxhash.xxh3_64_intdigest(x.encode(), seed=1) for x in langs], np.uint64)
-        self.names = mix(name + np.repeat(salt, self.n_words))
+        if len(size):
+            sums = np.add.reduceat((data[flat].astype(np.uint64) + np.uint64(1)) * factor[place], np.cumsum(size) - size)
+            self.names = mix(mix(sums + size.astype(np.uint64)) + salt[self.text])
+        else:
+            self.names = np.empty(0, np.uint64)
 
     def phrases(self, reached: Reached | None, step: int, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """For each length, places of phrases that may be counted by now: where they begin, their names, and the step they begin at."""
-        names, places, begins = self.names, np.arange(len(self.names)), np.zeros(len(self.names), np.int64)
+        names, places, begins = self.names, np.arange(len(self.names)), np.zeros(len(self.names), np.uint8)
         for length in range(1, longest + 1):
             yield length, places, names, begins
-            if reached is None or length == longest or not len(places):
+            if reached is None or length == longest or len(self.names) <= length:
                 return
-            steps = np.full(len(self.names), NEVER, np.int64)
+            steps = np.full(len(self.names), NEVER, np.uint8)
             steps[places] = reached.steps(names)
             by_place = np.zeros(len(self.names), np.uint64)
             by_place[places] = names
-            whole = whole_windows(self.first, length + 1)
-            begin = np.maximum(steps[: len(whole)], steps[1 : len(whole) + 1]) + 1
-            places = np.flatnonzero(whole & (begin <= step))
-            begins = begin[places]
+            later = np.maximum(steps[:-1], steps[1:])[: len(self.names) - length]
+            places = np.flatnonzero((later < min(step, NEVER)) & (self.piece[:-length] == self.piece[length:]))
+            begins = later[places] + np.uint8(1)
             names = mix(by_place[places] * np.uint64(3) + by_place[places + 1] + np.uint64(length))
 
+    def spelt(self, at: int, length: int) -> bytes:
+        return b" ".join(self.bytes[self.start[at] : self.stop[at + length - 1]].split())
+
 
 def _summed(names: np.ndarray, begins: np.ndarray, lengths: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """One row for each name and begin."""
-    order = np.lexsort((begins, names))
-    names, begins = names[order], begins[order]
-    at = np.flatnonzero(first_of_groups(names, begins))
-    return names[at], begins[at], lengths[order][at], np.add.reduceat(counts[order], at) if len(at) else counts[:0]
+    """One row for each name; a phrase begins at the same step wherever it stands."""
+    order = np.argsort(names)
+    names = names[order]
+    at = np.flatnonzero(first_of_groups(names))
+    if not len(at):
+        return names, begins, lengths, counts
+    return names[at], begins[order][at], lengths[order][at], np.add.reduceat(counts[order], at)
 
 
 def _counter(shared: Shared | None, step: int, shards: int, longest: int, buckets: int):
     """Counts the active phrases of a shard."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, names = (shared.tool() if shared else None), Names()
+        known = shared.tool() if shared else None
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
@@ -115,11 +136,11 @@ def _counter(shared: Shared | None, step: int, shards: int, longest: int, bucket
 
         for whole in batches:
             for batch in chunks(whole, "text", CHUNK_BYTES):
-                chunk = Chunk(names, batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist())
+                chunk = Chunk(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist())
                 parts = []
                 for length, _, found, begins in chunk.phrases(known, step, longest):
-                    active = (begins <= step) & (step < begins + shards)
-                    found, begins = found[active], begins[active].astype(np.uint8)
+                    active = begins.astype(np.int64) > step - shards
+                    found, begins = found[active], begins[active]
                     parts.append((found, begins, np.full(len(found), length, np.uint8), np.ones(len(found), np.uint64)))
                 held.append(_summed(*(np.concatenate(x) for x in zip(*parts, strict=True))))
                 size += len(held[-1][0])
@@ -145,9 +166,9 @@ def _merger(step: int, shards: int, least: int, longest: int):
         new, old = (unpack(v, k) for v, k in zip(values, KINDS, strict=True))
         columns = [np.concatenate([a, b]) for a, b in zip(new, old, strict=False)]
         reach = np.concatenate([np.full(len(new[0]), NEVER, np.uint8), old[4]])
-        order = np.lexsort((columns[1], columns[0]))
+        order = np.argsort(columns[0])
         names, begins, lengths, counts = (c[order] for c in columns)
-        at = np.flatnonzero(first_of_groups(names, begins))
+        at = np.flatnonzero(first_of_groups(names))
         counts, reach = np.add.reduceat(counts, at), np.minimum.reduceat(reach[order], at)
         names, begins, lengths = names[at], begins[at], lengths[at]
         fresh = (counts >= least) & (reach == NEVER)
@@ -249,36 +270,43 @@ def _speller(shared: Shared, longest: int):
     """Counts the phrases of the table by their words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, names = shared.tool(), Names()
-        totals: dict[tuple[str, int, bytes], int] = {}
+        known = shared.tool()
+        words: dict[str, int] = {}
+        spelt: dict[int, tuple[str, int, bytes]] = {}
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def batch_of(langs, lengths, phrases, counts) -> pa.RecordBatch:
+            columns = [pa.array(langs, pa.string()), pa.array(lengths, pa.int32()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=["lang", "length", "phrase", "n"])
 
-        def sent() -> pa.RecordBatch:
-            langs, lengths, phrases = zip(*totals, strict=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(lengths, pa.int32()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(list(totals.values()), pa.int64())],
-                names=["lang", "length", "phrase", "n"],
-            )
+        def sent() -> Iterator[pa.RecordBatch]:
+            if held:
+                found, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+                found, at = np.unique(found, return_inverse=True)
+                sums = np.zeros(len(found), np.int64)
+                np.add.at(sums, at, counts)
+                yield batch_of(*zip(*(spelt[x] for x in found.tolist()), strict=True), sums)
+            held.clear()
+            spelt.clear()
 
         for whole in batches:
             for batch in chunks(whole, "text", CHUNK_BYTES):
-                chunk = Chunk(names, batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist())
-                words = [w for p in chunk.pieces for w in p]
-                owner = np.repeat(np.arange(len(chunk.langs)), chunk.n_words)
+                chunk = Chunk(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist())
                 for lang, n in zip(chunk.langs, chunk.n_words.tolist(), strict=True):
-                    totals[lang, 0, b""] = totals.get((lang, 0, b""), 0) + n
+                    words[lang] = words.get(lang, 0) + n
                 for length, places, found, _ in chunk.phrases(known, NEVER, longest):
                     inside = known.steps(found) != NEVER
-                    places, found = places[inside], found[inside]
-                    _, at, n = np.unique(found, return_index=True, return_counts=True)
-                    at = places[at]
-                    for i, doc, count in zip(at.tolist(), owner[at].tolist(), n.tolist(), strict=True):
-                        key = chunk.langs[doc], length, b" ".join(words[i : i + length])
-                        totals[key] = totals.get(key, 0) + count
-                if len(totals) > HELD_PHRASES:
-                    yield sent()
-                    totals.clear()
-        if totals:
-            yield sent()
+                    found, at, n = np.unique(found[inside], return_index=True, return_counts=True)
+                    at = places[inside][at]
+                    for name, i, text in zip(found.tolist(), at.tolist(), chunk.text[at].tolist(), strict=True):
+                        if name not in spelt:
+                            spelt[name] = chunk.langs[text], length, chunk.spelt(i, length)
+                    held.append((found, n))
+                if len(spelt) > HELD_PHRASES:
+                    yield from sent()
+        yield from sent()
+        if words:
+            yield batch_of(list(words), [0] * len(words), [b""] * len(words), list(words.values()))
         give_back()
 
     return run
@@ -315,7 +343,9 @@ def mine(
     text_bytes = stored.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cells, _ = reached_phrases(spark, path, text_bytes, shards, least, longest)
     shared = Shared(spark, cells, Reached)
-    spelt = stored.select("lang", "text").mapInArrow(_speller(shared, longest), "lang string, length int, phrase string, n bigint")
+    # Each task sends each of its phrases once, so tasks are large.
+    tasks = max(2 * spark.sparkContext.defaultParallelism, text_bytes // SPELT_BYTES + 1)
+    spelt = stored.select("lang", "text").coalesce(tasks).mapInArrow(_speller(shared, longest), "lang string, length int, phrase string, n bigint")
     counted = scratch_path(spark, "phrases")
     spelt.groupBy("lang", "length", "phrase").agg(F.sum("n").alias("f")).where((F.col("length") == 0) | (F.col("f") >= least)).write.parquet(counted)
     return ranked(spark.read.parquet(counted), top, inside)
