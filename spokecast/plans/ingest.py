@@ -1,8 +1,8 @@
 """Loads of landed files into the four raw tables (A1-A10).
 
 Each load parses what a period needs and merges it by key, so a rerun replaces the same
-rows.  Tables are Parquet folders partitioned by month, year or season; a load rewrites only
-the partitions it touches.
+rows.  Tables are stored by month, year or season; a load rewrites only the partitions it
+touches.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spokecast.sources import api_json, periods, trip_files
-from spokecast.sources.merge import upsert_partitions
+from spokecast.sources.merge import read_table, upsert_partitions
 
 # Key and partition of each raw table.
 TABLES = {
@@ -65,4 +65,4 @@ def load_games(spark: SparkSession, path: str, root: str, team_ids: tuple[int, .
 
 def raw_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The raw tables by name, ready for the refresh."""
-    return {name: spark.read.option("mergeSchema", "true").parquet(f"{root}/{name}") for name in TABLES}
+    return {name: read_table(spark, f"{root}/{name}", partition) for name, (_, partition) in TABLES.items()}

@@ -724,7 +724,7 @@ def upsert_table(spark, sf):
         merge.upsert_partitions(
             spark, path, items.filter(batch == number), ["l_orderkey", "l_linenumber"], "ship_year", newest
         )
-    return spark.read.parquet(path)
+    return merge.read_table(spark, path, "ship_year")
 
 
 @register_exact

@@ -139,7 +139,7 @@ ROWS = "k int, v string, at int, month string"
 
 
 def stored(spark, path):
-    return sorted((r.k, r.v, str(r.month)) for r in spark.read.parquet(path).collect())
+    return sorted((r.k, r.v, str(r.month)) for r in merge.read_table(spark, path, "month").collect())
 
 
 def test_merge_replaces_and_adds(spark):
@@ -156,7 +156,11 @@ def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
         merge.upsert_partitions(spark, path, spark.createDataFrame(rows, ROWS), ["k"], "month", [F.desc("at")])
 
     load((1, "x", 0, "202401"), (2, "x", 0, "202401"), (3, "x", 0, "202402"), (4, "x", 0, "202403"))
-    untouched = {p.name for p in (tmp_path / "t" / "month=202403").iterdir()}
+    def files(month):
+        table = merge.read_table(spark, path, "month")
+        return {r[0] for r in table.where(F.col("month") == month).select(F.input_file_name()).distinct().collect()}
+
+    untouched = files("202403")
     load((2, "y", 1, "202401"), (5, "y", 1, "202402"))
     load((2, "y", 1, "202401"), (5, "y", 1, "202402"))  # a rerun changes nothing
     assert stored(spark, path) == [
@@ -166,7 +170,7 @@ def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
         (4, "x", "202403"),
         (5, "y", "202402"),
     ]
-    assert {p.name for p in (tmp_path / "t" / "month=202403").iterdir()} == untouched
+    assert files("202403") == untouched != files("202402")
 
 
 def test_upsert_moves_a_key_between_partitions(spark, tmp_path):
@@ -185,7 +189,7 @@ def test_stream_load_is_repeatable(spark, tmp_path):
     def run():
         stream = incremental.landed_trips(spark, folder, ("Ride ID", "Started At", "Ended At"))
         incremental.merge_stream(stream, table, mark, ["ride_id"], "source_month", [F.desc("_dlt_load_timestamp")])
-        return {r.ride_id: r.ride_mins for r in spark.read.parquet(table).collect()}
+        return {r.ride_id: r.ride_mins for r in merge.read_table(spark, table, "source_month").collect()}
 
     assert run() == {"1": 10.0, "2": None}
     (tmp_path / "in" / "2.csv").write_text(header + "1,2024-01-01 10:00:00,2024-01-01 10:20:00\n3,2024-02-01 10:00:00,2024-02-01 10:05:00\n")
@@ -223,6 +227,62 @@ def test_upsert_keeps_the_null_partition(spark, tmp_path):
     assert stored(spark, path) == [(1, "y", "202402"), (2, "z", "None"), (3, "y", "202402")]
 
 
+def test_a_load_that_fails_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+
+    def load(*rows, columns=ROWS):
+        merge.upsert_partitions(spark, path, spark.createDataFrame(rows, columns), ["k"], "month", [F.desc("at")])
+
+    load((1, "x", 0, "202401"), (2, "x", 0, "202402"))
+    before = stored(spark, path)
+    ranges = merge._ranges
+
+    def broken(df, keys, partition):
+        if "load=" in "".join(df.inputFiles()):
+            raise OSError("killed after the data, before the log")
+        return ranges(df, keys, partition)
+
+    monkeypatch.setattr(merge, "_ranges", broken)
+    with pytest.raises(OSError):
+        load((1, "y", 1, "202402"))
+    assert stored(spark, path) == before
+    monkeypatch.undo()
+    load((1, "y", 1, "202402"))
+    assert stored(spark, path) == [(1, "y", "202402"), (2, "x", "202402")]
+    assert [merge.clear_superseded(spark, path, "month") for _ in range(2)] == [2, 0]  # the first load and the killed one
+    assert stored(spark, path) == [(1, "y", "202402"), (2, "x", "202402")]
+    load((3, "z", 2, "202403", 7), columns=ROWS + ", extra int")
+    assert {(r.k, r.extra) for r in merge.read_table(spark, path, "month").collect()} == {(1, None), (2, None), (3, 7)}
+
+
+def test_only_partitions_in_the_range_of_keys_are_searched(spark, tmp_path, monkeypatch):
+    path, searched = str(tmp_path / "t"), []
+    read = merge._stored
+
+    def spied(spark, path, partition, entries):
+        searched.append(sorted(str(e.part) for e in entries))
+        return read(spark, path, partition, entries)
+
+    def load(*rows):
+        searched.clear()
+        merge.upsert_partitions(spark, path, spark.createDataFrame(rows, ROWS), ["k"], "month", [F.desc("at")])
+
+    load(*[(i, "x", 0, f"m{i // 10}") for i in range(50)])
+    monkeypatch.setattr(merge, "_stored", spied)
+    load((12, "y", 1, "m9"), (15, "y", 1, "m9"))
+    assert searched == [["m1"], ["m1"]]  # of five, one may hold the keys, and does
+    load((100, "y", 1, "m8"))
+    assert searched == []
+    load((None, "y", 1, "m7"))
+    load((None, "z", 2, "m6"))
+    assert searched == [["m7"], ["m7"]]
+    table = merge.read_table(spark, path, "month")
+    assert table.count() == 52 and table.where("k is null").first().v == "z"
+    from test_plans import scanned_files
+
+    assert scanned_files(table.where("month = 'm2'").select("k")) == 1
+
+
 def test_newest_response_of_a_year(spark, tmp_path):
     for name, at, body in (("a", 1, [holiday(name="Old Fair")]), ("b", 2, [holiday(types=["Optional", "Public"])])):
         (tmp_path / f"{name}.json").write_text(json.dumps(body))
