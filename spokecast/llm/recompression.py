@@ -294,13 +294,14 @@ def repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_co
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = partitions_for(spark, size, BYTES_EACH)
     buckets = partitions * SPREAD
+    # All passes take all columns, so that they read one and the same shuffle.
     rows = slim.withColumn("row", F.monotonically_increasing_id()).repartition(partitions, "row")
 
-    sent = rows.select("id", "text", "row").mapInArrow(_by_chunk(lambda c: _send_stretches(c, width, buckets)), SCHEMA)
+    sent = rows.mapInArrow(_by_chunk(lambda c: _send_stretches(c, width, buckets)), SCHEMA)
     replies = dealt(sent, partitions).mapInArrow(_received(_judge_stretches), "row bigint, found binary")
     # By the same partitions as the texts, which then stay where they are.
     stretches = replies.repartition(partitions, "row").groupBy("row").agg(F.collect_list("found").alias("found"))
-    unsure = rows.join(stretches, "row").select("id", "text", "row", "found")
+    unsure = rows.join(stretches, "row")
     sent = unsure.mapInArrow(_by_chunk(lambda c, found: _send_windows(c, found, width, buckets), "found"), SCHEMA)
     replies = dealt(sent, partitions).mapInArrow(_received(_judge_windows), "row bigint, found binary")
     windows = replies.repartition(partitions, "row").groupBy("row").agg(F.collect_list("found").alias("more"))
