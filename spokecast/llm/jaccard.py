@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spokecast.llm.graph import components
-from spokecast.llm.packed import SCHEMA, SPREAD, dealt, first_of_groups, pack, partitions_for, unpack
+from spokecast.llm.packed import SCHEMA, buckets_for, dealt, first_of_groups, pack, partitions_for, unpack
 from spokecast.llm.text import CHUNK_BYTES, LOWER, Names, chunks, give_back, map_chunks, mix, owner, pick, texts, whole_windows, window_names
 from spokecast.session import cut_lineage, scratch_path
 
@@ -145,13 +145,13 @@ SENT = ["u8", "i8", "i4", "u1", "u1"]
 KNOWN = 1
 
 
-def _prefixes(signatures: DataFrame, partitions: int, sizes: Sizes) -> DataFrame:
+def _prefixes(signatures: DataFrame, partitions: int, n_keys: int, sizes: Sizes) -> DataFrame:
     """Per row with any the frequent combinations (``keys``) of its prefix.
 
     Within a chunk, a combination that several rows have is known to be frequent; one row asks for it by
     name, to tell the other chunks, and the rest go by row.
     """
-    buckets, named = np.uint64(partitions * SPREAD), _named(sizes)
+    buckets, named = np.uint64(buckets_for(n_keys, partitions, KEYS_EACH)), _named(sizes)
 
     def send(batches: Iterator[pa.RecordBatch]):
         held: list[tuple[np.ndarray, int, int, int]] = []
@@ -218,14 +218,14 @@ def _prefixes(signatures: DataFrame, partitions: int, sizes: Sizes) -> DataFrame
     return dealt(replies, partitions).mapInArrow(choose, "row bigint, keys binary")
 
 
-def _near(prefixes: DataFrame, partitions: int) -> DataFrame:
+def _near(prefixes: DataFrame, partitions: int, n_keys: int) -> DataFrame:
     """Distinct pairs (a, b) of rows with an equal combination, as stars: every row with the least of its combination.
 
     Within a chunk each combination is sent on once, so one that a third of all rows share reaches
     its task with a row for each chunk.  Near copies meet under many combinations, in as many tasks; a second
     shuffle, of packed pairs by their greater row, leaves each pair once.
     """
-    buckets = np.uint64(partitions * SPREAD)
+    buckets = np.uint64(buckets_for(n_keys, partitions, KEYS_EACH))
 
     def star(keys, rows):
         order = np.lexsort((rows, keys))
@@ -390,7 +390,9 @@ def _components(rows: DataFrame, width: int, percent: int) -> DataFrame:
     meta = signatures.select("row", "id", "n_shingles", "print1", "print2")
     n_bytes = signatures.agg(F.sum(sum((F.octet_length(c) for c in _named(sizes)[1::2]), F.lit(0)))).first()[0] or 0
     partitions = partitions_for(spark, n_bytes // 8, KEYS_EACH)
-    near = components(_near(_prefixes(signatures, partitions, sizes), partitions))
+    prefixes = cut_lineage(_prefixes(signatures, partitions, n_bytes // 8, sizes))
+    n_prefix = (prefixes.agg(F.sum(F.octet_length("keys"))).first()[0] or 0) // 8
+    near = components(_near(prefixes, partitions, n_prefix))
 
     # Of equal sets one is compared.
     same = ["print1", "print2", "n_shingles"]

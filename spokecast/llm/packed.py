@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 
 #: Buckets for each partition, so that hashing buckets to partitions evens out.
 SPREAD = 4
+#: Rows that a packed value should hold on average.
+VALUE_ROWS = 1000
 SCHEMA = "bucket int, kind int, data binary"
 
 
@@ -60,6 +62,14 @@ def partitions_for(spark, amount: int, each: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-amount // each))
 
 
+def buckets_for(amount: int, partitions: int, each: int) -> int:
+    """Buckets of a leg of ``amount`` rows between as many partitions: ``SPREAD`` for each where values then hold
+    ``VALUE_ROWS``, fewer where there are few rows, and enough that a bucket holds a quarter of ``each`` at most.
+    """
+    held = amount // (VALUE_ROWS * partitions)
+    return max(1, min(partitions * SPREAD, held), -(-SPREAD * amount // each))
+
+
 def first_of_groups(*keys: np.ndarray) -> np.ndarray:
     """In columns sorted together: does a row differ from the one before it."""
     n = len(keys[0])
