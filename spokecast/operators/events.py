@@ -1,8 +1,9 @@
 """Demand around scheduled games.
 
-Only two steps touch trips: an equi-join on the day and a count per (start time, station,
-half hour) combined before the shuffle.  Games and the stations near their venue are joined
-to these counts, so a busy station or day never gathers in one task.
+Trips are read once.  Each end of a trip at a station near a venue is counted by day, station and quarter
+hour, together with the quarter hour of the trip's other end (``leg_counts``), combined before the shuffle.  Game
+starts are whole hours, so windows begin and half hours change at quarter hours only, and every game, clock time
+and baseline day is read from these counts; no trip meets a game or a start hour.
 """
 
 from __future__ import annotations
@@ -14,14 +15,17 @@ from spokecast.functions import calendar as cal
 from spokecast.functions import measures as m
 from spokecast.operators.staging import home_games
 
-# Hours watched before the start and after the estimated end, interval
-# length, least number of games behind a recommendation, longest ride in days (rounded up).
+# Hours watched before the start and after the estimated end, hours of a game,
+# least number of games behind a recommendation, longest ride in days (rounded up).
 HOURS_BEFORE = 3
 HOURS_AFTER = 3
-INTERVAL_SECONDS = 1800
+GAME_HOURS = 3
 MIN_GAMES = 2
 MAX_RIDE_DAYS = 1
 
+# Windows and half hours around whole hours change at these.
+QUARTER_SECONDS = 900
+
 GAME_KEYS = ("game_id", "game_date", "game_datetime", "stadium_name", "home_team_name", "away_team_name")
 COUNTS = ("trips_started", "trips_ended")
 
@@ -43,58 +47,79 @@ def _windows(games: DataFrame) -> DataFrame:
     )
 
 
-def _in_window(start: Column, end: Column) -> Column:
-    """A trip counts when its start or its end lies in the window."""
-    return F.col("started_at").between(start, end) | F.col("ended_at").between(start, end)
+def _quarter(at: Column, day: Column) -> Column:
+    """Quarter hours from the day's midnight to ``at``, rounded down."""
+    return F.floor(cal.seconds_between(day.cast("timestamp_ntz"), at) / QUARTER_SECONDS)
+
 
+def _on_quarter(at: Column) -> Column:
+    return (F.pmod(cal.whole_seconds(at), F.lit(QUARTER_SECONDS)) == 0) & (F.extract(F.lit("SECOND"), at) == F.second(at))
 
-def _station_counts(hits: DataFrame, *keys: str) -> DataFrame:
-    """Starts and ends per key, station and signed half hour around the ``anchor`` column.
 
-    A trip gives one leg per distinct station: its start station at the start time (also
-    counted as an end when it returned there), its end station at the end time.  That
-    replaces the OR over both stations by two equality legs.
+def leg_counts(trips: DataFrame, near: DataFrame | None = None) -> DataFrame:
+    """Starts and ends by day of the trip, station, quarter hour, and quarter hour of the trip's other end.
+
+    A trip gives one leg per distinct station: its start station at the start time (also counted as an end when it
+    returned there), its end station at the end time.  That replaces the OR over both stations by two equality
+    legs.  ``exact`` tells moments on a quarter hour from those inside it, as windows include both their ends and
+    an interval takes its later edge before the anchor.  With ``near`` only legs at its stations are kept,
+    before they are grouped.  However many trips there are, rows are bounded by days, stations and quarter hours.
     """
     start, end = F.col("start_station_id"), F.col("end_station_id")
     round_trip = start.eqNullSafe(end)
+
+    def leg(station: Column, at: str, other: str, started: int, ended: Column) -> Column:
+        day = F.col("ride_date")
+        return F.struct(
+            station.alias("station_id"),
+            _quarter(F.col(at), day).alias("quarter"),
+            _on_quarter(F.col(at)).alias("exact"),
+            _quarter(F.col(other), day).alias("other_quarter"),
+            _on_quarter(F.col(other)).alias("other_exact"),
+            F.lit(started).alias("started"),
+            ended.alias("ended"),
+        )
+
     legs = F.array(
-        F.struct(
-            start.alias("station_id"),
-            F.col("started_at").alias("at"),
-            F.lit(1).alias("started"),
-            F.when(round_trip, 1).otherwise(0).alias("ended"),
-        ),
-        F.struct(
-            F.when(~round_trip, end).alias("station_id"),
-            F.col("ended_at").alias("at"),
-            F.lit(0).alias("started"),
-            F.lit(1).alias("ended"),
-        ),
+        leg(start, "started_at", "ended_at", 1, F.when(round_trip, 1).otherwise(0)),
+        leg(F.when(~round_trip, end), "ended_at", "started_at", 0, F.lit(1)),
     )
-    offset = cal.interval_offset(F.col("leg.at"), F.col("anchor"), INTERVAL_SECONDS)
-    return (
-        hits.select(*dict.fromkeys([*keys, "anchor"]), F.explode(legs).alias("leg"))
-        .filter("leg.station_id is not null")
-        .groupBy(*keys, F.col("leg.station_id").alias("station_id"), offset.alias("interval_offset"))
-        .agg(F.sum("leg.started").alias("trips_started"), F.sum("leg.ended").alias("trips_ended"))
+    rows = trips.select("ride_date", F.explode(legs).alias("leg")).select("ride_date", "leg.*").filter("station_id is not null")
+    if near is not None:
+        rows = rows.join(near.select("station_id").distinct(), "station_id", "left_semi")
+    return rows.groupBy("ride_date", "station_id", "quarter", "exact", "other_quarter", "other_exact").agg(
+        F.sum("started").alias("trips_started"), F.sum("ended").alias("trips_ended")
     )
 
 
-def _trip_legs(trips: DataFrame) -> DataFrame:
-    return trips.select("ride_date", "started_at", "ended_at", "start_station_id", "end_station_id")
+def _inside(quarter: str, exact: str) -> Column:
+    """Does a moment lie from 3 h before the anchor to 6 h after it, both included."""
+    begin, end = F.col("anchor") - 4 * HOURS_BEFORE, F.col("anchor") + 4 * (GAME_HOURS + HOURS_AFTER)
+    return (F.col(quarter) >= begin) & ((F.col(quarter) < end) | ((F.col(quarter) == end) & F.col(exact)))
 
 
-def game_day_counts(trips: DataFrame, games: DataFrame) -> DataFrame:
-    """Counts of the game day itself for every station.
+def _half_hours(legs: DataFrame, *keys: str) -> DataFrame:
+    """Starts and ends per key, station and signed half hour around ``anchor``, a quarter hour of the legs' day.
 
-    Trips are counted once per start time; games starting together share the counts.
+    A trip counts when its start or its end lies in the window (C7).  Its legs go to the nearest half hour, halves
+    away from the anchor.
     """
+    past = F.col("quarter") - F.col("anchor")
+    before = F.when(past % 2 == 0, past).when(F.col("exact"), past - 1).otherwise(past + 1)
+    offset = F.floor(F.when(past >= 0, past + 1).otherwise(before) / 2)
+    counted = legs.filter(_inside("quarter", "exact") | _inside("other_quarter", "other_exact"))
+    return counted.groupBy(*keys, "station_id", offset.alias("interval_offset")).agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+
+def _anchor(day: str) -> Column:
+    return _quarter(F.col("game_datetime"), F.col(day)).alias("anchor")
+
+
+def game_day_counts(legs: DataFrame, games: DataFrame) -> DataFrame:
+    """Counts of the game day itself; games starting together share them."""
     windows = _windows(games)
-    slots = windows.select(
-        F.col("game_date").alias("ride_date"), F.col("game_datetime").alias("anchor"), "window_start", "window_end"
-    ).distinct()
-    hits = _trip_legs(trips).join(slots, "ride_date").filter(_in_window(F.col("window_start"), F.col("window_end")))
-    counts = _station_counts(hits, "anchor").withColumnRenamed("anchor", "game_datetime")
+    slots = windows.select(F.col("game_date").alias("ride_date"), "game_datetime", _anchor("game_date")).distinct()
+    counts = _half_hours(legs.join(slots, "ride_date"), "game_datetime")
     return windows.select(*GAME_KEYS).join(counts, "game_datetime")
 
 
@@ -108,7 +133,7 @@ def _free_days(games: DataFrame, holidays: DataFrame) -> DataFrame:
     )
 
 
-def same_window_baseline(trips: DataFrame, games: DataFrame, holidays: DataFrame) -> DataFrame:
+def same_window_baseline(legs: DataFrame, games: DataFrame, holidays: DataFrame) -> DataFrame:
     """The mart's own baseline: other dates of the same weekday inside the game's window.
 
     A window lasts nine hours and a ride at most twelve, so a matching trip starts within a
@@ -123,39 +148,32 @@ def same_window_baseline(trips: DataFrame, games: DataFrame, holidays: DataFrame
         .filter("ride_date <> game_date")
         .filter(F.dayofweek("ride_date") == F.dayofweek("game_date"))
         .join(_free_days(games, holidays), "ride_date", "left_anti")
+        .select("game_id", "ride_date", _anchor("ride_date"))
     )
-    hits = _trip_legs(trips).join(days, "ride_date").filter(_in_window(F.col("window_start"), F.col("window_end")))
-    daily = _station_counts(hits.withColumnRenamed("game_datetime", "anchor"), "game_id", "ride_date")
+    daily = _half_hours(legs.join(days, "ride_date"), "game_id", "ride_date")
     # One row per day, so the rows are the observed days.
     return daily.groupBy("game_id", "station_id", "interval_offset").agg(
         *[(F.sum(c) / F.count(F.lit(1))).alias(f"avg_{c}") for c in COUNTS]
     )
 
 
-def _with_same_window(trips: DataFrame, games: DataFrame, holidays: DataFrame) -> DataFrame:
-    usual = same_window_baseline(trips, games, holidays)
-    return game_day_counts(trips, games).join(usual, ["game_id", "station_id", "interval_offset"], "left")
+def _with_same_window(legs: DataFrame, games: DataFrame, holidays: DataFrame) -> DataFrame:
+    usual = same_window_baseline(legs, games, holidays)
+    return game_day_counts(legs, games).join(usual, ["game_id", "station_id", "interval_offset"], "left")
 
 
-def _with_time_of_day(trips: DataFrame, games: DataFrame, holidays: DataFrame) -> DataFrame:
+def _with_time_of_day(legs: DataFrame, games: DataFrame, holidays: DataFrame) -> DataFrame:
     """Game-day counts beside the mean at the same time of day on other dates of the weekday.
 
-    Game starts are whole hours, so trips are counted once per (day, start hour, station,
-    half hour), with at most 24 start hours.  The mean is a window over those counts, whose
-    partitions hold one row per date; game days then pick their rows.  Trips are read once.
+    Game starts are whole hours, so the counts are read once per (day, start hour), with at most 24 start
+    hours.  The mean is a window over what they give, whose partitions hold one row per date; game days then pick
+    their rows.
     """
     windows = _windows(games).withColumn("hour", F.hour("game_datetime"))
     # At most 7 x 24 rows by construction, hence safe to broadcast whatever the data.
-    slots = F.broadcast(windows.select(F.dayofweek("game_date").alias("dow"), "hour").distinct())
-    anchor = F.col("ride_date").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("hour"))
-    candidates = (
-        _trip_legs(trips)
-        .withColumn("dow", F.dayofweek("ride_date"))
-        .join(slots, "dow")
-        .withColumn("anchor", anchor)
-        .filter(_in_window(F.col("anchor") - cal.hours(HOURS_BEFORE), F.col("anchor") + cal.hours(3 + HOURS_AFTER)))
-    )
-    per_day = _station_counts(candidates, "ride_date", "hour")
+    slots = windows.select(F.dayofweek("game_date").alias("dow"), "hour", (F.col("hour") * 4).cast("bigint").alias("anchor"))
+    candidates = legs.withColumn("dow", F.dayofweek("ride_date")).join(F.broadcast(slots.distinct()), "dow")
+    per_day = _half_hours(candidates, "ride_date", "hour")
     taken = _free_days(games, holidays).withColumn("taken", F.lit(True))
     same = Window.partitionBy(F.dayofweek("ride_date"), "hour", "station_id", "interval_offset")
     usable = F.col("taken").isNull()
@@ -182,9 +200,17 @@ def game_day_demand(
 
     ``baseline`` is ``same_window`` (the mart's definition, always empty) or ``time_of_day``.
     """
+    near = proximity.filter("within_1km").select("stadium_name", "station_id", "station_name")
+    return demand_from_legs(leg_counts(trips, near), games, proximity, holidays, baseline)
+
+
+def demand_from_legs(
+    legs: DataFrame, games: DataFrame, proximity: DataFrame, holidays: DataFrame, baseline: str = "same_window"
+) -> DataFrame:
+    """The same from counts of legs at the near stations at least, as ``leg_counts`` gives them."""
     build = {"same_window": _with_same_window, "time_of_day": _with_time_of_day}[baseline]
     near = proximity.filter("within_1km").select("stadium_name", "station_id", "station_name")
-    joined = build(trips, games, holidays).join(near, ["stadium_name", "station_id"])
+    joined = build(legs, games, holidays).join(near, ["stadium_name", "station_id"])
     started, ended = F.col("trips_started"), F.col("trips_ended")
     avg = {c: F.coalesce(F.col(f"avg_{c}"), F.lit(0.0)) for c in COUNTS}
 

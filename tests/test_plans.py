@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import LLM_QUERIES, queries
-from spokecast.operators import holidays, quality, stations
+from spokecast.operators import events, holidays, quality, stations
 from spokecast.plans import build, registered
 from spokecast.plans.presentation import ORDER, shown
 from spokecast.sources import driver_tables, periods, trip_files
@@ -194,6 +194,24 @@ def test_full_refresh_and_quality_run(spark, sf_dir, tmp_path):
     assert quality.run_kpis(records).first().total_tests == 5
 
 
+@pytest.mark.parametrize("baseline", ["same_window", "time_of_day"])
+def test_games_take_one_scan_of_trips(spark, sf_dir, tmp_path, baseline):
+    trips, near = str(tmp_path / "trips"), str(tmp_path / "near")
+    registered.trips_of(spark, sf_dir).write.parquet(trips)
+    registered.near_of(registered.stations_of(spark, sf_dir)).write.parquet(near)
+    demand = events.game_day_demand(
+        spark.read.parquet(trips), registered.games_of(spark, sf_dir), spark.read.parquet(near), registered.holidays_of(spark), baseline
+    )
+    rows = demand.collect()
+    assert rows == [] or len(rows) > 50
+    text = plan(demand).split("== Initial Plan ==")[0]
+    assert sum("FileScan" in line and "started_at" in line for line in text.splitlines()) == 1
+    lines = text.splitlines()
+    semi = next(i for i, line in enumerate(lines) if "LeftSemi" in line)
+    counted = max(i for i, line in enumerate(lines) if "HashAggregate(keys=[ride_date" in line and "partial_sum" in line)
+    assert counted < semi  # stations far from every venue go before anything is counted
+
+
 def test_one_cube_serves_all_holiday_marts(spark, sf_dir):
     trips = registered.trips_of(spark, sf_dir)
     feasts = registered.holidays_of(spark)
