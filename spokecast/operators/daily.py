@@ -34,6 +34,12 @@ def trips_daily(trips: DataFrame) -> DataFrame:
             F.max("e.mins").alias("longest"),
         )
     )
+    return per_day(per_station)
+
+
+def per_day(per_station: DataFrame) -> DataFrame:
+    """Days and rider types from rows (day, rider, side, station)."""
+    keys = ["ride_date", "member_casual"]
     starts, ends = F.col("side") == 0, F.col("side") == 1
     count = F.sum(F.when(starts, F.col("n")))
     return per_station.groupBy(*keys).agg(

@@ -56,14 +56,14 @@ def _on_quarter(at: Column) -> Column:
     return (F.pmod(cal.whole_seconds(at), F.lit(QUARTER_SECONDS)) == 0) & (F.extract(F.lit("SECOND"), at) == F.second(at))
 
 
-def leg_counts(trips: DataFrame, near: DataFrame | None = None) -> DataFrame:
+def leg_counts(trips: DataFrame, near: DataFrame | None = None, parts: tuple[str, ...] = ()) -> DataFrame:
     """Starts and ends by day of the trip, station, quarter hour, and quarter hour of the trip's other end.
 
     A trip gives one leg per distinct station: its start station at the start time (also counted as an end when it
     returned there), its end station at the end time.  That replaces the OR over both stations by two equality
     legs.  ``exact`` tells moments on a quarter hour from those inside it, as windows include both their ends and
     an interval takes its later edge before the anchor.  With ``near`` only legs at its stations are kept,
-    before they are grouped.  However many trips there are, rows are bounded by days, stations and quarter hours.
+    before they are grouped; ``parts`` names columns of the trips to count apart.  However many trips there are, rows are bounded by days, stations and quarter hours.
     """
     start, end = F.col("start_station_id"), F.col("end_station_id")
     round_trip = start.eqNullSafe(end)
@@ -84,10 +84,11 @@ def leg_counts(trips: DataFrame, near: DataFrame | None = None) -> DataFrame:
         leg(start, "started_at", "ended_at", 1, F.when(round_trip, 1).otherwise(0)),
         leg(F.when(~round_trip, end), "ended_at", "started_at", 0, F.lit(1)),
     )
-    rows = trips.select("ride_date", F.explode(legs).alias("leg")).select("ride_date", "leg.*").filter("station_id is not null")
+    rows = trips.select(*parts, "ride_date", F.explode(legs).alias("leg")).select(*parts, "ride_date", "leg.*")
+    rows = rows.filter("station_id is not null")
     if near is not None:
         rows = rows.join(near.select("station_id").distinct(), "station_id", "left_semi")
-    return rows.groupBy("ride_date", "station_id", "quarter", "exact", "other_quarter", "other_exact").agg(
+    return rows.groupBy(*parts, "ride_date", "station_id", "quarter", "exact", "other_quarter", "other_exact").agg(
         F.sum("started").alias("trips_started"), F.sum("ended").alias("trips_ended")
     )
 

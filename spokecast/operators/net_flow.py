@@ -36,9 +36,13 @@ def station_flow(trips: DataFrame) -> DataFrame:
 
 def baseline_net_flow(trips: DataFrame, clusters: DataFrame) -> DataFrame:
     """Totals per cluster, weekday and hour; trips meet clusters after station totals."""
+    return by_cluster(station_flow(trips), clusters)
+
+
+def by_cluster(flow: DataFrame, clusters: DataFrame) -> DataFrame:
+    """The baseline from flows per station, weekday and hour."""
     return (
-        station_flow(trips)
-        .join(clusters.select("station_id", "cluster_id"), "station_id")
+        flow.join(clusters.select("station_id", "cluster_id"), "station_id")
         .groupBy("cluster_id", "day_of_week", "hour")
         .agg(F.sum("trips_started").alias("trips_started"), F.sum("trips_ended").alias("trips_ended"))
         .withColumn("net_flow", F.col("trips_ended") - F.col("trips_started"))

@@ -47,6 +47,11 @@ def dim_stations(trips: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("uses"),
         )
     )
+    return dimension(names)
+
+
+def dimension(names: DataFrame) -> DataFrame:
+    """Stations from their names: how often each is used, and the picked coordinates."""
     by_use = F.when(F.col("station_name").isNotNull(), F.struct(-F.col("uses"), F.col("station_name")))
     return (
         names.groupBy("station_id")
@@ -103,7 +108,12 @@ def station_stats(stations: DataFrame, trips: DataFrame, ride_ids_unique: bool =
         *[F.count(F.when(F.col("flags").bitwiseAND(bit) != 0, 1)).alias(f) for f, bit in flags.items()],
         (F.sum("mins") / F.nullif(F.sum("timed"), F.lit(0))).alias("avg_start_duration"),
     )
-    count = {f: F.coalesce(F.col(f), F.lit(0)) for f in flags}
+    return stats_of(stations, per_station)
+
+
+def stats_of(stations: DataFrame, per_station: DataFrame) -> DataFrame:
+    """The statistics' columns from counts per station; stations without any count 0."""
+    count = {f: F.coalesce(F.col(f), F.lit(0)) for f in ("starts", "ends", "member", "casual")}
     return stations.select("station_id", "station_name").join(per_station, "station_id", "left").select(
         "station_id",
         "station_name",
