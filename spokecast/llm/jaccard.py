@@ -390,9 +390,7 @@ def _components(rows: DataFrame, width: int, percent: int) -> DataFrame:
     meta = signatures.select("row", "id", "n_shingles", "print1", "print2")
     n_bytes = signatures.agg(F.sum(sum((F.octet_length(c) for c in _named(sizes)[1::2]), F.lit(0)))).first()[0] or 0
     partitions = partitions_for(spark, n_bytes // 8, KEYS_EACH)
-    prefixes = cut_lineage(_prefixes(signatures, partitions, n_bytes // 8, sizes))
-    n_prefix = (prefixes.agg(F.sum(F.octet_length("keys"))).first()[0] or 0) // 8
-    near = components(_near(prefixes, partitions, n_prefix))
+    near = components(_near(_prefixes(signatures, partitions, n_bytes // 8, sizes), partitions, n_bytes // 8))
 
     # Of equal sets one is compared.
     same = ["print1", "print2", "n_shingles"]
