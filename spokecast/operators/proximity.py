@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spokecast.functions import geo
@@ -20,6 +20,8 @@ STADIUMS = (
 )
 WALKING_KM = 1.0
 KM_PER_DEGREE = math.pi * geo.EARTH_RADIUS_KM / 180
+#: By so much cells are larger than they must be.
+MARGIN = 1.001
 
 
 def dim_stadiums(spark: SparkSession, stadiums: tuple[tuple, ...] = STADIUMS) -> DataFrame:
@@ -60,27 +62,52 @@ def station_proximity(
     )
 
 
-def nearby_pairs(venues: DataFrame, stations: DataFrame, radius_km: float) -> DataFrame:
-    """Venue-station pairs within a radius, for a venue table of any size.
+def _width(row: Column, radius_km: float, height: float) -> Column:
+    """Degrees of longitude that a circle around a point of this latitude row or one beside it reaches to, at most."""
+    highest = F.least(F.greatest(F.abs((row - 1) * height), F.abs((row + 2) * height)), F.lit(90.0))
+    share = F.lit(math.sin(radius_km / geo.EARTH_RADIUS_KM / 2)) / F.cos(F.radians(highest))
+    return F.when(share < 1, F.degrees(2 * F.asin(F.least(share, F.lit(1.0)))) * MARGIN).otherwise(360.0)
+
+
+def _columns(row: Column, radius_km: float, height: float) -> Column:
+    """How many cells of that width or more go around the earth."""
+    return F.greatest(F.floor(360 / F.least(_width(row, radius_km, height), F.lit(360.0))), F.lit(1)).cast("bigint")
+
+
+def near_cells(venues: DataFrame, stations: DataFrame, radius_km: float) -> DataFrame:
+    """Venue-station pairs in the same or neighbouring cells, each pair once, with those within the radius among them.
 
-    Both sides are cut into latitude bands one radius high; a venue looks into three bands,
-    so the join is an equi-join and each pair is met once.
+    Cells are as high as the radius and, at their latitude, as wide; a venue looks into its own and the eight
+    around it, so the join is an equi-join and a pair costs no more than the stations of nine cells, wherever
+    they lie, at the poles and across the date line too.
     """
-    band_height = radius_km / KM_PER_DEGREE * 1.001
-
-    def band(lat):
-        return F.floor(lat / band_height).cast("bigint")
-
-    v = venues.select(
-        "stadium_id",
-        "stadium_name",
-        F.col("latitude").alias("stadium_lat"),
-        F.col("longitude").alias("stadium_lon"),
-    ).withColumn("band", F.explode(F.sequence(band(F.col("stadium_lat")) - 1, band(F.col("stadium_lat")) + 1)))
-    s = stations.filter("latitude is not null and longitude is not null").withColumn("band", band(F.col("latitude")))
+    height = radius_km / KM_PER_DEGREE * MARGIN
+
+    def cell(row: Column, lon: Column, aside: Column) -> Column:
+        around = _columns(row, radius_km, height)
+        return F.pmod(F.floor((lon + 180) * around / 360).cast("bigint") + aside, around)
+
+    row = F.floor(F.col("stadium_lat") / height).cast("bigint")
+    beside = F.array(*[F.lit(i).cast("bigint") for i in (-1, 0, 1)])
+    v = (
+        venues.select("stadium_id", "stadium_name", F.col("latitude").alias("stadium_lat"), F.col("longitude").alias("stadium_lon"))
+        .filter("stadium_lat is not null and stadium_lon is not null")
+        .withColumn("row", F.explode(F.transform(beside, lambda i: row + i)))
+    )
+    columns = F.array_distinct(F.transform(beside, lambda i: cell(F.col("row"), F.col("stadium_lon"), i)))
+    v = v.withColumn("cell", F.explode(columns))
+    s = stations.filter("latitude is not null and longitude is not null").withColumn(
+        "row", F.floor(F.col("latitude") / height).cast("bigint")
+    )
+    s = s.withColumn("cell", cell(F.col("row"), F.col("longitude"), F.lit(0)))
+    return v.join(s, ["row", "cell"])
+
+
+def nearby_pairs(venues: DataFrame, stations: DataFrame, radius_km: float) -> DataFrame:
+    """Venue-station pairs within a radius, for a venue table of any size."""
     distance = geo.haversine_km(F.col("stadium_lat"), F.col("stadium_lon"), F.col("latitude"), F.col("longitude"))
     return (
-        v.join(s, "band")
+        near_cells(venues, stations, radius_km)
         .withColumn("distance_km", distance)
         .filter(F.col("distance_km") <= radius_km)
         .select("stadium_id", "stadium_name", "station_id", "station_name", "distance_km")

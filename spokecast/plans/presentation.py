@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spokecast.operators.ranking import ranked
+
 # Sort expressions per table; a leading minus means descending.
 ORDER = {
     "fct_trips_daily": ("ride_date", "member_casual"),
@@ -24,11 +26,18 @@ ORDER = {
 }
 
 
+def order_of(name: str) -> list[Column]:
+    """The table's sort columns, nulls last either way."""
+    return [
+        F.expr(e[1:]).desc_nulls_last() if e.startswith("-") else F.expr(e).asc_nulls_last() for e in ORDER.get(name, ())
+    ]
+
+
 def shown(name: str, table: DataFrame) -> DataFrame:
     """The table in its order, nulls last either way."""
-    return table.orderBy(
-        *[
-            F.expr(e[1:]).desc_nulls_last() if e.startswith("-") else F.expr(e).asc_nulls_last()
-            for e in ORDER.get(name, ())
-        ]
-    )
+    return table.orderBy(*order_of(name))
+
+
+def placed(name: str, table: DataFrame, *ties: str) -> DataFrame:
+    """The table with each row's ``rank`` in its order; ``ties`` names columns that settle equal ones."""
+    return ranked(table, [*order_of(name), *[F.col(c).asc_nulls_last() for c in ties]])

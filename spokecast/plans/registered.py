@@ -20,11 +20,13 @@ from spokecast.operators import (
     net_flow,
     proximity,
     quality,
+    ranking,
     staging,
     stations,
     statistics,
     suites,
 )
+from spokecast.plans import presentation
 from spokecast.session import scratch_path
 from spokecast.sources import api_json, merge, periods, trip_files
 from spokecast.sources import driver_tables as raw
@@ -662,6 +664,56 @@ def dq_monitor(spark, sf):
     return quality.run_kpis(quality.latest_run(quality.stored_results(spark, path)))
 
 
+@register
+def dq_failed_tests(spark, sf):
+    """The failed tests of the newest stored run with their messages."""
+    path = scratch_path(spark, "quality-results")
+    tables = raw_tables(spark, sf)
+    records = quality.source_records(quality.run_suites(tables, suites.RAW_SUITES))
+    tests = quality.model_record(quality.run_suites(tables, suites.SOURCE_KEYS))
+    quality.append_results(quality.stamp_run(records, "first", "2024-01-30 06:00:00"), path)
+    quality.append_results(quality.stamp_run(records.unionByName(tests), "second", "2024-01-31 06:00:00"), path)
+    return quality.failed_tests(quality.latest_run(quality.stored_results(spark, path)))
+
+
+# Order -----------------------------------------------------------------------------------
+
+
+@register
+def order_holiday_areas(spark, sf):
+    """areas of each holiday by change, with their places."""
+    mart = QUERIES["holiday_impact_by_area"](spark, sf)
+    return presentation.placed("mart_holiday_impact_by_area", mart, "area_name").select("rank", "holiday_date", "area_name", "trips_pct_change")
+
+
+@register
+def order_rebalancing(spark, sf):
+    """moves of each venue, largest mean flow first, with their places."""
+    plan = QUERIES["event_rebalancing"](spark, sf)
+    return presentation.placed("mart_game_rebalancing", plan).select("rank", "stadium_name", "station_id", "interval_offset", "avg_net_flow")
+
+
+@register
+def order_clusters(spark, sf):
+    """stations of each cluster by distance from its centroid, with their places."""
+    made = QUERIES["station_clusters"](spark, sf)
+    return presentation.placed("dim_station_clusters", made, "station_id").select("rank", "cluster_id", "station_id", "distance_from_centroid_km")
+
+
+@register
+def order_nearby(spark, sf):
+    """stations of each venue by distance, with their places."""
+    near = QUERIES["station_proximity"](spark, sf)
+    return presentation.placed("fct_station_proximity", near, "station_id").select("rank", "stadium_id", "station_id", "distance_km")
+
+
+@register
+def order_line_items(spark, sf):
+    """line items by price, dearest first, with their places."""
+    items = raw.load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return ranking.ranked(items, [F.desc_nulls_last("l_extendedprice"), F.col("l_orderkey"), F.col("l_linenumber")])
+
+
 # Sources ---------------------------------------------------------------------------------
 
 

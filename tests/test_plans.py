@@ -15,7 +15,7 @@ from spokecast.sources import driver_tables, periods, trip_files
 from spokecast.sources.tables import Warehouse
 
 QUERIES = {k: v for k, v in queries().items() if k not in LLM_QUERIES}
-CLUSTERED = {"station_clusters", "station_clusters_check", "customer_clusters", "holiday_station_clusters", "holiday_cluster_rollup"}
+CLUSTERED = {"station_clusters", "station_clusters_check", "customer_clusters", "holiday_station_clusters", "holiday_cluster_rollup", "order_clusters"}
 STORED = {"dq_monitor", "csv_ingest", "warehouse_roundtrip"} | CLUSTERED
 
 
