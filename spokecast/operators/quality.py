@@ -93,17 +93,31 @@ def _share_ok(evaluated: Column, unexpected: Column, mostly: float) -> Column:
     return F.coalesce(good >= mostly, F.lit(True))
 
 
-def _duplicates(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows whose key is not unique, one row (evaluated, unexpected).
+def _key_counts(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
+    """One row with, for each key check, the rows evaluated and those whose key is not unique.
 
-    A single key ignores nulls (L2); a combination compares them like values (L9).
+    The key sets of all checks are grouped in one scan and one shuffle (grouping sets).  A single key ignores
+    nulls (L2); a combination compares them like values (L9).
     """
-    rows = df.filter(F.col(keys[0]).isNotNull()) if len(keys) == 1 else df
-    groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("evaluated"),
-        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("unexpected"),
-    )
+    columns = list(dict.fromkeys(c for _, check in checks for c in check.needs))
+    sets = list(dict.fromkeys(tuple(sorted(check.needs, key=columns.index)) for _, check in checks))
+    if len(sets) == 1:
+        grouped = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).withColumn("set", F.lit(0))
+    else:
+        # A bit for each column that a set leaves out, the first column's highest.
+        numbers = {k: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in k) for k in sets}
+        grouped = df.groupingSets([[F.col(c) for c in k] for k in sets], *[F.col(c) for c in columns]).agg(
+            F.count(F.lit(1)).alias("n"), F.grouping_id().alias("set")
+        )
+    measures = []
+    for number, check in checks:
+        key = tuple(sorted(check.needs, key=columns.index))
+        own = F.col("set") == (0 if len(sets) == 1 else numbers[key])
+        if len(key) == 1:
+            own = own & F.col(key[0]).isNotNull()
+        measures.append(F.coalesce(F.sum(F.when(own, F.col("n"))), F.lit(0)).alias(f"e{number}"))
+        measures.append(F.coalesce(F.sum(F.when(own & (F.col("n") > 1), F.col("n"))), F.lit(0)).alias(f"u{number}"))
+    return grouped.agg(*measures)
 
 
 def run_suite(
@@ -114,17 +128,14 @@ def run_suite(
     A check on a column the table lacks fails with nothing evaluated.
     """
     in_pass: list[tuple[int, Check]] = []
+    keyed: list[tuple[int, Check]] = []
     pieces: list[DataFrame] = []
     missing: list[Column] = []
     for number, check in enumerate(suite, 1):
         if any(c not in df.columns for c in check.needs):
             missing.append(_record(source, number, check, F.lit(0), F.lit(0), F.lit(False)))
         elif check.kind in ("unique", "unique_combination"):
-            counted = _duplicates(df, *check.needs)
-            ok = _share_ok(F.col("evaluated"), F.col("unexpected"), check.mostly)
-            pieces.append(
-                counted.select(_record(source, number, check, F.col("evaluated"), F.col("unexpected"), ok).alias("r"))
-            )
+            keyed.append((number, check))
         elif check.kind == "relationship":
             key, table = check.column, (parents or {})[check.parent]
             orphan = (
@@ -146,6 +157,14 @@ def run_suite(
             )
         else:
             in_pass.append((number, check))
+    if keyed:
+        records = []
+        for number, check in keyed:
+            evaluated, unexpected = F.col(f"e{number}"), F.col(f"u{number}")
+            records.append(
+                _record(source, number, check, evaluated, unexpected, _share_ok(evaluated, unexpected, check.mostly))
+            )
+        pieces.append(_key_counts(df, keyed).select(F.explode(F.array(*records)).alias("r")))
     if in_pass or missing:
         measures = [F.count(F.lit(1)).alias("rows")]
         records = list(missing)

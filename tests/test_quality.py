@@ -94,3 +94,23 @@ def test_monitor_reads_the_newest_run(spark, tmp_path):
     kpis = quality.run_kpis(latest).first()
     assert (kpis.total_tests, kpis.passed, kpis.failed, kpis.pass_rate) == (2, 1, 1, 50.0)
     assert quality.failed_tests(latest).first().details == "Failed 1 expectations"
+
+
+def test_key_checks_of_a_table_share_one_scan(spark):
+    rows = [(1, "a", None), (1, "b", 5), (2, None, 5), (None, None, None), (None, None, None), (3, "a", 7)]
+    df = spark.createDataFrame(rows, "x int, y string, z int")
+    checks = (
+        quality.Check("unique", "x"),
+        quality.Check("unique", "z"),
+        quality.Check("unique_combination", columns=("x", "y")),
+        quality.Check("unique_combination", columns=("z", "y", "x")),
+        quality.Check("unique_combination", columns=("y", "x", "z")),
+        quality.Check("not_null", "y"),
+    )
+    found = quality.run_suite(df, checks, "t")
+    got = {r.check_no: (r.evaluated, r.unexpected, r.success) for r in found.collect()}
+    assert got == {1: (4, 2, False), 2: (3, 2, False), 3: (6, 2, False), 4: (6, 2, False), 5: (6, 2, False), 6: (6, 3, False)}
+    text = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert text.count("Scan ExistingRDD") + text.count("LocalTableScan") == 2  # rows once, all keys once
+    empty = quality.run_suite(df.where("false"), checks, "t").collect()
+    assert {(r.evaluated, r.unexpected, r.success) for r in empty} == {(0, 0, True)}
