@@ -33,7 +33,7 @@ CHUNK_BYTES = 1 << 20
 SPELT_BYTES = 64 << 20
 #: Counted names that a task holds before it sends them, and phrases with their words in the last scan.
 HELD = 1 << 21
-HELD_PHRASES = 500_000
+HELD_PHRASES = 1_000_000
 #: Text of a partition of counts: as many partitions as the session shuffles with, but of these sizes at least and most.
 LEAST_BYTES, MOST_BYTES = 4 << 20, 64 << 20
 #: Cells of the table of reached phrases for so many bytes of text, and its least and greatest size in bits.
@@ -266,47 +266,81 @@ def reached_phrases(spark: SparkSession, path: str, text_bytes: int, shards: int
     return cells, step
 
 
-def _speller(shared: Shared, longest: int):
-    """Counts the phrases of the table by their words."""
+class _Spelt:
+    """What a task has counted by name, and the words of each name that it has met."""
+
+    def __init__(self):
+        self.known = np.empty(0, np.uint64)
+        self.names: list[np.ndarray] = []
+        self.phrases: list[bytes] = []
+        self.langs: list[str] = []
+        self.lengths: list[np.ndarray] = []
+        self.counts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, chunk: Chunk, length: int, places: np.ndarray, names: np.ndarray) -> None:
+        order = np.argsort(names)
+        at = np.flatnonzero(first_of_groups(names[order]))
+        found, places = names[order[at]], places[order[at]]
+        self.counts.append((found, np.diff(np.append(at, len(names)))))
+        self.size += len(found)
+        if len(self.known):
+            near = np.minimum(np.searchsorted(self.known, found), len(self.known) - 1)
+            new = np.flatnonzero(self.known[near] != found)
+            found, places = found[new], places[new]
+        self.names.append(found)
+        self.lengths.append(np.full(len(found), length, np.int32))
+        self.phrases += [chunk.spelt(i, length) for i in places.tolist()]
+        self.langs += [chunk.langs[i] for i in chunk.text[places].tolist()]
+
+    def settle(self) -> None:
+        """The names of a chunk are known to the next one; counts are summed when there are many."""
+        self.known = np.sort(np.concatenate(self.names))
+        if self.size > HELD:
+            self.counts = [self.summed()]
+            self.size = len(self.counts[0][0])
+
+    def summed(self) -> tuple[np.ndarray, np.ndarray]:
+        names, counts = (np.concatenate(x) for x in zip(*self.counts, strict=True))
+        order = np.argsort(names)
+        names = names[order]
+        at = np.flatnonzero(first_of_groups(names))
+        return names[at], np.add.reduceat(counts[order], at)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.tool()
-        words: dict[str, int] = {}
-        spelt: dict[int, tuple[str, int, bytes]] = {}
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+    def rows(self) -> pa.RecordBatch:
+        names, sums = self.summed()
+        own = np.searchsorted(names, np.concatenate(self.names))
+        return _spelt_rows(self.langs, np.concatenate(self.lengths), self.phrases, sums[own])
 
-        def batch_of(langs, lengths, phrases, counts) -> pa.RecordBatch:
-            columns = [pa.array(langs, pa.string()), pa.array(lengths, pa.int32()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, names=["lang", "length", "phrase", "n"])
 
-        def sent() -> Iterator[pa.RecordBatch]:
-            if held:
-                found, counts = (np.concatenate(x) for x in zip(*held, strict=True))
-                found, at = np.unique(found, return_inverse=True)
-                sums = np.zeros(len(found), np.int64)
-                np.add.at(sums, at, counts)
-                yield batch_of(*zip(*(spelt[x] for x in found.tolist()), strict=True), sums)
-            held.clear()
-            spelt.clear()
+def _spelt_rows(langs, lengths, phrases, counts) -> pa.RecordBatch:
+    columns = [pa.array(langs, pa.string()), pa.array(lengths, pa.int32()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "length", "phrase", "n"])
+
 
+def _speller(shared: Shared, longest: int):
+    """Counts the phrases of the table by their words."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, words, spelt = shared.tool(), {}, _Spelt()
         for whole in batches:
             for batch in chunks(whole, "text", CHUNK_BYTES):
                 chunk = Chunk(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist())
                 for lang, n in zip(chunk.langs, chunk.n_words.tolist(), strict=True):
                     words[lang] = words.get(lang, 0) + n
                 for length, places, found, _ in chunk.phrases(known, NEVER, longest):
-                    inside = known.steps(found) != NEVER
-                    found, at, n = np.unique(found[inside], return_index=True, return_counts=True)
-                    at = places[inside][at]
-                    for name, i, text in zip(found.tolist(), at.tolist(), chunk.text[at].tolist(), strict=True):
-                        if name not in spelt:
-                            spelt[name] = chunk.langs[text], length, chunk.spelt(i, length)
-                    held.append((found, n))
-                if len(spelt) > HELD_PHRASES:
-                    yield from sent()
-        yield from sent()
+                    inside = np.flatnonzero(known.steps(found) != NEVER)
+                    if len(inside):
+                        spelt.add(chunk, length, places[inside], found[inside])
+                if spelt.names:
+                    spelt.settle()
+                if len(spelt.phrases) > HELD_PHRASES:
+                    yield spelt.rows()
+                    spelt = _Spelt()
+        if spelt.phrases:
+            yield spelt.rows()
         if words:
-            yield batch_of(list(words), [0] * len(words), [b""] * len(words), list(words.values()))
+            yield _spelt_rows(list(words), [0] * len(words), [b""] * len(words), list(words.values()))
         give_back()
 
     return run
