@@ -437,7 +437,12 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_
 
 
 def representatives(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, that of the least key, and all without words."""
+    """``docs`` with one document of each component, that of the least key, and all without words.
+
+    Null and empty texts and texts without words are in no component and stay.  Of several rows with the least key
+    one stays; a row without a key stays only where its component has no other.  An empty table stays empty; all
+    columns are handed on, whatever their names.
+    """
     names = [f"c{i}" for i in range(len(docs.columns))]
     rows = _numbered(docs.toDF(*names))
     key, text = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))

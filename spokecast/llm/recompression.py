@@ -371,7 +371,9 @@ def without_repeats(
 ) -> DataFrame:
     """``docs`` without the repeated words; a text that loses none stays as it is, to the last space.
 
-    ``length_col`` names a column that follows the text's length in characters.
+    Every row stays, an empty text where all its words go.  Null and empty texts stay as they are.  Rows without a
+    key come before all others, and of rows with equal keys the one read first keeps its words.  ``length_col`` names
+    a column that follows the text's length in characters.  All columns are handed on, whatever their names.
     """
     names = [f"c{i}" for i in range(len(docs.columns))]
     key, text = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]

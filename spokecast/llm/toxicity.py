@@ -335,7 +335,11 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
 
 
 def without_toxic(docs: DataFrame, model: Model | None, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The documents below ``least``, with all their columns, in one pass; null texts stay."""
+    """The documents below ``least``, with all their columns, in one pass.
+
+    Null and empty texts score as texts without votes.  Rows are judged one by one, so repeated rows stay or go
+    together and keys do not matter.  Without a model all stay; an empty table stays empty.
+    """
     names = [f"c{i}" for i in range(len(docs.columns))]
     text = names[docs.columns.index(text_col)]
     rows = docs.toDF(*names)
