@@ -16,27 +16,43 @@ from spokecast.session import scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not call toxic; its labels come from the table ``labels``."""
+    """Documents that the classifier does not call toxic; its labels come from the table ``labels``.
+
+    Null and empty texts score as texts without votes; without labels of both classes, and on an empty table, all stay.
+    """
     return toxicity.without_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares 80 % of its five-word shingles, the one of the least key."""
+    """One document of each group that shares 80 % of its five-word shingles, the one of the least key.
+
+    Null and empty texts are in no group and stay; of repeated rows one stays, and a row without a key only where its
+    group has no other.
+    """
     return jaccard.representatives(docs, width=5, percent=80)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the words that repeat an earlier passage of 20 words; ``n_chars`` follows the text."""
+    """Documents without the words that repeat an earlier passage of 20 words; ``n_chars`` follows the text.
+
+    Every row stays, if only with an empty text; null texts stay null.  Rows without a key count as the earliest.
+    """
     return recompression.without_repeats(docs, length_col="n_chars")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than one word in twenty stands in a benchmark window."""
+    """Documents of which less than one word in twenty stands in a benchmark window.
+
+    Rows are judged one by one; null and empty texts have no words and stay, and so do all where the benchmark is empty.
+    """
     return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each document, how many they are, and the SHA-256 of the text that they decode to."""
+    """The ids of each document, how many they are, and the SHA-256 of the text that they decode to.
+
+    A row for each document, repeated keys and those without one included; null and empty texts have no ids.
+    """
     path = vocabulary()
     ids = bpe.encode(docs, path)
     decoded = bpe.decode(ids, path)
