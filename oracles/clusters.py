@@ -34,7 +34,8 @@ def k_means(points: str, ks: tuple[int, ...], restarts: int = 10, seed: int = 42
         FROM (SELECT g, restart, arg_max(centres, n) AS centres FROM seeds GROUP BY g, restart),
             (VALUES {", ".join(f"({k})" for k in ks)}) t(k)
         UNION ALL
-        SELECT g, k, restart, step + 1, now, cost, now <> centres FROM (
+        SELECT g, k, restart, step + 1, now, cost, list_sum(list_transform(range(1, len(now) + 1), lambda j:
+            (now[j].x - centres[j].x) * (now[j].x - centres[j].x) + (now[j].y - centres[j].y) * (now[j].y - centres[j].y))) > 250000 FROM (
             SELECT g, k, restart, any_value(step) AS step, any_value(centres) AS centres, cast(sum(d) AS hugeint) AS cost,
                 list_transform(range(1, len(any_value(centres)) + 1), lambda j: coalesce(
                     list_filter(list({{'i': i, 'c': {{'x': cx, 'y': cy}}}}), lambda e: e.i = j)[1].c, any_value(centres)[j])) AS now

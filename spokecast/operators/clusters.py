@@ -2,8 +2,7 @@
 
 A fit is one group of stations (all of them, or those of one holiday), one k and one restart.  All fits go through
 the same Spark jobs: starts by farthest points, then Lloyd's steps as aggregates keyed by fit and centre.  Coordinates
-are whole millionths of a degree, so sums are exact, a fit ends when no centre moves, and the result is the same for
-any split of the input and in any engine.
+are whole millionths of a degree, so sums and moves are exact, and the result is the same for any split of the input and in any engine.
 """
 
 from __future__ import annotations
@@ -23,6 +22,8 @@ CLUSTERS = 30
 SEED = 42
 RESTARTS = 10
 MAX_ITERATIONS = 300
+#: A fit ends when the squares of its centres' moves, in steps, sum up to no more than this one's.
+STILL = 500
 #: Centres of all fits that go through the jobs together; beyond it groups are fitted in turns.
 CENTRES_AT_ONCE = 100_000
 #: Steps to a degree; positions are shifted to be positive.
@@ -51,7 +52,7 @@ def grouped_clusters(
     A group's first centre is the station with the least hash of its id and the restart's seed; each next one is the
     station farthest from those before, ties to the greater latitude and then longitude.  A station belongs to the
     nearest centre, ties to the first; a centre moves to the mean of its members, rounded down to a millionth of a
-    degree, and stays where it is without members.  Of the restarts the cheapest fit wins, ties to the first.  A group
+    degree, and stays where it is without members; a fit ends when all moves together are below ``STILL``.  Of the restarts the cheapest fit wins, ties to the first.  A group
     with fewer places than k has as many clusters as places.  Stations without coordinates or id are left out.
 
     The located stations are written once to the shared folder, so no step rescans trips.  The driver holds the
@@ -106,6 +107,10 @@ def _labelled(points: DataFrame, centres: DataFrame) -> DataFrame:
     return points.join(F.broadcast(centres), "g").withColumn("nearest", nearest)
 
 
+def _way(old: list[tuple[int, int]], new: list[tuple[int, int]]) -> int:
+    return sum((a - c) ** 2 + (b - d) ** 2 for (a, b), (c, d) in zip(old, new, strict=True))
+
+
 def _fitted(points: DataFrame, by: Sequence[str], ks: Sequence[int], seed: int, restarts: int, max_iterations: int) -> DataFrame:
     starts = _starts(points, max(ks), seed, restarts)
     fits = {(g, k, r): list(found[:k]) for (g, r), found in starts.items() for k in ks}
@@ -127,7 +132,7 @@ def _fitted(points: DataFrame, by: Sequence[str], ks: Sequence[int], seed: int,
             moved[f][r.i] = (r.x // r.n, r.y // r.n)
             now[f] += int(r.d)
         cost.update(now)
-        open_ = {f for f in open_ if moved[f] != fits[f]}
+        open_ = {f for f in open_ if _way(fits[f], moved[f]) > STILL**2}
         fits.update(moved)
     if open_:
         warnings.warn(f"{len(open_)} fits did not converge within {max_iterations} iterations", stacklevel=3)
