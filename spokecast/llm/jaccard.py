@@ -108,61 +108,54 @@ def combinations(tokens: np.ndarray, first: np.ndarray, sizes: Sizes) -> list[tu
     return out
 
 
-def _named(sizes: Sizes) -> list[str]:
-    """The columns of signatures that hold combinations, two for each size class a set is named for."""
-    return [f"{c}{below}" for below in range(sizes.named) for c in ("spare", "keys")]
+def _tokens(batch: pa.RecordBatch, names_of: Names, width: int) -> tuple[np.ndarray, np.ndarray]:
+    return shingle_sets([t.translate(LOWER).split() for t in texts(batch, "text")], names_of, width)
 
 
-def _signatures(rows: DataFrame, width: int, sizes: Sizes) -> DataFrame:
-    """Per row its key, size and fingerprint of the set, and its combinations in binary values."""
+def _meta(rows: DataFrame, width: int, sizes: Sizes) -> DataFrame:
+    """Per row its key, size and fingerprint of the set, and how many combinations it has."""
 
     def make():
         names_of = Names()
 
         def work(batch):
-            words = [t.translate(LOWER).split() for t in texts(batch, "text")]
-            tokens, first = shingle_sets(words, names_of, width)
-            found = combinations(tokens, first, sizes)
+            tokens, first = _tokens(batch, names_of, width)
             prints = []
             for seed in (1, 2):
                 total = np.concatenate([[np.uint64(0)], np.cumsum(mix(tokens + np.uint64(seed)), dtype=np.uint64)])
                 prints.append((total[first[1:]] - total[first[:-1]]).view(np.int64))
-            columns = [batch.column("row"), batch.column("id"), pa.array(np.diff(first)), *map(pa.array, prints)]
-            for keys, at, spare in found:
-                cuts = at.tolist()
-                columns += [pa.array(spare), pa.array([keys[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "n_shingles", "print1", "print2", *_named(sizes)])
+            n_keys = sum((np.diff(at) for _, at, _ in combinations(tokens, first, sizes)), np.zeros(batch.num_rows, np.int64))
+            columns = [batch.column("row"), batch.column("id"), *map(pa.array, (np.diff(first), *prints, n_keys))]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "n_shingles", "print1", "print2", "n_keys"])
 
         return work
 
     kind = rows.schema["id"].dataType.simpleString()
-    schema = f"row bigint, id {kind}, n_shingles bigint, print1 bigint, print2 bigint"
-    schema += "".join(f", {c} {'bigint' if c.startswith('spare') else 'binary'}" for c in _named(sizes))
-    return map_chunks(rows, schema, "text", make)
+    return map_chunks(rows, f"row bigint, id {kind}, n_shingles bigint, print1 bigint, print2 bigint, n_keys bigint", "text", make)
 
 
 SENT = ["u8", "i8", "i4", "u1", "u1"]
 KNOWN = 1
 
 
-def _prefixes(signatures: DataFrame, partitions: int, n_keys: int, sizes: Sizes) -> DataFrame:
+def _prefixes(rows: DataFrame, width: int, partitions: int, n_keys: int, sizes: Sizes) -> DataFrame:
     """Per row with any the frequent combinations (``keys``) of its prefix.
 
+    Combinations take as much room as the texts, so they are made where they are sent and not stored.
+
     Within a chunk, a combination that several rows have is known to be frequent; one row asks for it by
     name, to tell the other chunks, and the rest go by row.
     """
-    buckets, named = np.uint64(buckets_for(n_keys, partitions, KEYS_EACH)), _named(sizes)
+    buckets = np.uint64(buckets_for(n_keys, partitions, KEYS_EACH))
 
     def send(batches: Iterator[pa.RecordBatch]):
-        held: list[tuple[np.ndarray, int, int, int]] = []
-        amount = 0
+        held: list[tuple[np.ndarray, ...]] = []
+        names_of, amount = Names(), 0
 
         def out():
             if not held:
                 return
-            amounts = [len(k) for k, *_ in held]
-            keys = np.concatenate([k for k, *_ in held])
-            row, spare, kind = (np.repeat(np.array([h[i] for h in held], t), amounts) for i, t in ((1, "i8"), (2, "i4"), (3, "u1")))
+            keys, row, spare, kind = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.lexsort((row, keys))
             keys, row, spare, kind = keys[order], row[order], spare[order], kind[order]
             new = first_of_groups(keys)
@@ -173,13 +166,13 @@ def _prefixes(signatures: DataFrame, partitions: int, n_keys: int, sizes: Sizes)
             yield from pack(bucket[order].astype(np.int64), [c[order] for c in (keys, row, spare, kind, np.where(several, KNOWN, 0).astype("u1"))])
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("row", *named)]
-            for row, *found in zip(*columns, strict=True):
-                for kind, (spare, keys) in enumerate(zip(found[::2], found[1::2], strict=True)):
-                    if keys:
-                        held.append((np.frombuffer(keys, np.uint64), row, spare, kind))
-                        amount += len(keys)
-                if amount >= 4 << 20:
+            for part in chunks(batch, "text", CHUNK_BYTES):
+                number = part.column("row").to_numpy()
+                for kind, (keys, at, spare) in enumerate(combinations(*_tokens(part, names_of, width), sizes)):
+                    n = np.diff(at)
+                    held.append((keys, np.repeat(number, n), np.repeat(spare.astype("i4"), n), np.full(len(keys), kind, "u1")))
+                    amount += len(keys)
+                if amount >= 1 << 19:
                     yield from out()
                     held.clear()
                     amount = 0
@@ -213,7 +206,7 @@ def _prefixes(signatures: DataFrame, partitions: int, n_keys: int, sizes: Sizes)
             yield pa.RecordBatch.from_arrays([pa.array(row[used[cuts[:-1]]]), pa.array(data, pa.binary())], names=["row", "keys"])
         give_back()
 
-    sent = signatures.select("row", *named).mapInArrow(send, SCHEMA)
+    sent = rows.select("row", "text").mapInArrow(send, SCHEMA)
     replies = dealt(sent, partitions).mapInArrow(receive, SCHEMA)
     return dealt(replies, partitions).mapInArrow(choose, "row bigint, keys binary")
 
@@ -384,13 +377,13 @@ def _components(rows: DataFrame, width: int, percent: int) -> DataFrame:
     """
     spark = rows.sparkSession
     sizes = Sizes(percent)
-    path = scratch_path(spark, "signatures")
-    _signatures(rows, width, sizes).write.parquet(path)
-    signatures = spark.read.parquet(path)
-    meta = signatures.select("row", "id", "n_shingles", "print1", "print2")
-    n_bytes = signatures.agg(F.sum(sum((F.octet_length(c) for c in _named(sizes)[1::2]), F.lit(0)))).first()[0] or 0
-    partitions = partitions_for(spark, n_bytes // 8, KEYS_EACH)
-    near = components(_near(_prefixes(signatures, partitions, n_bytes // 8, sizes), partitions, n_bytes // 8))
+    path = scratch_path(spark, "sets")
+    _meta(rows, width, sizes).write.parquet(path)
+    meta = spark.read.parquet(path)
+    n_keys = meta.agg(F.sum("n_keys")).first()[0] or 0
+    meta = meta.drop("n_keys")
+    partitions = partitions_for(spark, n_keys, KEYS_EACH)
+    near = components(_near(_prefixes(rows, width, partitions, n_keys, sizes), partitions, n_keys))
 
     # Of equal sets one is compared.
     same = ["print1", "print2", "n_shingles"]
