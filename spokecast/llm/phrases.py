@@ -100,7 +100,8 @@ class Chunk:
             if reached is None or length == longest or len(self.names) <= length:
                 return
             steps = np.full(len(self.names), NEVER, np.uint8)
-            steps[places] = reached.steps(names)
+            # A crowded table may name a step before the phrase itself began; what is made of it begins no earlier than it.
+            steps[places] = np.maximum(reached.steps(names), np.maximum(begins, 1) - np.uint8(1))
             by_place = np.zeros(len(self.names), np.uint64)
             by_place[places] = names
             later = np.maximum(steps[:-1], steps[1:])[: len(self.names) - length]

@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from compare import connect, differences
 from pyspark.sql import functions as F
@@ -82,6 +83,16 @@ def test_a_crowded_table_costs_counting_only(spark, monkeypatch):
     assert mined(spark.createDataFrame(rows, DOCS), least=4, top=30) == brute(rows, 4, 30)
 
 
+def test_a_phrase_begins_no_earlier_than_its_parts():
+    chunk, cells = phrases.Chunk(["en"], [b"a b c"]), np.zeros(1 << 16, np.uint8)
+    (_, _, words, _), (_, _, pairs, _), _ = chunk.phrases(phrases.Reached(cells), 5, 3)
+    cells[:] = phrases.NEVER
+    table = phrases.Reached(cells)
+    for names, step in ((words, 2), (pairs, 0)):  # others have filled the pairs' cells before the pairs were counted
+        cells[np.concatenate(table.places(names))] = step
+    assert [b.tolist() for _, _, _, b in chunk.phrases(table, 5, 3)] == [[0, 0, 0], [3, 3], [3]]
+
+
 def test_longer_phrases_begin_before_shorter_ones_end(spark):
     path = scratch_path(spark, "shards")
     rows = [("en", "a b c d", i % 4) for i in range(400)]
