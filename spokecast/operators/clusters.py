@@ -1,16 +1,19 @@
 """Station clusters (M8, M25): k-means over coordinates, many fits side by side.
 
 A fit is one group of stations (all of them, or those of one holiday), one k and one restart.  All fits go through
-the same Spark jobs: starts by farthest points, then Lloyd's steps as aggregates keyed by fit and centre.  Coordinates
+the same Spark jobs: starts by farthest points, then Lloyd's steps as aggregates keyed by fit and centre.  Both read
+the distinct places only, and a task sends one row for each fit and centre.  Coordinates
 are whole millionths of a degree, so sums and moves are exact, and the result is the same for any split of the input and in any engine.
 """
 
 from __future__ import annotations
 
 import warnings
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +32,10 @@ CENTRES_AT_ONCE = 100_000
 #: Steps to a degree; positions are shifted to be positive.
 STEPS = 1_000_000
 CENTRES = "array<struct<x:bigint,y:bigint>>"
+#: Distances that a task holds at a time, if no group has more centres, and the greatest way along an axis.
+CELLS = 1 << 17
+FARTHEST = (1 << 31) - 1
+HALF = 32
 
 
 def _position(degrees: str, shift: int) -> Column:
@@ -79,25 +86,105 @@ def _frame(points: DataFrame, rows: Iterable[tuple]) -> DataFrame:
     return points.sparkSession.createDataFrame(list(rows), f"g int, k int, restart int, centres {CENTRES}")
 
 
-def _starts(points: DataFrame, k: int, seed: int, restarts: int) -> dict[tuple[int, int], list[tuple[int, int]]]:
+def _blocks(batches: Iterable[pa.RecordBatch], groups: dict[int, tuple]) -> Iterator[tuple]:
+    """Some places of a group at a time: the numbers of its fits, where each fit's centres begin, ``x``, ``y`` and ``n`` of
+    the places, and the square of the distance of each place (row) to each centre (column)."""
+    for batch in batches:
+        columns = [batch.column(c).to_numpy() for c in ("g", "x", "y", "n")]
+        order = np.argsort(columns[0], kind="stable")
+        g, *places = (c[order] for c in columns)
+        cuts = [0, *(np.flatnonzero(np.diff(g)) + 1).tolist(), len(g)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a == b or int(g[a]) not in groups:
+                continue
+            numbers, first, centres = groups[int(g[a])]
+            step = max(1, CELLS // centres.shape[1])
+            for i in range(a, b, step):
+                x, y, n = (c[i : min(i + step, b)] for c in places)
+                for own, others in ((x, centres[0]), (y, centres[1])):
+                    if max(int(own.max()) - int(others.min()), int(others.max()) - int(own.min())) > FARTHEST:
+                        raise OverflowError("places too far apart for 64-bit distances")
+                d, e = x[:, None] - centres[0], y[:, None] - centres[1]
+                d *= d
+                e *= e
+                d += e
+                yield numbers, first, x, y, n, d
+
+
+def _over(places: DataFrame, fits: Sequence[tuple[int, list[tuple[int, int]]]], work: Callable, schema: str) -> tuple:
+    """``work`` on the places of every task with the numbered ``fits``, each a group and its centres; and what was sent for it."""
+    held: dict[int, list[int]] = {}
+    for number, (g, _) in enumerate(fits):
+        held.setdefault(g, []).append(number)
+    groups = {}
+    for g, numbers in held.items():
+        first = np.cumsum([0, *(len(fits[f][1]) for f in numbers)])
+        groups[g] = numbers, first, np.array([c for f in numbers for c in fits[f][1]], np.int64).T
+    sent = places.sparkSession.sparkContext.broadcast(groups)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield work(_blocks(batches, sent.value))
+
+    return places.mapInArrow(run, schema), sent
+
+
+FAR = "f int, d bigint, x bigint, y bigint"
+
+
+def _far(blocks: Iterator[tuple]) -> pa.RecordBatch:
+    """For each fit the place farthest from its centres, ties to the greater ``x`` and then ``y``."""
+    best: dict[int, tuple[int, int, int]] = {}
+    for numbers, first, x, y, _, d in blocks:
+        for f, near in zip(numbers, np.minimum.reduceat(d, first[:-1], axis=1).T, strict=True):
+            most = near.max()
+            at = np.flatnonzero(near == most)
+            at = at[np.lexsort((y[at], x[at]))[-1]]
+            found = int(most), int(x[at]), int(y[at])
+            best[f] = max(best.get(f, found), found)
+    rows = [(f, *p) for f, p in best.items()]
+    columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
+    return pa.RecordBatch.from_arrays(columns, names=["f", "d", "x", "y"])
+
+
+SUMS = ("n", "x", "y", "upper", "lower")
+
+
+def _sums(blocks: Iterator[tuple]) -> pa.RecordBatch:
+    """For each fit and centre the sums over its members: stations, ``x``, ``y``, and the squares in two halves."""
+    total: dict[int, np.ndarray] = {}
+    for numbers, first, x, y, n, d in blocks:
+        weighed, rows = (n, x * n, y * n), np.arange(len(n))
+        for f, a, b in zip(numbers, first[:-1].tolist(), first[1:].tolist(), strict=True):
+            at = d[:, a:b].argmin(axis=1)
+            near = d[rows, a + at]
+            sums = total.setdefault(f, np.zeros((len(SUMS), b - a), np.int64))
+            for own, values in zip(sums, (*weighed, (near >> HALF) * n, (near & ((1 << HALF) - 1)) * n), strict=True):
+                np.add.at(own, at, values)
+            sums[3] += sums[4] >> HALF
+            sums[4] &= (1 << HALF) - 1
+    some = [(f, np.flatnonzero(sums[0])) for f, sums in total.items()]
+    fit = [np.full(len(at), f, np.int32) for f, at in some]
+    numbers = [np.concatenate([np.empty(0, np.int32), *fit]), np.concatenate([np.empty(0, np.int32), *(at.astype(np.int32) for _, at in some)])]
+    values = np.concatenate([np.empty((len(SUMS), 0), np.int64), *(total[f][:, at] for f, at in some)], axis=1)
+    return pa.RecordBatch.from_arrays([*map(pa.array, numbers), *(pa.array(v) for v in values)], names=["f", "i", *SUMS])
+
+
+def _starts(points: DataFrame, places: DataFrame, k: int, seed: int, restarts: int) -> dict[tuple[int, int], list[tuple[int, int]]]:
     """For each group and restart up to ``k`` places, each the farthest from those before it."""
     tries = F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("restart")
     key = F.md5(F.concat(F.col("station_id").cast("string"), F.lit("|"), (F.col("restart") + seed).cast("string")).cast("binary"))
     first = points.select("*", tries).groupBy("g", "restart").agg(F.min(F.struct(key, F.col("x").alias("x"), F.col("y").alias("y"))).alias("p"))
     out = {(r.g, r.restart): [(r.p.x, r.p.y)] for r in first.collect()}
-    open_ = set(out)
-    places = points.select("g", "x", "y").distinct()
+    open_ = sorted(out)
     for _ in range(k - 1):
         if not open_:
             break
-        centres = F.broadcast(_frame(points, ((g, 0, r, out[g, r]) for g, r in sorted(open_))))
-        nearest = F.array_min(F.transform("centres", _squared))
-        farthest = places.join(centres, "g").groupBy("g", "restart").agg(F.max(F.struct(nearest.alias("d"), "x", "y")).alias("p"))
-        open_ = set()
-        for r in farthest.collect():
-            if r.p.d > 0:
-                out[r.g, r.restart].append((r.p.x, r.p.y))
-                open_.add((r.g, r.restart))
+        found, sent = _over(places, [(f[0], out[f]) for f in open_], _far, FAR)
+        farthest = found.groupBy("f").agg(F.max(F.struct("d", "x", "y")).alias("p")).where("p.d > 0").collect()
+        sent.destroy()
+        for r in farthest:
+            out[open_[r.f]].append((r.p.x, r.p.y))
+        open_ = sorted(open_[r.f] for r in farthest)
     return out
 
 
@@ -112,27 +199,25 @@ def _way(old: list[tuple[int, int]], new: list[tuple[int, int]]) -> int:
 
 
 def _fitted(points: DataFrame, by: Sequence[str], ks: Sequence[int], seed: int, restarts: int, max_iterations: int) -> DataFrame:
-    starts = _starts(points, max(ks), seed, restarts)
-    fits = {(g, k, r): list(found[:k]) for (g, r), found in starts.items() for k in ks}
-    cost: dict[tuple[int, int, int], int] = {}
-    open_ = set(fits)
     # Stations at one place move together.
     places = cut_lineage(points.groupBy("g", "x", "y").agg(F.count("*").alias("n")))
+    starts = _starts(points, places, max(ks), seed, restarts)
+    fits = {(g, k, r): list(found[:k]) for (g, r), found in starts.items() for k in ks}
+    cost: dict[tuple[int, int, int], int] = {}
+    open_ = sorted(fits)
     for _ in range(max_iterations):
         if not open_:
             break
-        some = _labelled(places, _frame(points, ((*f, fits[f]) for f in sorted(open_))))
-        sums = some.groupBy("g", "k", "restart", "nearest.i").agg(
-            F.sum("n").alias("n"), F.sum(F.col("x") * F.col("n")).alias("x"), F.sum(F.col("y") * F.col("n")).alias("y"),
-            F.sum(F.col("nearest.d").cast("decimal(25,0)") * F.col("n")).alias("d"),
-        )
+        found, sent = _over(places, [(f[0], fits[f]) for f in open_], _sums, "f int, i int, " + ", ".join(f"{c} bigint" for c in SUMS))
+        sums = found.groupBy("f", "i").agg(*(F.sum(c).alias(c) for c in SUMS)).collect()
+        sent.destroy()
         moved, now = {f: list(fits[f]) for f in open_}, dict.fromkeys(open_, 0)
-        for r in sums.collect():
-            f = (r.g, r.k, r.restart)
+        for r in sums:
+            f = open_[r.f]
             moved[f][r.i] = (r.x // r.n, r.y // r.n)
-            now[f] += int(r.d)
+            now[f] += (r.upper << HALF) + r.lower
         cost.update(now)
-        open_ = {f for f in open_ if _way(fits[f], moved[f]) > STILL**2}
+        open_ = [f for f in open_ if _way(fits[f], moved[f]) > STILL**2]
         fits.update(moved)
     if open_:
         warnings.warn(f"{len(open_)} fits did not converge within {max_iterations} iterations", stacklevel=3)

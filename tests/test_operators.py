@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -523,6 +526,41 @@ def test_fits_of_groups_are_those_of_each_group_alone(spark, monkeypatch):
     assert found() == together
 
 
+def test_steps_read_places_and_send_a_row_for_each_centre(spark, monkeypatch):
+    read, sent, over = [], [], clusters._over
+
+    def watched(places, fits, work, schema):
+        found, shared = over(places, fits, work, schema)
+        read.append(places.count())
+        sent.append((found.count(), places.rdd.getNumPartitions() * sum(len(c) for _, c in fits)))
+        return found, shared
+
+    monkeypatch.setattr(clusters, "_over", watched)
+    monkeypatch.setattr(clusters, "CELLS", 64)
+    rows = [("a", str(i), f"s{i}", 40 + i % 7 / 100, -74 + i % 11 / 100) for i in range(700)]
+    made = clusters.station_clusters(frame(spark, rows, STATIONS), k=4, restarts=2).collect()
+    assert len(made) == 700 and set(read) == {77} and all(n <= most for n, most in sent)
+
+
+def test_sums_of_a_step_are_exact():
+    rnd = random.Random(3)
+    places = [(1, rnd.randrange(10**9), rnd.randrange(10**9), rnd.randrange(1, 10**6)) for _ in range(500)]
+    centres = [[(0, 0)], [(5, 5), (5, 5), (10**9, 10**9)]]
+    first, flat = np.array([0, 1, 4]), np.array([c for f in centres for c in f]).T
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*places, strict=True)], names=["g", "x", "y", "n"])
+    got = clusters._sums(clusters._blocks([batch], {1: ([0, 1], first, flat)})).to_pylist()
+    want = {}
+    for _, x, y, n in places:
+        for f, own in enumerate(centres):
+            d, i = min(((x - a) ** 2 + (y - b) ** 2, i) for i, (a, b) in enumerate(own))
+            want[f, i] = [a + b for a, b in zip(want.get((f, i), [0] * 4), (n, n * x, n * y, n * d), strict=True)]
+    assert {(r["f"], r["i"]): [r["n"], r["x"], r["y"], (r["upper"] << 32) + r["lower"]] for r in got} == want
+    far = clusters._far(clusters._blocks([batch], {1: ([0, 1], first, flat)})).to_pylist()
+    assert [(r["d"], r["x"], r["y"]) for r in far] == [max((min((x - a) ** 2 + (y - b) ** 2 for a, b in own), x, y) for _, x, y, _ in places) for own in centres]
+    with pytest.raises(OverflowError):
+        clusters._sums(clusters._blocks([batch], {1: ([0], np.array([0, 1]), np.array([[-(10**10)], [0]]))}))
+
+
 def test_fewer_places_than_clusters(spark):
     rows = [("d", f"s{i}", "x", 40.6 + i % 3, -74.0) for i in range(9)]
     made = clusters.station_clusters(frame(spark, rows, STATIONS), k=5, restarts=2).collect()
