@@ -6,7 +6,9 @@ predictions are mixed: the shares of order 2, order 1 and order 0 are learned fo
 the id is coded by the range coder in the share of the highest order that foretold it.
 
 Blocks do not depend on each other, so a chunk of blocks is worked through side by side: step t codes id t of
-every block with numpy, and encoder and decoder take the same model through the same steps.
+every block with numpy.  The decoder takes the model through the same steps.  The encoder knows all ids, so that it
+finds what each order foretells by sorting a few blocks' ids by context and time, and all shares between two refreshes
+at once; only the arithmetic of the range coder goes step by step.
 """
 
 from __future__ import annotations
@@ -16,99 +18,136 @@ import zlib
 
 import numpy as np
 
-#: Ids of a block, and blocks that are coded side by side.
-BLOCK_IDS = 2048
+#: Ids of a block, at most 2 to the power of ``TIME_BITS``, and blocks that are coded side by side, 65536 at most.
+BLOCK_IDS, TIME_BITS = 2048, 11
 LANES = 4096
 #: Ids lie below; they are split in a high part and a low part of eight bits.
 TOP_ID = 1 << 18
 HASH_1, HASH_2 = 10, 11
+#: Order-0 tables of low parts; a high part goes with one of them.
+PARTS = 4
+#: Blocks that are modelled at a time where all ids are known: their tables stay in a core's cache.
+MODELLED = 64
 SHARE_BITS, HIGH_BITS, LOW_BITS = 8, 11, 10
 ALL_BITS = SHARE_BITS + HIGH_BITS + LOW_BITS
 PLACE_BITS = 12
 FREQ = (1 << PLACE_BITS) - 1
 #: Steps at which frequencies and shares take in what has been counted since.
-REFRESHED = frozenset({32, 128, 512, 1152})
+REFRESHED = (32, 128, 512, 1152)
 #: What a block counts as seen at its begin, by confidence: the share of an order in 256, told by so many ids.
 FIRST_SHARE, FIRST_WEIGHT = (3, 70, 120, 180), 6
 MAGIC = b"TIDS"
 HEAD, ENTRY = struct.Struct("<4sHHI"), struct.Struct("<III")
-VERSION = 1
+VERSION = 2
 WORD = np.uint64(32)
 MASK = np.uint64(0xFFFFFFFF)
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
+def _zeros(n: int) -> np.ndarray:
+    """Numpy asks for large memory pages in ``empty``, not in ``zeros``; tables that are read here and there need them."""
+    out = np.empty(n, np.int32)
+    out.fill(0)
+    return out
+
+
+class Counts:
+    """What blocks have counted so far: high parts, low parts, and outcomes by confidence."""
+
+    def __init__(self, lanes: int, high: int):
+        self.sizes = (high, PARTS << 8, 96)
+        self.counts = [np.zeros((lanes, n), np.int32) for n in self.sizes]
+
+    def add(self, a: int, b: int, ids: np.ndarray, outcomes: np.ndarray) -> None:
+        """A row of ids, and of confidences by outcome, for each block from ``a`` to ``b``."""
+        own = np.arange(b - a)[:, None]
+        for count, size, seen in zip(self.counts, self.sizes, (ids >> 8, low_place(ids), outcomes), strict=True):
+            count[a:b] += np.bincount((seen + own * size).ravel(), minlength=(b - a) * size).reshape(b - a, size)
+
+    def tables(self, n: int, inverse: bool, fresh: bool) -> tuple:
+        """Ranges and ways back of high and of low parts, and the ends of shares, for the first ``n`` blocks.
+
+        In ``fresh`` blocks nothing is counted, so that all have the same tables.
+        """
+        high, low, seen = (c[: 1 if fresh else n] for c in self.counts)
+        out = (*_ranges(high, HIGH_BITS, inverse), *_ranges(low.reshape(-1, 256), LOW_BITS, inverse), _edges(seen))
+        return tuple(x if x is None or not fresh else np.tile(x, n) for x in out)
+
+
+def _edges(count: np.ndarray) -> np.ndarray:
+    confidence, share = np.arange(32), np.array(FIRST_SHARE)
+    two, one, rest = count.reshape(-1, 32, 3).astype(np.int64).transpose(2, 0, 1)
+    first = FIRST_WEIGHT * 256
+    edge_2 = (256 * 256 * two + first * share[confidence >> 3]) // (256 * (two + one + rest) + first)
+    edge_2 = np.clip(edge_2, 1, 250)
+    part_1 = (256 * 256 * one + first * share[(confidence >> 1) & 3]) // (256 * (one + rest) + first)
+    edge_1 = np.clip(edge_2 + ((256 - edge_2) * part_1 >> 8), edge_2 + 1, 254)
+    return (edge_2 + (edge_1 << 8)).astype(np.int32).ravel()
+
+
+def _ranges(count: np.ndarray, bits: int, inverse: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Each symbol's sum of the frequencies before it and, in the lower bits, its own; and the symbol at each place."""
+    size = count.shape[1]
+    # A little less than its part for each, so that no rounding makes them more than the whole.
+    scale = ((1 << bits) - size) * (1 - 1e-5) / np.maximum(count.sum(axis=1, keepdims=True), 1)
+    freq = (count.astype(np.float32) * scale.astype(np.float32)).astype(np.int32)
+    freq += 1
+    share, rest = np.divmod((1 << bits) - freq.sum(axis=1, dtype=np.int32), size)  # all of it in a block without counts
+    freq += share[:, None].astype(np.int32)
+    freq[:, 0] += rest
+    back = None
+    if inverse:
+        back = np.repeat(np.tile(np.arange(size, dtype=np.uint8 if size <= 256 else np.uint16), len(count)), freq.ravel())
+    sums = np.cumsum(freq, axis=1, dtype=np.int32)
+    sums -= freq
+    sums <<= PLACE_BITS
+    sums += freq
+    return sums.ravel(), back
+
+
 class Model:
-    """The state of all blocks' models; ``lanes`` counts the blocks, ``high`` the high parts of ids."""
+    """The state of the models of blocks that are decoded side by side; ``ids`` takes their ids from ``first`` on."""
 
-    def __init__(self, lanes: int, high: int, inverse: bool):
-        self.high, self.inverse = high, inverse
+    def __init__(self, lanes: int, high: int, ids: np.ndarray, first: np.ndarray):
+        self.ids, self.first = ids, first
         number = np.arange(lanes)
-        self.base_1, self.base_2, self.base_c = number << HASH_1, number << HASH_2, number << 5
-        self.last_1 = np.zeros(lanes << HASH_1, np.int32)
-        self.last_2 = np.zeros(lanes << HASH_2, np.int32)
-        self.base_h, self.base_l = number * high, number << 10
-        self.count_h, self.count_l, self.count_c = (np.zeros(lanes * n, np.int32) for n in (high, 1024, 96))
-        self.previous = np.zeros(lanes, np.int64)
-        self.before = np.zeros(lanes, np.int64)
-        self.seen: list[tuple[np.ndarray, ...]] = []
-        self.refresh(lanes)
-
-    def refresh(self, n: int) -> None:
-        """The tables of the first ``n`` blocks from their counts: frequencies, their sums, the way back, and shares."""
-        for count, seen in zip((self.count_h, self.count_l, self.count_c), zip(*self.seen, strict=True), strict=False):
-            count += np.bincount(np.concatenate(seen), minlength=len(count)).astype(np.int32)
-        self.seen = []
-        self.range_h, self.back_h = self._table(self.count_h[: n * self.high].reshape(n, self.high), HIGH_BITS)
-        self.range_l, self.back_l = self._table(self.count_l[: n << 10].reshape(n * 4, 256), LOW_BITS)
-        confidence, share = np.arange(32), np.array(FIRST_SHARE)
-        two, one, rest = self.count_c[: n * 96].reshape(n, 32, 3).transpose(2, 0, 1)
-        first = FIRST_WEIGHT * 256
-        edge_2 = (256 * 256 * two + first * share[confidence >> 3]) // (256 * (two + one + rest) + first)
-        edge_2 = np.clip(edge_2, 1, 250)
-        part_1 = (256 * 256 * one + first * share[(confidence >> 1) & 3]) // (256 * (one + rest) + first)
-        edge_1 = np.clip(edge_2 + ((256 - edge_2) * part_1 >> 8), edge_2 + 1, 254)
-        self.edges = (edge_2 + (edge_1 << 8)).ravel()
-
-    def _table(self, count: np.ndarray, bits: int):
-        """Each symbol's sum of the frequencies before it and, in the lower bits, its own; and the symbol at each place."""
-        size = count.shape[1]
-        freq = count * np.int32((1 << bits) - size)
-        freq //= np.maximum(count.sum(axis=1, keepdims=True, dtype=np.int32), 1)
-        freq += 1
-        share, rest = np.divmod((1 << bits) - freq.sum(axis=1, dtype=np.int32), size)  # all of it in a block without counts
-        freq += share[:, None].astype(np.int32)
-        freq[:, 0] += rest
-        back = None
-        if self.inverse:
-            back = np.repeat(np.tile(np.arange(size, dtype=np.uint8 if size <= 256 else np.uint16), len(count)), freq.ravel())
-        sums = np.cumsum(freq, axis=1, dtype=np.int32)
-        sums -= freq
-        sums <<= PLACE_BITS
-        sums += freq
-        return sums.ravel(), back
+        self.base_1, self.base_2, self.base_c = (number << n for n in (HASH_1, HASH_2, 5))
+        self.last_1, self.last_2 = _zeros(lanes << HASH_1), _zeros(lanes << HASH_2)
+        self.base_h, self.base_l = number * high, number * (PARTS << 8)
+        self.place_h, self.place_l = number << HIGH_BITS, number * (PARTS << LOW_BITS)
+        self.counts = Counts(lanes, high)
+        self.previous = np.zeros(lanes, np.uint32)
+        self.before = np.zeros(lanes, np.uint32)
+        self.outcomes = np.empty((BLOCK_IDS, lanes), np.uint8)
+        self.begun = 0
+        self.refresh(0, lanes)
+
+    def refresh(self, t: int, n: int) -> None:
+        """The tables of the first ``n`` blocks, with what was seen since the last time."""
+        since = np.arange(self.begun, t)
+        for a in range(0, n if t else 0, MODELLED):
+            b = min(a + MODELLED, n)
+            self.counts.add(a, b, self.ids.take(self.first[a:b, None] + since), self.outcomes[self.begun : t, a:b].T)
+        self.begun = t
+        self.range_h, self.back_h, self.range_l, self.back_l, self.edges = self.counts.tables(n, True, not t)
 
     def predict(self, n: int) -> None:
         """What orders 2 and 1 foretell, and the ends of their shares of 256."""
-        mixed = self.previous[:n] * 2654435761
-        self.at_1 = (mixed >> 15) & ((1 << HASH_1) - 1)
-        self.at_1 += self.base_1[:n]
-        mixed += self.before[:n] * 2246822519
-        mixed >>= 16
-        mixed &= (1 << HASH_2) - 1
-        mixed += self.base_2[:n]
-        self.at_2 = mixed
+        mixed = self.previous[:n] * np.uint32(2654435761)
+        self.at_1 = self.base_1[:n] + (mixed >> np.uint32(32 - HASH_1))
+        mixed += self.before[:n] * np.uint32(2246822519)
+        mixed >>= np.uint32(32 - HASH_2)
+        self.at_2 = self.base_2[:n] + mixed
         entry_1, entry_2 = self.last_1.take(self.at_1), self.last_2.take(self.at_2)
         self.guess_1, self.guess_2 = entry_1 & (TOP_ID - 1), entry_2 & (TOP_ID - 1)
         self.sure_1, self.sure_2 = entry_1 >> 18, entry_2 >> 18
-        context = (self.sure_2 << 3) + (self.sure_1 << 1)
-        context += self.guess_1 == self.guess_2
-        self.context = context + self.base_c[:n]
-        edges = self.edges.take(self.context)
+        self.context = (self.sure_2 << 3) + (self.sure_1 << 1)
+        self.context += self.guess_1 == self.guess_2
+        edges = self.edges.take(self.base_c[:n] + self.context)
         self.edge_2, self.edge_1 = edges & 255, edges >> 8
 
-    def learn(self, n: int, ids: np.ndarray, hit_2: np.ndarray, hit_1: np.ndarray, literal: np.ndarray, at_h: np.ndarray, at_l: np.ndarray) -> None:
-        """A prediction that held gains confidence, else the id takes its place; the rest is counted until the next refresh."""
+    def learn(self, t: int, n: int, ids: np.ndarray, hit_2: np.ndarray, hit_1: np.ndarray) -> None:
+        """A prediction that held gains confidence, else the id takes its place; the rest is counted at the next refresh."""
         for table, at, sure, guess in ((self.last_1, self.at_1, self.sure_1, self.guess_1), (self.last_2, self.at_2, self.sure_2, self.guess_2)):
             sure += 1
             np.minimum(sure, 3, out=sure)
@@ -116,18 +155,24 @@ class Model:
             sure <<= 18
             sure += ids
             table[at] = sure
-        outcome = self.context * 3
+        outcome = self.outcomes[t, :n]
+        outcome[:] = self.context
+        outcome *= 3
         outcome += 2
         outcome -= hit_1
         outcome -= hit_2
-        self.seen.append((at_h, at_l, outcome))
         self.before[:n] = self.previous[:n]
         self.previous[:n] = ids
 
 
+def low_place(ids: np.ndarray) -> np.ndarray:
+    """The place of an id's low part in a block's order-0 tables."""
+    return (part(ids >> 8) << 8) + (ids & 255)
+
+
 def part(high: np.ndarray) -> np.ndarray:
-    """Which of four order-0 tables of low parts goes with a high part."""
-    return np.minimum(high >> 1, 3)
+    """Which of the order-0 tables of low parts goes with a high part."""
+    return np.minimum(high >> 1, PARTS - 1)
 
 
 def _order(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,39 +192,89 @@ def encode(ids: np.ndarray, lengths: np.ndarray, high: int) -> list[bytes]:
     return out
 
 
+def _foretold(ids: np.ndarray, mixed: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For a row of ids of each block: the id that last followed an equal hash, the confidence, and whether it held.
+
+    In the order of block, hash and time, an id's neighbour is the one that last followed the same hash.
+    """
+    lanes, steps = ids.shape
+    order = (np.arange(lanes, dtype=np.uint32) << np.uint32(bits))[:, None] + (mixed >> np.uint32(32 - bits))
+    order <<= np.uint32(TIME_BITS)
+    order += np.arange(steps, dtype=np.uint32)
+    order = np.sort(order, axis=None)
+    group = order >> np.uint32(TIME_BITS)
+    at = (group >> np.uint32(bits)).astype(np.int64) * steps
+    at += order & np.uint32((1 << TIME_BITS) - 1)
+    now = ids.take(at)
+    same = group[1:] == group[:-1]
+    guess = np.zeros_like(now)
+    guess[1:] = now[:-1] * same
+    held = guess == now
+    sure = np.zeros((4, len(now)), bool)
+    sure[1, 1:] = same & held[:-1]
+    sure[2, 1:] = sure[1, 1:] & sure[1, :-1]
+    sure[3, 1:] = sure[1, 1:] & sure[2, :-1]
+    out = np.empty_like(now)
+    out[at] = guess + (sure.sum(axis=0, dtype=np.int32) << 18) + (held.astype(np.int32) << 20)
+    out = out.reshape(lanes, steps)
+    return out & (TOP_ID - 1), out >> 18 & 3, out >> 20 == 1
+
+
+def _modelled(ids: np.ndarray, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the share of every id begins in the whole of ``ALL_BITS``, and its size, for a row of ids of each block."""
+    lanes, steps = ids.shape
+    before = np.zeros((lanes, steps + 2), np.uint32)
+    before[:, 2:] = ids
+    mixed = before[:, 1:-1] * np.uint32(2654435761)
+    guess_1, sure_1, hit_1 = _foretold(ids, mixed, HASH_1)
+    mixed += before[:, :-2] * np.uint32(2246822519)
+    guess_2, sure_2, hit_2 = _foretold(ids, mixed, HASH_2)
+    hit_1 |= hit_2
+    context = (sure_2 << 3) + (sure_1 << 1) + (guess_1 == guess_2)
+    outcome = context * 3 + 2 - hit_1 - hit_2
+    top, low = ids >> 8, low_place(ids)
+    number = np.arange(lanes)[:, None]
+    counts = Counts(lanes, high)
+    begin, size = np.empty((lanes, steps), np.uint32), np.empty((lanes, steps), np.uint32)
+    for t, end in zip((0, *REFRESHED), (*REFRESHED, steps), strict=True):
+        if t >= steps:
+            break
+        now = np.s_[:, t:end]
+        range_h, _, range_l, _, edges = counts.tables(lanes, False, not t)
+        range_h, range_l = range_h.take(top[now] + number * high), range_l.take(low[now] + number * (PARTS << 8))
+        edges = edges.take(context[now] + (number << 5))
+        freq, left = range_h & FREQ, 256 - (edges >> 8)
+        edge_1, edge_2 = edges >> 8 << (HIGH_BITS + LOW_BITS), (edges & 255) << (HIGH_BITS + LOW_BITS)
+        literal = edge_1 + left * ((range_h >> PLACE_BITS << LOW_BITS) + freq * (range_l >> PLACE_BITS))
+        begin[now] = np.where(hit_2[now], 0, np.where(hit_1[now], edge_2, literal))
+        size[now] = np.where(hit_2[now], edge_2, np.where(hit_1[now], edge_1 - edge_2, left * (freq * (range_l & FREQ))))
+        if end < steps:
+            counts.add(0, lanes, ids[now], outcome[now])
+    return begin, size
+
+
 def _encode(ids: np.ndarray, first: np.ndarray, lengths: np.ndarray, high: int) -> list[bytes]:
     order, active = _order(lengths)
-    first, lanes = first[order], len(order)
-    model = Model(lanes, high, inverse=False)
+    first, lengths, lanes = first[order], lengths[order], len(order)
+    begins, sizes = (np.empty((len(active), lanes), np.uint32) for _ in range(2))
+    for a in range(0, lanes, MODELLED):
+        steps = int(lengths[a])
+        if not steps:
+            break
+        # Behind the end of a shorter block stands anything; nothing of it is coded.
+        begin, size = _modelled(ids.take(first[a : a + MODELLED, None] + np.arange(steps), mode="clip"), high)
+        begins[:steps, a : a + MODELLED], sizes[:steps, a : a + MODELLED] = begin.T, size.T
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, FULL)
     words, used = np.empty(max(1024, int(lengths.sum())), np.uint64), 0
     owner, last = np.empty(len(words), np.int32), np.full(lanes, -1)
 
     for t, n in enumerate(active.tolist()):
-        if t in REFRESHED:
-            model.refresh(n)
-        model.predict(n)
-        now = ids.take(first[:n] + t)
-        hit_2 = model.guess_2 == now
-        hit_1 = (model.guess_1 == now) | hit_2
-        literal = np.flatnonzero(~hit_1)
-        edge = model.edge_1 << (HIGH_BITS + LOW_BITS)
-        begin = np.where(hit_2, 0, model.edge_2 << (HIGH_BITS + LOW_BITS))
-        size = np.where(hit_2, model.edge_2 << (HIGH_BITS + LOW_BITS), edge - begin)
-        some = now.take(literal)
-        top = some >> 8
-        at_h = model.base_h.take(literal) + top
-        at_l = model.base_l.take(literal) + (part(top) << 8) + (some & 255)
-        range_h, range_l = model.range_h.take(at_h), model.range_l.take(at_l)
-        freq, left = range_h & FREQ, 256 - model.edge_1.take(literal)
-        begin[literal] = edge.take(literal) + left * ((range_h >> PLACE_BITS << LOW_BITS) + freq * (range_l >> PLACE_BITS))
-        size[literal] = left * (freq * (range_l & FREQ))
         unit = span[:n] >> np.uint64(ALL_BITS)
-        add = unit * begin.view(np.uint64)
+        add = unit * begins[t, :n]
         low[:n] += add
         over = np.flatnonzero(low[:n] < add)
         words[last[over]] += np.uint64(1)
-        unit *= size.view(np.uint64)
+        unit *= sizes[t, :n]
         span[:n] = unit
         full = np.flatnonzero(unit <= MASK)
         if used + len(full) > len(words):
@@ -191,9 +286,8 @@ def _encode(ids: np.ndarray, first: np.ndarray, lengths: np.ndarray, high: int)
         used += len(full)
         low[full] = now_low << WORD
         span[full] <<= WORD
-        model.learn(n, now, hit_2, hit_1, literal, at_h, at_l)
     own = owner[:used]
-    by = np.argsort(own, kind="stable")
+    by = np.argsort(own.astype(np.uint16), kind="stable")  # numbers this short are sorted in linear time
     each = np.bincount(own, minlength=lanes)
     ends = np.cumsum(each + 2)
     flat = np.empty(used + 2 * lanes, np.uint64)
@@ -228,36 +322,42 @@ def _decode(code: list[bytes], first: np.ndarray, lengths: np.ndarray, high: int
     sizes = np.array([len(c) // 4 for c in code], np.int64)
     words = np.frombuffer(b"".join(code) + bytes(8), "<u4").astype(np.uint64)
     at = (np.cumsum(sizes) - sizes)[order]
-    model = Model(lanes, high, inverse=True)
+    model = Model(lanes, high, ids, first)
     value, span = (words[at] << WORD) | words[at + 1], np.full(lanes, FULL)
     at += 2
     for t, n in enumerate(active.tolist()):
         if t in REFRESHED:
-            model.refresh(n)
+            model.refresh(t, n)
         model.predict(n)
         unit = span[:n] >> np.uint64(ALL_BITS)
-        place = (value[:n] // unit).view(np.int64)
+        place = (value[:n] // unit).astype(np.int32)
         edge_1, edge_2 = model.edge_1 << (HIGH_BITS + LOW_BITS), model.edge_2 << (HIGH_BITS + LOW_BITS)
         hit_2, hit_1 = place < edge_2, place < edge_1
-        literal = np.flatnonzero(~hit_1)
-        begin = np.where(hit_2, 0, edge_2)
-        size = np.where(hit_2, edge_2, edge_1 - begin)
-        now = np.where(hit_2, model.guess_2, model.guess_1).astype(np.int64)
-        edge, left = edge_1.take(literal), 256 - model.edge_1.take(literal)
-        inner = np.minimum((place.take(literal) - edge) // left, (1 << HIGH_BITS + LOW_BITS) - 1)
-        top = model.back_h.take((literal << HIGH_BITS) + (inner >> LOW_BITS)).astype(np.int64)
-        at_h = model.base_h.take(literal) + top
-        range_h = model.range_h.take(at_h)
+        left = 256 - model.edge_1
+        # Quotients of such small numbers, in doubles, are exact when cut.
+        place -= edge_1
+        inner = (np.maximum(place, 0, out=place) / left).astype(np.int32)
+        np.minimum(inner, (1 << HIGH_BITS + LOW_BITS) - 1, out=inner)
+        top = model.back_h.take(model.place_h[:n] + (inner >> LOW_BITS)).astype(np.int32)
+        range_h = model.range_h.take(model.base_h[:n] + top)
         freq, start = range_h & FREQ, range_h >> PLACE_BITS << LOW_BITS
-        table = (literal << 2) + part(top)
-        low = model.back_l.take((table << LOW_BITS) + (inner - start) // freq)
-        at_l = (table << 8) + low
-        range_l = model.range_l.take(at_l)
-        begin[literal] = edge + left * (start + freq * (range_l >> PLACE_BITS))
-        size[literal] = left * (freq * (range_l & FREQ))
-        now[literal] = (top << 8) + low
-        value[:n] -= unit * begin.view(np.uint64)
-        unit *= size.view(np.uint64)
+        table = part(top)
+        inner -= start
+        low = model.back_l.take(model.place_l[:n] + ((table << LOW_BITS) + (inner / freq).astype(np.int32)))
+        range_l = model.range_l.take(model.base_l[:n] + ((table << 8) + low))
+        start += freq * (range_l >> PLACE_BITS)
+        start *= left
+        start += edge_1
+        freq *= range_l & FREQ
+        freq *= left
+        top <<= 8
+        top += low
+        for literal, told_1, told_2 in ((start, edge_2, 0), (freq, edge_1 - edge_2, edge_2), (top, model.guess_1, model.guess_2)):
+            np.putmask(literal, hit_1, told_1)
+            np.putmask(literal, hit_2, told_2)
+        now = top
+        value[:n] -= unit * start.view(np.uint32)
+        unit *= freq.view(np.uint32)
         span[:n] = unit
         full = np.flatnonzero(unit <= MASK)
         where = at.take(full)
@@ -265,7 +365,7 @@ def _decode(code: list[bytes], first: np.ndarray, lengths: np.ndarray, high: int
         span[full] <<= WORD
         at[full] = where + 1
         ids[first[:n] + t] = now
-        model.learn(n, now, hit_2, hit_1, literal, at_h, at_l)
+        model.learn(t, n, now, hit_2, hit_1)
 
 
 def block_lengths(n: int) -> np.ndarray:

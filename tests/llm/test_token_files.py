@@ -128,3 +128,57 @@ def test_damage_is_found(spark):
     spark.read.parquet(at).withColumn("blocks", F.expr("overlay(blocks PLACING X'0102' FROM 30 FOR 2)")).write.parquet(other)
     with pytest.raises(PythonException):
         token_files.read(spark, other).collect()
+
+
+def tokens(path=WORDS):
+    with open(path, encoding="utf-8") as f:
+        return token_files.Tokens(f.read())
+
+
+def listed(tool, texts):
+    ids, sizes = tool.encode([t.encode() for t in texts])
+    return [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+
+
+def test_plain_words_pass_no_step_that_leaves_them_alone():
+    tool, texts = tokens(), ["The word, été;### 12 word!!", "", "words (naïve) a_b <|x|> 7", "!? ÿ"]
+    assert tool.by_word
+    tool.tool = None
+    assert listed(tool, texts) == [ids[:-1] for _, _, ids in library(WORDS, list(enumerate(texts)))]
+
+
+def test_pieces_of_all_sizes_and_tables_that_grow_and_are_emptied(monkeypatch):
+    monkeypatch.setattr(token_files, "PIECES_KEPT", 40_000)
+    rnd = random.Random(7)
+    word = lambda: "".join(rnd.choice("abcdeéàÿß") for _ in range(rnd.randint(1, 30)))
+    odd = ["don't", "É", "x<|endoftext|>y", "Abc", "<|STARTOFTEXT|>", "a\x00b", "1²3", "«mot»", "÷", "`'s"]
+    tool = tokens()
+    for _ in range(4):
+        texts = [" ".join(rnd.choice(odd) if rnd.random() < 0.02 else word() + rnd.choice(["", ",", "...", "42", "###"]) for _ in range(3000)) for _ in range(9)]
+        texts += ["Abc word", "", " ", "a" * 16, "a" * 17]
+        assert listed(tool, texts) == [ids[:-1] for _, _, ids in library(WORDS, list(enumerate(texts)))]
+    assert tool.pieces.used < 80_000
+    monkeypatch.setattr(tool, "last", np.zeros_like(tool.last))  # ends that do not tell pieces apart
+    tool._forget()
+    assert listed(tool, texts) == [ids[:-1] for _, _, ids in library(WORDS, list(enumerate(texts)))]
+
+
+def test_pieces_that_meet_in_a_slot():
+    rnd = np.random.default_rng(3)
+    keys = rnd.integers(1, 1 << 63, (5000, 2)).astype(np.uint64)
+    table = token_files.Pieces(bits=4)
+    for part in np.split(np.arange(5000), [3, 7, 9, 400]):
+        assert (table.find(*keys[part].T) == -1).all()
+        table.add(*keys[part].T, part)
+        assert np.array_equal(table.find(*keys[: part[-1] + 1].T), np.arange(part[-1] + 1))
+    assert table.used == 5000 and (table.value >= 0).sum() == 5000
+
+
+def test_blocks_modelled_at_a_time_are_what_the_decoder_follows(monkeypatch):
+    rnd = np.random.default_rng(5)
+    rows = [(rnd.zipf(1.3, n) % 49408).astype(np.int32) for n in (*range(0, 2100, 300), 2048, 33, 32, 129, 1153)]
+    frames = rangecoder.pack_frames(rows, 193)
+    monkeypatch.setattr(rangecoder, "MODELLED", 2)
+    assert rangecoder.pack_frames(rows, 193) == frames
+    again = rangecoder.unpack_frames(frames)
+    assert all(np.array_equal(a, b) for a, b in zip(rows, again, strict=True))
