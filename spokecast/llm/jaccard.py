@@ -4,7 +4,8 @@ Two sets of similarity ``t`` differ in at most a known number D of shingles.  A
 hash into more than D token classes; all its shingles of one class are one k-token combination, a single
 token where the class has no other.  A similar pair differs in D classes at most, so of its f
 combinations a document shares f - D at least.  Combinations are ordered rare ones first, which no other document
-has, then the frequent ones by hash; the prefix of D + 1 combinations holds one that the pair shares.
+has, then the frequent ones of many tokens before those of few; the prefix of D + 1 combinations holds one that the pair
+shares, and single tokens, which documents share by chance, stand behind it.
 Documents whose prefix is all rare have no partner, the others are indexed by the frequent combinations of
 their prefix.  What is connected through the index is verified shingle by shingle.
 """
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spokecast.llm.graph import components
+from spokecast.llm.marks import Marks, without
 from spokecast.llm.packed import SCHEMA, buckets_for, dealt, first_of_groups, pack, partitions_for, unpack
 from spokecast.llm.text import CHUNK_BYTES, LOWER, Names, chunks, give_back, map_chunks, mix, owner, pick, texts, whole_windows, window_names
 from spokecast.session import cut_lineage, scratch_path
@@ -30,6 +32,8 @@ GROUP_SHINGLES = 1 << 19
 CLASS_RATIO = 1.5
 #: Per cent of token classes beyond those that can differ: the more, the fewer documents share enough by chance.
 SPARE = 60
+#: Shingles from which on combinations count as equally large: what four bits of a name hold.
+MOST_HELD = 15
 
 
 class Sizes:
@@ -43,6 +47,8 @@ class Sizes:
         # y shingles and at most y / t on the other side: they differ in y (1 - t) / t at most.
         self.differ = (self.bounds[1:] - 1) * (100 - percent) // percent
         self.classes = self.differ + 1 + (self.differ * SPARE + 99) // 100
+        #: The largest size of each class.
+        self.most = self.bounds[1:] - 1
         #: Size classes from that of a set's least partner to its own, at most.
         self.named = int((np.arange(len(bounds)) - self.of_least_partner(self.bounds)).max()) + 1
 
@@ -52,6 +58,13 @@ class Sizes:
     def of_least_partner(self, sizes: np.ndarray) -> np.ndarray:
         return self.of((sizes * self.percent + 99) // 100)
 
+    def may_differ(self, sizes: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """Shingles that each set and a partner may have one without the other, where they meet in size class ``kind``:
+        in a set's own the partner can be larger, in one below it is no larger than the class allows.
+        """
+        smaller = (sizes + np.minimum(sizes, self.most[kind])) * (100 - self.percent) // (100 + self.percent)
+        return np.where(self.of(sizes) == kind, sizes * (100 - self.percent) // self.percent, smaller)
+
 
 def shingle_sets(words: list[list[bytes]], names_of: Names, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingle names of all texts in a row, sorted within each, and where each text begins.
@@ -82,6 +95,7 @@ def combinations(tokens: np.ndarray, first: np.ndarray, sizes: Sizes) -> list[tu
     combinations, where each set's begin, and how many combinations of a set a partner may lack beyond its prefix.
 
     A set with no more combinations than may differ has its empty classes named too, and all as its prefix.
+    Names of combinations of more shingles are less.
     """
     count = np.diff(first)
     spread, value = mix(tokens ^ np.uint64(0x5851F42D4C957F2D)), mix(tokens)
@@ -93,16 +107,17 @@ def combinations(tokens: np.ndarray, first: np.ndarray, sizes: Sizes) -> list[tu
         begin = np.concatenate([[0], np.cumsum(classes)])
         mine = chosen[of]
         place = begin[of[mine]] + (spread[mine] % np.maximum(classes, 1)[of[mine]].astype(np.uint64)).astype(np.int64)
-        total, filled = np.zeros(begin[-1], np.uint64), np.zeros(begin[-1], bool)
+        total, held = np.zeros(begin[-1], np.uint64), np.bincount(place, minlength=begin[-1])
         np.add.at(total, place, value[mine])
-        filled[place] = True
+        filled = held > 0
         of_class = np.repeat(np.arange(len(count)), classes)
         full = np.bincount(of_class, filled, len(count)).astype(np.int64)
-        differ = sizes.differ[kind]
+        differ = sizes.may_differ(np.maximum(count, 1), kind)
         few = full <= differ
         used = filled | few[of_class]
         label = (kind[of_class] << 32) + np.arange(begin[-1]) - begin[of_class]
-        names = mix(mix(total[used]) + mix(label[used].astype(np.uint64)))
+        weak = np.uint64(MOST_HELD) - np.minimum(held[used], MOST_HELD).astype(np.uint64)
+        names = weak << np.uint64(60) | mix(mix(total[used]) + mix(label[used].astype(np.uint64))) >> np.uint64(4)
         at = np.concatenate([[0], np.cumsum(np.bincount(of_class[used], minlength=len(count)))])
         out.append((names, at, np.where(few, 0, full - differ - 1)))
     return out
@@ -396,7 +411,7 @@ def _components(rows: DataFrame, width: int, percent: int) -> DataFrame:
     blocks = cut_lineage(members.join(groups, "root").withColumn("block", F.pmod(F.xxhash64("row"), "blocks")))
     cells = blocks.select("row", "root", "block", "weight", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     cells = cells.select("row", "root", "block", "weight", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    wanted = rows.select("row", "text").join(blocks.select("row"), "row", "left_semi")
+    wanted = Marks(blocks).on(rows.select("row", "text"))
     grouped = cells.join(wanted, "row").repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
     verified = cut_lineage(_verified(grouped, width, percent))
     linked = components(verified.where("b IS NOT NULL").select("a", "b"))
@@ -443,5 +458,5 @@ def representatives(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     found = cut_lineage(_components(slim, width, percent).where("root IS NOT NULL"))
     first = F.min(F.struct(F.col("id").isNull().alias("without"), "id", "row"))
     groups = cut_lineage(found.groupBy("root").agg(F.count("*").alias("n"), first["row"].alias("first")).where("n > 1"))
-    gone = found.join(groups, "root").where("row <> first").select("row")
-    return rows.join(gone, "row", "left_anti").select(*names).toDF(*docs.columns)
+    gone = cut_lineage(found.join(groups, "root").where("row <> first").select("row"))
+    return without(rows, gone).select(*names).toDF(*docs.columns)
