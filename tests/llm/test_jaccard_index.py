@@ -52,14 +52,14 @@ def test_similar_sets_differ_in_no_more_than_the_prefix_allows(percent):
     assert (sizes.may_differ(large, kind) <= sizes.differ[kind]).all()
 
 
-NUMBERS = [0, 1, 7, 8, 32767, 32768, 32769, 65536, 1 << 33, (1 << 33) + 5, (1 << 33) + 40000, (5 << 33) + 3]
+NUMBERS = [0, 1, 7, 8, 1023, 1024, 32767, 32768, 32769, 65536, 1 << 33, (1 << 33) + 5, (1 << 33) + 40000, (5 << 33) + 3]
 
 
-@pytest.mark.parametrize("bitmaps", [1, 2, 1 << 12])
-def test_rows_found_by_number(spark, monkeypatch, bitmaps):
+@pytest.mark.parametrize("pieces", [1, 2, 1 << 12])
+def test_rows_found_by_number(spark, monkeypatch, pieces):
     from spokecast.llm import marks
 
-    monkeypatch.setattr(marks, "BITMAPS", bitmaps)
+    monkeypatch.setattr(marks, "PIECES", pieces)
     numbers = sorted({n + k for n in NUMBERS for k in range(20)})
     rows = spark.createDataFrame([(n, f"t{n}") for n in numbers], "row bigint, text string")
     for chosen in (NUMBERS, numbers, []):
@@ -67,7 +67,7 @@ def test_rows_found_by_number(spark, monkeypatch, bitmaps):
         found = marks.Marks(keys)
         on, off = ([r.row for r in x.collect()] for x in (found.on(rows), found.off(rows)))
         assert sorted(on + off) == numbers and set(chosen) <= set(on)
-        assert found.exact == (bitmaps > 2 or not chosen and bitmaps > 0) and (not found.exact or set(on) == set(chosen))
+        assert found.exact == (pieces > 2 or not chosen) and (not found.exact or set(on) == set(chosen))
         left = marks.without(rows, keys)
         assert left.columns == rows.columns and sorted(r.row for r in left.collect()) == sorted(set(numbers) - set(chosen))
 
